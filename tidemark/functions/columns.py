@@ -60,6 +60,12 @@ def utc_clock(instant: Column) -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(none, none, none, seconds)
 
 
+def utc_date(df: DataFrame, name: str) -> Column:
+    """The UTC date of a time column, with or without zone."""
+    zoned = isinstance(df.schema[name].dataType, T.TimestampType)
+    return (utc_clock(F.col(name)) if zoned else F.col(name)).cast("date")
+
+
 def clock_text(clock: Column) -> Column:
     """A time without zone as ``YYYY-MM-DDTHH:MM:SS[.ffffff]Z``."""
     return F.concat(F.translate(clock.cast("string"), " ", "T"), F.lit("Z"))

@@ -7,40 +7,47 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, functions as F, types as T
 
 
-def struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+LONG, TEXT, FLAG, TIME = T.LongType(), T.StringType(), T.BooleanType(), T.TimestampType()
+
 # Field names and types of the payloads and tables.
-PARK = "id bigint, name string, country string, continent string, latitude string, longitude string, timezone string"
-DESTINATION_BRONZE = struct(f"id bigint, name string, parks array<struct<{PARK}>>, ingest_timestamp string")
-DESTINATION_SILVER = struct("id bigint, name string, ingest_timestamp string")
-PARK_SILVER = struct(f"destination_id bigint, destination_name string, {PARK}")
+PARK = struct(
+    id=LONG, name=TEXT, country=TEXT, continent=TEXT, latitude=TEXT, longitude=TEXT, timezone=TEXT
+)
+DESTINATION_BRONZE = struct(id=LONG, name=TEXT, parks=T.ArrayType(PARK), ingest_timestamp=TEXT)
+DESTINATION_SILVER = struct(id=LONG, name=TEXT, ingest_timestamp=TEXT)
+PARK_SILVER = T.StructType([*struct(destination_id=LONG, destination_name=TEXT), *PARK])
 
 # wait_time stays a variant until it is made whole: sources send 5, 5.0 and "5".
-RIDE = "id bigint, name string, is_open boolean, wait_time variant, last_updated string"
-PAYLOAD_BODY = struct(
-    f"lands array<struct<id bigint, name string, rides array<struct<{RIDE}>>>>, rides array<struct<{RIDE}>>"
-)
-PAYLOAD = struct("park_id bigint, body string, error string")
+RIDE = struct(id=LONG, name=TEXT, is_open=FLAG, wait_time=T.VariantType(), last_updated=TEXT)
+LAND = struct(id=LONG, name=TEXT, rides=T.ArrayType(RIDE))
+PAYLOAD_BODY = struct(lands=T.ArrayType(LAND), rides=T.ArrayType(RIDE))
+PAYLOAD = struct(park_id=LONG, body=TEXT, error=TEXT)
 
 ENTITY = struct(
-    "park_id bigint, land_id bigint, land_name string, id bigint, name string, entityType string, ingest_timestamp string"
+    park_id=LONG, land_id=LONG, land_name=TEXT, id=LONG, name=TEXT, entityType=TEXT, ingest_timestamp=TEXT
 )
 LIVE_BRONZE = struct(
-    "park_id bigint, land_id bigint, land_name string, id bigint, name string, entityType string, is_open boolean, "
-    "status string, wait_time bigint, last_updated string, ingest_timestamp string"
+    park_id=LONG, land_id=LONG, land_name=TEXT, id=LONG, name=TEXT, entityType=TEXT, is_open=FLAG, status=TEXT,
+    wait_time=LONG, last_updated=TEXT, ingest_timestamp=TEXT,
 )
 LIVE_SILVER = struct(
-    "park_id bigint, land_id bigint, land_name string, id bigint, name string, entityType string, is_open boolean, "
-    "status string, wait_time bigint, last_updated timestamp, ingest_timestamp timestamp"
+    park_id=LONG, land_id=LONG, land_name=TEXT, id=LONG, name=TEXT, entityType=TEXT, is_open=FLAG, status=TEXT,
+    wait_time=LONG, last_updated=TIME, ingest_timestamp=TIME,
 )
 
 QUEUE = struct(
-    "STANDBY struct<waitTime bigint>, SINGLE_RIDER struct<waitTime bigint>, PAID_STANDBY struct<waitTime bigint>, "
-    "RETURN_TIME struct<state string, returnStart string, returnEnd string>, "
-    "BOARDING_GROUP struct<estimatedWait string, currentGroupStart string, currentGroupEnd string, "
-    "allocationStatus string, nextAllocationTime string>"
+    STANDBY=struct(waitTime=LONG),
+    SINGLE_RIDER=struct(waitTime=LONG),
+    PAID_STANDBY=struct(waitTime=LONG),
+    RETURN_TIME=struct(state=TEXT, returnStart=TEXT, returnEnd=TEXT),
+    BOARDING_GROUP=struct(
+        estimatedWait=TEXT, currentGroupStart=TEXT, currentGroupEnd=TEXT, allocationStatus=TEXT,
+        nextAllocationTime=TEXT,
+    ),
 )
 
 

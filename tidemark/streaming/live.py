@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from tidemark.functions.columns import utc_date
 from tidemark.functions.schemas import LIVE_BRONZE
 from tidemark.operators.flatten import normalize_live
 from tidemark.operators.latest import latest
@@ -42,7 +43,7 @@ def bronze_to_silver(
 ) -> StreamingQuery:
     """Normalise and append, in folders per ingest date. Without ``every`` it runs until caught up."""
     rows = normalize(source)
-    rows = rows.withColumn("ingest_date", F.col(time_column).cast("date"))
+    rows = rows.withColumn("ingest_date", utc_date(rows, time_column))
     writer = (
         rows.writeStream.format("parquet")
         .partitionBy("ingest_date")
@@ -86,16 +87,17 @@ def silver_to_gold(
 
 
 def gold_epochs(spark: SparkSession, gold_path: str) -> DataFrame:
-    """The epochs on disk with their row counts."""
-    return (
-        spark.read.schema("epoch bigint").parquet(gold_path)
-        .groupBy("epoch").agg(F.count(F.lit(1)).alias("rows"))
+    """The files of each epoch on disk, from a listing alone."""
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     )
+    epoch = F.regexp_extract("path", r"/epoch=(\d+)/[^/]+$", 1).cast("bigint")
+    return listing.load(gold_path).select(epoch.alias("epoch"), "path", "length")
 
 
 def read_gold(spark: SparkSession, gold_path: str, schema: T.StructType) -> DataFrame:
     """Current state: the newest epoch. Files of an epoch appear only when its job commits."""
-    newest_epoch = spark.read.schema("epoch bigint").parquet(gold_path).agg(F.max("epoch").alias("m")).first()["m"]
+    newest_epoch = gold_epochs(spark, gold_path).agg(F.max("epoch").alias("m")).first()["m"]
     if newest_epoch is None:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{gold_path.rstrip('/')}/epoch={newest_epoch}")
