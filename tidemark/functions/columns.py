@@ -4,6 +4,7 @@ time zone or ANSI setting."""
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -20,7 +21,7 @@ def status_from_flag(is_open: Column) -> Column:
 def _or_raise(value: Column, source: Column, what: str) -> Column:
     """``value``, or an error where ``source`` had something that did not convert."""
     problem = F.raise_error(F.concat(F.lit(f"not {what}: "), source.cast("string")))
-    return F.when(source.isNull() | value.isNotNull(), value).otherwise(problem.cast("string"))
+    return F.when(source.isNull() | value.isNotNull(), value).otherwise(problem)
 
 
 def whole_number(value: Column, kind: T.DataType) -> Column:
@@ -32,9 +33,9 @@ def whole_number(value: Column, kind: T.DataType) -> Column:
         number = F.when(is_text, F.trim(text).try_cast("bigint")).otherwise(
             F.try_variant_get(value, "$", "decimal(38,10)").cast("bigint")
         )
-        return _or_raise(number, F.when(shape != "VOID", text), "a whole number").cast("bigint")
+        return _or_raise(number, text, "a whole number")
     if isinstance(kind, T.StringType):
-        return _or_raise(F.trim(value).try_cast("bigint"), value, "a whole number").cast("bigint")
+        return _or_raise(F.trim(value).try_cast("bigint"), value, "a whole number")
     return value.cast("bigint")
 
 
@@ -50,14 +51,13 @@ def try_parse_iso(text: Column) -> Column:
 
 def parse_iso(text: Column) -> Column:
     """As ``try_parse_iso``, but text that is no time is an error."""
-    return _or_raise(try_parse_iso(text), text, "an ISO time").cast("timestamp")
+    return _or_raise(try_parse_iso(text), text, "an ISO time")
 
 
 def utc_clock(instant: Column) -> Column:
     """What a UTC clock showed at an instant, as a time without zone."""
-    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
-    none = F.lit(0)
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(none, none, none, seconds)
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), start)
 
 
 def utc_date(df: DataFrame, name: str) -> Column:
@@ -66,6 +66,14 @@ def utc_date(df: DataFrame, name: str) -> Column:
     return (utc_clock(F.col(name)) if zoned else F.col(name)).cast("date")
 
 
+def moment(at: datetime, kind: T.DataType) -> Column:
+    """A literal to compare with a time column of either type. A naive ``at`` is UTC."""
+    aware = at if at.tzinfo else at.replace(tzinfo=timezone.utc)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.lit(aware.astimezone(timezone.utc).replace(tzinfo=None).isoformat(" ")).cast("timestamp_ntz")
+    return F.lit(aware.isoformat()).cast("timestamp")
+
+
 def clock_text(clock: Column) -> Column:
     """A time without zone as ``YYYY-MM-DDTHH:MM:SS[.ffffff]Z``."""
     return F.concat(F.translate(clock.cast("string"), " ", "T"), F.lit("Z"))

@@ -11,6 +11,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from tidemark.functions.columns import moment
+
 
 def _sortable(kind: T.DataType) -> bool:
     if isinstance(kind, (T.MapType, T.VariantType)):
@@ -58,8 +60,8 @@ def latest_as_of(
     df: DataFrame, keys: Sequence[str], order: str, at: datetime | Column, ties: Sequence[str] = ()
 ) -> DataFrame:
     """State at a moment: later rows are cut at the scan."""
-    moment = at if isinstance(at, Column) else F.lit(at)
-    return latest(df.where(_ref(order) <= moment), keys, [order], ties)
+    limit = at if isinstance(at, Column) else moment(at, df.schema[order].dataType)
+    return latest(df.where(_ref(order) <= limit), keys, [order], ties)
 
 
 def filter_then_latest(

@@ -6,8 +6,10 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.functions.columns import moment
 from tidemark.operators.latest import newest
 
 
@@ -30,16 +32,28 @@ TABLE_POLICY = (
 BRONZE_DAYS = {"destinations": 7, "entities": 7, "live": 30}
 
 
+# Thresholds are one row per rule. Up to this many rules they are broadcast, past it joined.
+BROADCAST_RULES = 10_000
+
+
+def _rules(spark: SparkSession, policy: Sequence[Retention]) -> DataFrame:
+    """The policy as a literal relation, whose size Spark knows when it plans the join."""
+    return spark.createDataFrame(
+        pa.table(
+            {
+                "table": pa.array([rule.table for rule in policy], pa.string()),
+                "retain_days": pa.array([rule.retain_days for rule in policy], pa.int32()),
+                "min_snapshots": pa.array([rule.min_snapshots for rule in policy], pa.int32()),
+            }
+        )
+    )
+
+
 def _governed(versions: DataFrame, policy: Sequence[Retention], now: datetime | Column) -> DataFrame:
     """Versions of the policy's tables, with the age test as ``_old``."""
-    spark = versions.sparkSession
-    rules = spark.createDataFrame(
-        [tuple(rule) for rule in policy], "table string, retain_days int, min_snapshots int"
-    )
-    moment = now if isinstance(now, Column) else F.lit(now)
-    # The rules are a literal list of the caller's, so their size is known here.
-    return versions.join(F.broadcast(rules), "table").withColumn(
-        "_old", F.col("committed_at") < moment - F.make_dt_interval(F.col("retain_days"))
+    today = now if isinstance(now, Column) else moment(now, versions.schema["committed_at"].dataType)
+    return versions.join(_rules(versions.sparkSession, policy), "table").withColumn(
+        "_old", F.col("committed_at") < today - F.make_dt_interval(F.col("retain_days"))
     )
 
 
@@ -60,19 +74,19 @@ def expire_plan(versions: DataFrame, policy: Sequence[Retention], now: datetime
     floors = _always_kept(governed, policy).groupBy("table").agg(
         F.min(F.struct("committed_at", "snapshot_id")).alias("_floor")
     )
-    # At most one threshold per rule of the literal list.
-    marked = governed.join(F.broadcast(floors), "table")
+    if len(policy) <= BROADCAST_RULES:
+        floors = F.broadcast(floors)
+    marked = governed.join(floors, "table")
     due = F.col("_old") & (F.struct("committed_at", "snapshot_id") < F.col("_floor"))
     return marked.where(due).select("table", "snapshot_id", "committed_at")
 
 
 def expire_report(versions: DataFrame, policy: Sequence[Retention], now: datetime | Column) -> DataFrame:
     """Per table of the policy: versions before and after, expired, and ``skipped`` if it has none."""
-    spark = versions.sparkSession
     governed = _governed(versions, policy, now)
     totals = governed.groupBy("table").agg(F.count(F.lit(1)).alias("_all"), F.count_if("_old").alias("_old_all"))
     kept = _always_kept(governed, policy).groupBy("table").agg(F.count_if("_old").alias("_old_kept"))
-    tables = spark.createDataFrame([(rule.table,) for rule in policy], "table string")
+    tables = _rules(versions.sparkSession, policy).select("table")
     expired = F.col("_old_all") - F.col("_old_kept")
     return tables.join(totals, "table", "left").join(kept, "table", "left").select(
         "table",

@@ -17,6 +17,7 @@ from tidemark.functions.columns import (
     default_if_absent,
     iso_text,
     landing_path,
+    moment,
     parse_iso,
     utc_clock,
 )
@@ -30,6 +31,7 @@ from tidemark.streaming import live
 Query = Callable[[SparkSession, str], DataFrame]
 
 ENTITY_KEY, TIME, TIE = ["user_id"], ["ts"], ["event_id"]
+CUT = datetime(2024, 1, 10, tzinfo=timezone.utc)
 BATCH_TIME = datetime(2024, 2, 1, 3, 0, 0, tzinfo=timezone.utc)
 
 
@@ -51,8 +53,7 @@ def latest_per_entity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def latest_as_of(spark: SparkSession, d: str) -> DataFrame:
-    moment = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
-    return newest_rows.latest_as_of(read(spark, d, "events"), ENTITY_KEY, "ts", moment, TIE)
+    return newest_rows.latest_as_of(read(spark, d, "events"), ENTITY_KEY, "ts", CUT, TIE)
 
 
 def filter_then_latest(spark: SparkSession, d: str) -> DataFrame:
@@ -84,7 +85,7 @@ def latest_line_per_part(spark: SparkSession, d: str) -> DataFrame:
 
 def upsert_current(spark: SparkSession, d: str) -> DataFrame:
     events = read(spark, d, "events")
-    cut = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    cut = moment(CUT, T.TimestampNTZType())
     before = newest_rows.latest(events.where(F.col("ts") <= cut), ENTITY_KEY, TIME, TIE)
     return newest_rows.upsert(before, events.where(F.col("ts") > cut), ENTITY_KEY, TIME, TIE)
 
@@ -432,7 +433,7 @@ def table_append(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "tables")
     name = f"silver_{root[-12:]}.events"
     events = read(spark, d, "events")
-    cut = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    cut = moment(CUT, T.TimestampNTZType())
     tables.write_table(events.where(F.col("ts") <= cut).drop("props"), name, root=root)
     tables.write_table(events.where(F.col("ts") > cut).drop("value"), name, on_drift="merge", root=root)
     return tables.read_table(spark, name)
@@ -443,7 +444,7 @@ def table_overwrite(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "tables")
     name = f"gold_{root[-12:]}.current"
     events = read(spark, d, "events")
-    cut = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    cut = moment(CUT, T.TimestampNTZType())
     first = newest_rows.latest(events.where(F.col("ts") <= cut), ENTITY_KEY, TIME, TIE)
     tables.write_table(first, name, "overwrite", root=root)
     changes = events.where(F.col("ts") > cut)

@@ -7,6 +7,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from tidemark.functions.columns import moment
+
 # Fixed value: a batch folder is <root>/bronze/<prefix>/YYYY/MM/DD/HHMMSS.
 BATCH = "%Y/%m/%d/%H%M%S"
 
@@ -78,8 +80,7 @@ def latest_bronze(spark: SparkSession, root: str, prefix: str, run_at: datetime
     """
     batches = landed_batches(spark, root, prefix)
     if run_at is not None:
-        clock = run_at.astimezone(timezone.utc).replace(tzinfo=None)
-        batches = batches.where(F.col("landed_at") <= F.lit(clock).cast("timestamp_ntz"))
+        batches = batches.where(F.col("landed_at") <= moment(run_at, T.TimestampNTZType()))
     return batches.agg(F.max_by("batch", "landed_at").alias("batch")).first()["batch"]
 
 
