@@ -8,9 +8,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# A text time that states its own zone ends in one of these.
-ZONE_SUFFIX = r"(Z|z|[+-]\d{2}:?\d{2})$"
-DATE_ONLY = r"^\d{4}-\d{2}-\d{2}$"
+# Fixed value: a text time that states its own zone ends in Z or in an offset.
+OFFSET = r"[+-]\d{2}:?\d{2}$"
 
 
 def status_from_flag(is_open: Column) -> Column:
@@ -21,7 +20,7 @@ def status_from_flag(is_open: Column) -> Column:
 def _or_raise(value: Column, source: Column, what: str) -> Column:
     """``value``, or an error where ``source`` had something that did not convert."""
     problem = F.raise_error(F.concat(F.lit(f"not {what}: "), source.cast("string")))
-    return F.when(source.isNull() | value.isNotNull(), value).otherwise(problem)
+    return F.coalesce(value, F.when(source.isNotNull(), problem))
 
 
 def whole_number(value: Column, kind: T.DataType) -> Column:
@@ -42,8 +41,9 @@ def whole_number(value: Column, kind: T.DataType) -> Column:
 def try_parse_iso(text: Column) -> Column:
     """ISO 8601 text to an instant, or NULL. Text without a zone is read as UTC."""
     zoned = (
-        F.when(text.rlike(ZONE_SUFFIX), text)
-        .when(text.rlike(DATE_ONLY), F.concat(text, F.lit("T00:00:00Z")))
+        F.when(text.endswith("Z"), text)
+        .when(F.length(text) == len("2026-03-03"), F.concat(text, F.lit("T00:00:00Z")))
+        .when(text.rlike(OFFSET), text)
         .otherwise(F.concat(text, F.lit("Z")))
     )
     return zoned.try_cast("timestamp")

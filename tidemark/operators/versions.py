@@ -43,9 +43,9 @@ def version_list(df: DataFrame, batch: Column, by: Sequence[str] = (), period: s
     """
     counts = df.groupBy(*by, batch.alias("batch")).agg(F.count(F.lit(1)).alias("added"))
     counts = counts.withColumn("_period", F.trunc(F.col("batch").cast("date"), period))
-    inside = W.partitionBy(*by, "_period").orderBy("batch")
+    inside = W.partitionBy(*by, "_period").orderBy(F.col("batch").asc_nulls_last())
     # Without ``by`` this window takes one row per calendar period.
-    across = W.partitionBy(*by).orderBy("_period")
+    across = W.partitionBy(*by).orderBy(F.col("_period").asc_nulls_last())
     chained = counts.withColumns(
         {
             "_previous": F.lag("batch").over(inside),
@@ -53,13 +53,15 @@ def version_list(df: DataFrame, batch: Column, by: Sequence[str] = (), period: s
         }
     )
     periods = counts.groupBy(*by, "_period").agg(F.sum("added").alias("_sum"), F.max("batch").alias("_last"))
+    keys = [*by, "_period"]
     offsets = periods.select(
-        *by,
-        "_period",
+        *[F.col(c).alias(f"_of_{c}") for c in keys],
         F.lag("_last").over(across).alias("_before_batch"),
         (F.sum("_sum").over(across.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("_sum")).alias("_before"),
     )
-    return chained.join(offsets, [*by, "_period"]).select(
+    # Null-safe, so that rows without a time stay and both sides share one scan.
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in keys]
+    return chained.join(offsets, same).select(
         *by,
         "batch",
         F.coalesce("_previous", "_before_batch").alias("parent"),

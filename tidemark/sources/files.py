@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from tidemark.operators.flatten import to_messages
 from tidemark.operators.unions import union_missing
 from tidemark.sources.bronze import write_bronze
-from tidemark.sources.tables import write_table
+from tidemark.sources.tables import rebalanced, write_table
 
 
 def dated_path(root: str, *names: str, at: datetime) -> str:
@@ -29,6 +29,7 @@ def write_parquet(
 ) -> dict:
     """Snappy parquet, optionally partitioned. With ``sizes`` the files are listed and added up."""
     counted = Observation()
+    df = rebalanced(df, partition_by)
     writer = (
         df.observe(counted, F.count(F.lit(1)).alias("rows")).write.option("compression", "snappy").mode(mode)
     )

@@ -161,13 +161,22 @@ def write_table(
     }
 
 
+def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring rows of one folder together before a partitioned write, in files of even size.
+
+    Adaptive execution merges small folders into one task and splits a folder that holds most
+    rows over many, which a plain repartition by the same columns would not.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
 def _write_folder(df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
-    counted, seen = _counted(df)
+    counted, seen = _counted(rebalanced(df, partition_by))
     writer = counted.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -180,7 +189,7 @@ def _append(df: DataFrame, name: str) -> int:
     aligned = df.select(
         *[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in target]
     )
-    counted, seen = _counted(aligned)
+    counted, seen = _counted(rebalanced(aligned, _partition_columns(df.sparkSession, name)))
     counted.write.insertInto(name)
     return seen.get["rows"]
 
