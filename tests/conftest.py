@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
         spark__sql__adaptive__coalescePartitions__initialPartitionNum="4",
         spark__sql__warehouse__dir=str(base / "warehouse"),
         spark__checkpoint__dir=str(base / "shared"),
+        spark__sql__maxMetadataStringLength="5000",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",

@@ -1,0 +1,61 @@
+import json
+from datetime import datetime, timedelta, timezone
+
+from tidemark.functions.schemas import DESTINATION_BRONZE, ENTITY, PAYLOAD
+from tidemark.plans import medallion as M
+from tidemark.sources.bronze import read_bronze
+
+AT = datetime(2026, 3, 3, 15, 0, 0, tzinfo=timezone.utc)
+
+
+def body(waits):
+    def ride(i, wait):
+        return {"id": i, "name": f"ride {i}", "is_open": wait is not None, "wait_time": wait, "last_updated": "2026-03-03T15:00:24.000Z"}
+
+    pairs = [ride(i, w) for i, w in waits.items()]
+    return json.dumps({"lands": [{"id": 5, "name": "Land", "rides": pairs[:1]}], "rides": pairs[1:]})
+
+
+def payloads(spark, *data):
+    return spark.createDataFrame(list(data), PAYLOAD)
+
+
+def test_landing_to_gold(spark, tmp_path):
+    root, tables = str(tmp_path / "lake"), str(tmp_path / "tables")
+    park = dict.fromkeys(["name", "country", "continent", "latitude", "longitude", "timezone"], "x")
+    companies = spark.createDataFrame(
+        [{"id": 1, "name": "Resort", "parks": [park | {"id": 10}, park | {"id": 20}, park | {"id": 0}]}, {"id": 2, "name": "Bare"}],
+        DESTINATION_BRONZE,
+    )
+    assert [r.park_id for r in M.park_ids(companies).collect()] == [10, 20]
+    M.land_destinations(companies, root, AT)
+    M.land_entities(payloads(spark, (10, body({100: 1, 101: 2}), None), (20, None, "HTTP 500")), root, AT)
+    entities = read_bronze(spark, f"{root}/bronze/entities/2026/03/03/150000", ENTITY)
+    assert {r.id: (r.park_id, r.land_id) for r in entities.collect()} == {100: (10, 5), 101: (10, None)}
+
+    landed = M.land_live(
+        payloads(spark, (10, body({100: 30, 101: None}), None), (99, body({900: 1}), None)), entities, root, AT
+    )
+    assert (landed["rows_written"], landed["failed"]) == (2, 0)
+    first = M.run_once(spark, root, AT, tables)
+    assert first["destinations"]["rows_written"] == 2 and first["parks"]["rows_written"] == 2
+    assert spark.table("silver.destinations").columns == ["id", "name", "ingest_timestamp"]
+    assert (first["gold"]["rows_before"], first["gold"]["rows_written"]) == (2, 2)
+
+    later = AT + timedelta(minutes=5)
+    landed = M.land_live(payloads(spark, (10, body({100: 35, 102: 5}), None), (10, "oops", None)), entities, root, later)
+    assert (landed["rows_written"], landed["failed"]) == (2, 1)
+    second = M.run_once(spark, root, later, tables)
+    assert (second["gold"]["rows_before"], second["gold"]["rows_written"]) == (4, 3)
+    gold = {r.id: (r.wait_time, r.status) for r in spark.table("gold.live_data_current").collect()}
+    assert gold == {100: (35, "OPERATING"), 101: (None, "CLOSED"), 102: (5, "OPERATING")}
+    assert "ingest_date" not in spark.table("gold.live_data_current").columns
+    assert {r.ingest_timestamp for r in spark.table("silver.live_data").select("ingest_timestamp").distinct().collect()} == {
+        AT.replace(tzinfo=None), later.replace(tzinfo=None),
+    }
+
+
+def test_nothing_landed_is_no_work(spark, tmp_path):
+    for prefix in ("destinations", "entities", "live"):
+        (tmp_path / "bronze" / prefix).mkdir(parents=True)
+    assert M.run_once(spark, str(tmp_path)) == {}

@@ -16,15 +16,13 @@ def day_start(clock: str) -> Column:
 def latest_batch(df: DataFrame, order: str, at: date | datetime) -> DataFrame:
     """Rows of the newest day at or before ``at``, found by one narrow aggregate.
 
-    The day becomes a range on ``order``, so files outside it are skipped at the scan.
+    There are no rows between that day and the limit, so both bounds are plain values that
+    reach the scan, and files outside them are skipped.
     """
     day = at if isinstance(at, date) and not isinstance(at, datetime) else at.date()
     limit = F.lit(day).cast("timestamp_ntz") + F.expr("interval 1 day")
-    start = df.where(F.col(order) < limit).agg(F.max(day_start(order)).alias("start"))
-    return df.where(
-        (F.col(order) >= start.select("start").scalar())
-        & (F.col(order) < start.select(F.col("start") + F.expr("interval 1 day")).scalar())
-    )
+    landed = df.where(F.col(order) < limit)
+    return landed.where(F.col(order) >= landed.agg(F.max(day_start(order)).alias("start")).scalar())
 
 
 def as_of_nth_batch(df: DataFrame, order: str, n: int) -> DataFrame:

@@ -419,7 +419,7 @@ def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     merged = union_of_sources(spark, d)
     files.write_csv([merged.drop("size"), merged.select("id", "size").where("size is not null")], path)
     schema = "acctbal double, id bigint, name string, segment string, size int"
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
 
 def partitioned_parquet(spark: SparkSession, d: str) -> DataFrame:

@@ -69,7 +69,7 @@ def read_summary(spark: SparkSession, summary: dict, root: str | None = None) ->
 
 
 def write_csv(data: DataFrame | Sequence[DataFrame], path: str, mode: str = "errorifexists") -> bool:
-    """CSV with a header; NULL is the empty field. Returns whether anything was written.
+    """CSV with a header; NULL is the empty field and a quote is doubled. Returns whether it wrote.
 
     One table keeps its column order. Several are unioned over the sorted union of their
     columns, and nothing is written if they hold no rows.
@@ -82,7 +82,7 @@ def write_csv(data: DataFrame | Sequence[DataFrame], path: str, mode: str = "err
         rows = union_missing(data, sort_columns=True)
         if rows.isEmpty():
             return False
-    rows.write.option("header", True).option("nullValue", "").mode(mode).csv(path)
+    rows.write.option("header", True).option("nullValue", "").option("escape", '"').mode(mode).csv(path)
     return True
 
 
