@@ -55,6 +55,41 @@ def test_landing_to_gold(spark, tmp_path):
     }
 
 
+def test_maintenance_plan(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.retention import Retention
+    from tidemark.sources.tables import write_table
+
+    space = f"keep_{tmp_path.name.replace('-', '_')}"
+    names = [f"{space}.parks", f"{space}.absent"]
+    df = spark.range(3)
+    kept = [write_table(df, names[0], "overwrite", root=str(tmp_path))["snapshot_id"] for _ in range(3)]
+    write_table(df.limit(0), names[0], "overwrite", root=str(tmp_path))   # leaves an unused folder, never the newest
+    policy = [Retention(name, 7, 1) for name in names]
+
+    plan, report = M.table_expiry(spark, datetime.now(timezone.utc), policy)
+    assert plan.isEmpty()
+    plan, report = M.table_expiry(spark, datetime.now(timezone.utc) + timedelta(days=8), policy)
+    assert sorted(r.snapshot_id for r in plan.collect()) == kept[:2]
+    assert sorted(map(tuple, report.collect())) == [
+        (names[1], None, None, None, "skipped"), (names[0], 3, 1, 2, "ok"),
+    ]
+    assert spark.table(names[0]).agg(F.count("*")).first()[0] == 3
+
+
+def test_bronze_expiry(spark, tmp_path):
+    from tidemark.sources.bronze import write_bronze
+
+    for prefix in ("live", "entities"):
+        for day in (0, 7, 8, 31):
+            write_bronze(spark.range(1).coalesce(1), str(tmp_path), prefix, AT - timedelta(days=day))
+    due = M.bronze_expiry(spark, str(tmp_path), AT).where("expired")
+    assert sorted((r.prefix, (AT.date() - r.batch).days, r.files) for r in due.collect()) == [
+        ("entities", 8, 1), ("entities", 31, 1), ("live", 31, 1),
+    ]
+
+
 def test_nothing_landed_is_no_work(spark, tmp_path):
     for prefix in ("destinations", "entities", "live"):
         (tmp_path / "bronze" / prefix).mkdir(parents=True)

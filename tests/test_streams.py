@@ -2,12 +2,13 @@ import glob
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.functions.schemas import LIVE_BRONZE, LIVE_SILVER
 from tidemark.operators.latest import latest
 from tidemark.session import scratch_path
 from tidemark.sources.bronze import write_bronze
-from tidemark.sources.tables import write_table
+from tidemark.sources.tables import ensure_namespace, point_table, snapshot_log, table_versions
 from tidemark.streaming import live
 
 AT = datetime(2026, 3, 3, 15, 0, 0, tzinfo=timezone.utc)
@@ -76,7 +77,7 @@ def test_bronze_to_silver_to_gold(pipeline):
     # Stream and batch agree.
     whole = latest(pipeline.silver(), ["id"], ["ingest_timestamp"])
     assert sorted(map(str, pipeline.gold().collect())) == sorted(map(str, whole.select(pipeline.gold().columns).collect()))
-    assert {r.epoch for r in live.gold_epochs(pipeline.spark, f"{pipeline.base}/gold").collect()} == set(pipeline.committed)
+    assert {r.snapshot_id for r in live.gold_versions(pipeline.spark, f"{pipeline.base}/gold").collect()} == set(pipeline.committed)
 
 
 def test_bad_line_stops_the_stream(spark, tmp_path, pipeline):
@@ -91,6 +92,7 @@ def test_bad_line_stops_the_stream(spark, tmp_path, pipeline):
 def test_gold_table_follows_the_stream(spark, tmp_path):
     """The commit hook may point a catalog table at each state."""
     name = f"gold_{tmp_path.name.replace('-', '_')}.current"
+    ensure_namespace(spark, name.split(".")[0], str(tmp_path))
     pipe = Pipeline(spark, tmp_path)
     pipe.land(0, {1: 10})
 
@@ -100,13 +102,15 @@ def test_gold_table_follows_the_stream(spark, tmp_path):
         silver = spark.readStream.schema(LIVE_SILVER).parquet(f"{tmp_path}/silver")
         live.silver_to_gold(
             silver, f"{tmp_path}/gold", f"{tmp_path}/cp-gold",
-            on_commit=lambda n, path: write_table(spark.read.parquet(path), name, "overwrite", root=str(tmp_path), version=n),
+            on_commit=lambda n, path: point_table(spark, name, path, LIVE_SILVER),
         ).awaitTermination()
 
     run()
     pipe.land(5, {1: 11, 2: 20})
     run()
     assert {r.id: r.wait_time for r in spark.table(name).collect()} == {1: 11, 2: 20}
+    assert {r.version: r.rows for r in table_versions(spark, name).collect()} == {0: 1, 1: 2}
+    assert snapshot_log(spark, [name]).count() == 2
 
 
 def test_periodic_trigger(spark, tmp_path, pipeline):
@@ -121,9 +125,11 @@ def test_periodic_trigger(spark, tmp_path, pipeline):
         query.stop()
 
 
-def test_gold_of_nothing(spark, tmp_path):
-    (tmp_path / "gold").mkdir()
-    assert live.read_gold(spark, str(tmp_path / "gold"), LIVE_SILVER).count() == 0
+def test_state_without_its_marker_does_not_count(spark, tmp_path, pipeline):
+    pipeline.land(0, {1: 10})
+    pipeline.run()
+    pipeline.gold().withColumn("wait_time", F.lit(99).cast("long")).write.parquet(f"{tmp_path}/gold/version=7")
+    assert pipeline.waits() == {1: 10}
 
 
 def test_shared_folder_comes_from_the_session(spark):

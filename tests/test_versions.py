@@ -25,6 +25,17 @@ def test_latest_batch_at_or_before(spark):
     assert ids(date(2026, 1, 29)) == []
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_latest_batch_of_instants_takes_utc_days(spark, settings, zone):
+    settings(spark__sql__session__timeZone=zone)
+    times = ["2026-02-01T00:00:00Z", "2026-02-01T23:59:59Z", "2026-02-02T00:00:00Z"]
+    df = spark.createDataFrame(list(enumerate(times)), "id long, t string").select("id", F.col("t").cast("timestamp").alias("ts"))
+    assert sorted(r.id for r in V.latest_batch(df, "ts", date(2026, 2, 1)).collect()) == [0, 1]
+    assert sorted(r.id for r in V.as_of_nth_batch(df, "ts", 2).collect()) == [0, 1]
+    got = V.version_list(df, F.col("ts")).orderBy("batch")
+    assert [(r.added, r.total) for r in got.collect()] == [(1, 1), (1, 2), (1, 3)]
+
+
 def test_as_of_nth_batch(spark):
     def ids(n):
         return sorted(r.id for r in V.as_of_nth_batch(events(spark), "ts", n).collect())

@@ -3,31 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from tidemark.functions.columns import moment, utc_date
 
-def day_start(clock: str) -> Column:
-    """Start of a time column's day, in the column's own clock."""
-    return F.col(clock).cast("date").cast("timestamp_ntz")
+
+def day_start(df: DataFrame, name: str) -> Column:
+    """Start of a time column's day in UTC, in the column's own type."""
+    day = utc_date(df, name)
+    if isinstance(df.schema[name].dataType, T.TimestampType):
+        return F.timestamp_seconds(F.unix_date(day).cast("bigint") * 86400)
+    return day.cast("timestamp_ntz")
 
 
 def latest_batch(df: DataFrame, order: str, at: date | datetime) -> DataFrame:
-    """Rows of the newest day at or before ``at``, found by one narrow aggregate.
+    """Rows of the newest UTC day at or before the day of ``at``, found by one narrow aggregate.
 
     There are no rows between that day and the limit, so both bounds are plain values that
     reach the scan, and files outside them are skipped.
     """
     day = at if isinstance(at, date) and not isinstance(at, datetime) else at.date()
-    limit = F.lit(day).cast("timestamp_ntz") + F.expr("interval 1 day")
+    limit = moment(datetime.combine(day, time()) + timedelta(days=1), df.schema[order].dataType)
     landed = df.where(F.col(order) < limit)
-    return landed.where(F.col(order) >= landed.agg(F.max(day_start(order)).alias("start")).scalar())
+    return landed.where(F.col(order) >= landed.agg(F.max(day_start(df, order)).alias("start")).scalar())
 
 
 def as_of_nth_batch(df: DataFrame, order: str, n: int) -> DataFrame:
     """Rows present after the n-th newest day was written: that day and all before it."""
-    days = df.select(day_start(order).alias("day")).distinct()
+    days = df.select(day_start(df, order).alias("day")).distinct()
     newest_days = days.orderBy(F.col("day").desc_nulls_last()).limit(n)
     end = newest_days.agg((F.min("day") + F.expr("interval 1 day")).alias("end"))
     return df.where(F.col(order) < end.scalar())
@@ -40,7 +45,7 @@ def version_list(df: DataFrame, batch: Column, by: Sequence[str] = (), period: s
     the periods among themselves, so no task orders the whole list.
     """
     counts = df.groupBy(*by, batch.alias("batch")).agg(F.count(F.lit(1)).alias("added"))
-    counts = counts.withColumn("_period", F.trunc(F.col("batch").cast("date"), period))
+    counts = counts.withColumn("_period", F.trunc(utc_date(counts, "batch"), period))
     inside = W.partitionBy(*by, "_period").orderBy(F.col("batch").asc_nulls_last())
     # Without ``by`` this window takes one row per calendar period.
     across = W.partitionBy(*by).orderBy(F.col("_period").asc_nulls_last())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -18,8 +19,9 @@ from tidemark.operators.flatten import (
     split_outcomes,
 )
 from tidemark.operators.latest import having_partner, latest
-from tidemark.sources.bronze import latest_bronze, read_bronze, write_bronze
-from tidemark.sources.tables import write_table
+from tidemark.operators.retention import BRONZE_DAYS, TABLE_POLICY, Retention, batch_retention, expire_plan, expire_report
+from tidemark.sources.bronze import landed_batches, latest_bronze, read_bronze, write_bronze
+from tidemark.sources.tables import snapshot_log, write_table
 
 
 def batch_stamp(at: datetime | None = None) -> str:
@@ -89,6 +91,22 @@ def refresh_gold(
     return summary | {"rows_before": seen.get["rows"]}
 
 
+def table_expiry(
+    spark: SparkSession, now: datetime, policy: Sequence[Retention] = TABLE_POLICY
+) -> tuple[DataFrame, DataFrame]:
+    """The daily maintenance: versions of the policy's tables that are due, and its report."""
+    log = snapshot_log(spark, [rule.table for rule in policy])
+    return expire_plan(log, policy, now), expire_report(log, policy, now)
+
+
+def bronze_expiry(
+    spark: SparkSession, root: str, now: datetime, days: Mapping[str, int] = BRONZE_DAYS, default_days: int = 30
+) -> DataFrame:
+    """Landed batches of every prefix, with their files and whether they are past its days."""
+    landed = landed_batches(spark, root).withColumn("day", F.col("landed_at").cast("date"))
+    return batch_retention(landed, "prefix", "day", days, default_days, F.lit(now.astimezone(timezone.utc).date()))
+
+
 def run_once(spark: SparkSession, root: str, run_at: datetime | None = None, tables: str | None = None) -> dict:
     """Take the newest landed batch of every kind at or before a run through silver to gold."""
     done = {}

@@ -73,17 +73,51 @@ def table_location(spark: SparkSession, name: str) -> str:
     return details.first()["data_type"]
 
 
+def _versioned(spark: SparkSession, name: str) -> tuple[str, int]:
+    """Base folder of a table's versions, and the version it reads."""
+    base, version = table_location(spark, name).rsplit("/version=", 1)
+    return base, int(version)
+
+
 def table_versions(spark: SparkSession, name: str) -> DataFrame:
     """The full writes of a table that are still on disk, with their row counts."""
-    base = table_location(spark, name).rsplit("/version=", 1)[0]
-    rows = spark.read.schema("version bigint").parquet(base)
+    rows = spark.read.schema("version bigint").parquet(_versioned(spark, name)[0])
     return rows.groupBy("version").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def snapshot_log(spark: SparkSession, names: Iterable[str]) -> DataFrame:
+    """When each version of the tables that exist was completed, from file listings alone.
+
+    The input of a retention plan. Folders newer than the version a table reads belong to
+    writes that never completed; they are left out, so the version in use counts as newest.
+    """
+    log = spark.createDataFrame([], "table string, snapshot_id bigint, committed_at timestamp, files bigint, bytes bigint")
+    for name in names:
+        if not spark.catalog.tableExists(name):
+            continue
+        base, current = _versioned(spark, name)
+        listing = (
+            spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        )
+        version = F.regexp_extract("path", r"/version=(\d+)/", 1).cast("bigint")
+        log = log.unionByName(
+            listing.load(base)
+            .select(version.alias("snapshot_id"), "modificationTime", "length")
+            .where(F.col("snapshot_id") <= current)
+            .groupBy("snapshot_id")
+            .agg(
+                F.max("modificationTime").alias("committed_at"),
+                F.count(F.lit(1)).alias("files"),
+                F.sum("length").alias("bytes"),
+            )
+            .withColumn("table", F.lit(name))
+        )
+    return log
+
+
 def read_version(spark: SparkSession, name: str, version: int) -> DataFrame:
     """A table as an earlier full write left it."""
-    base = table_location(spark, name).rsplit("/version=", 1)[0]
-    return spark.read.parquet(f"{base}/version={version}")
+    return spark.read.parquet(f"{_versioned(spark, name)[0]}/version={version}")
 
 
 def write_table(
@@ -136,14 +170,14 @@ def write_table(
                 {c: F.lit(None).cast(spark.table(name).schema[c].dataType) for c in drift.removed}
             )
         if exists:
-            base = table_location(spark, name).rsplit("/version=", 1)[0]
+            base, _ = _versioned(spark, name)
             partition_by = partition_by or _partition_columns(spark, name)
         else:
             base = f"{(root or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{namespace}.db/{table}"
         location = f"{base}/version={snapshot}"
         written = _write_folder(rows, location, partition_by)
         if written:
-            _point(spark, name, location, rows.schema, partition_by)
+            point_table(spark, name, location, rows.schema, partition_by)
 
     return {
         "table": name,
@@ -198,8 +232,13 @@ def _partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def _point(spark: SparkSession, name: str, location: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
-    """Make the table read ``location``. The files it read before stay where they are."""
+def point_table(
+    spark: SparkSession, name: str, location: str, schema: T.StructType, partition_by: Sequence[str] = ()
+) -> None:
+    """Make the table read ``location``, a complete ``version=`` folder; create it if absent.
+
+    Only the catalog changes. The files the table read before stay where they are.
+    """
     exists = spark.catalog.tableExists(name)
     if exists and not partition_by and not column_drift(spark.table(name).schema, schema):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")

@@ -64,16 +64,19 @@ def silver_to_gold(
     every: str | None = None,
     on_commit: Callable[[int, str], None] | None = None,
 ) -> StreamingQuery:
-    """Keep one current row per key, writing each state to ``gold_path/epoch=<n>``.
+    """Keep one current row per key, writing each state to ``gold_path/version=<epoch>``.
 
-    A retried epoch replaces its own folder; a restart without new rows writes none. One
-    checkpoint belongs to one ``gold_path``. ``on_commit`` is called after each full write,
-    for instance to point a table at the new folder.
+    A state counts once its marker, a single file, is there. A retried epoch replaces its own
+    folder; a restart without new rows writes none. One checkpoint belongs to one
+    ``gold_path``. ``on_commit`` gets the epoch and the folder after each complete write, for
+    instance to let ``point_table`` make a table read it.
     """
 
     def commit(state: DataFrame, epoch: int) -> None:
-        folder = f"{gold_path.rstrip('/')}/epoch={epoch}"
+        folder = f"{gold_path.rstrip('/')}/version={epoch}"
         state.write.mode("overwrite").parquet(folder)
+        marker = state.sparkSession.range(epoch, epoch + 1, 1, 1)
+        marker.write.mode("overwrite").parquet(f"{_markers(gold_path)}/version={epoch}")
         if on_commit:
             on_commit(epoch, folder)
 
@@ -86,18 +89,20 @@ def silver_to_gold(
     return _triggered(writer, every).start()
 
 
-def gold_epochs(spark: SparkSession, gold_path: str) -> DataFrame:
-    """The files of each epoch on disk, from a listing alone."""
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+def _markers(gold_path: str) -> str:
+    return f"{gold_path.rstrip('/')}.committed"
+
+
+def gold_versions(spark: SparkSession, gold_path: str) -> DataFrame:
+    """The complete states and when they were completed, from a listing of their markers."""
+    markers = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    version = F.regexp_extract("path", r"/version=(\d+)/[^/]+$", 1).cast("bigint")
+    return markers.load(_markers(gold_path)).select(
+        version.alias("snapshot_id"), F.col("modificationTime").alias("committed_at")
     )
-    epoch = F.regexp_extract("path", r"/epoch=(\d+)/[^/]+$", 1).cast("bigint")
-    return listing.load(gold_path).select(epoch.alias("epoch"), "path", "length")
 
 
 def read_gold(spark: SparkSession, gold_path: str, schema: T.StructType) -> DataFrame:
-    """Current state: the newest epoch. Files of an epoch appear only when its job commits."""
-    newest_epoch = gold_epochs(spark, gold_path).agg(F.max("epoch").alias("m")).first()["m"]
-    if newest_epoch is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{gold_path.rstrip('/')}/epoch={newest_epoch}")
+    """Current state: the newest complete one. Only its number comes to the driver."""
+    current = gold_versions(spark, gold_path).agg(F.max("snapshot_id").alias("m")).first()["m"]
+    return spark.read.schema(schema).parquet(f"{gold_path.rstrip('/')}/version={current}")
