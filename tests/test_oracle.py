@@ -66,3 +66,10 @@ def test_result_does_not_depend_on_the_session(spark, sf_dir, duck, settings, na
 
 def test_entry_runs(spark):
     assert driver.entry(spark).columns == ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def test_stated_schemas_are_those_of_the_files(spark, sf_dir):
+    from tidemark.plans.catalogue import TABLES, read
+
+    for name in TABLES:
+        assert read(spark, sf_dir, name).dtypes == spark.read.parquet(f"{sf_dir}/{name}.parquet").dtypes

@@ -35,8 +35,23 @@ CUT = datetime(2024, 1, 10, tzinfo=timezone.utc)
 BATCH_TIME = datetime(2024, 2, 1, 3, 0, 0, tzinfo=timezone.utc)
 
 
+# The schemas of the test tables the queries read.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _parks_of_region(spark: SparkSession, d: str, region: int) -> DataFrame:
