@@ -24,15 +24,18 @@ BODIES = {
 def payloads(spark):
     data = [(k, json.dumps(v), None) for k, v in BODIES.items()]
     data += [(7, "<html>busy</html>", None), (8, None, "HTTP 500"), (9, None, None), (10, json.dumps(BODIES[2]), "timeout")]
+    data += [(11, '{"rides": [{"id": "x1"}, {"id": 2}]}', None), (12, "[1]", None), (13, "", None), (14, "null", None)]
     return spark.createDataFrame(data, PAYLOAD)
 
 
 def test_outcomes_isolate_failures(spark):
     good, failed = X.split_outcomes(payloads(spark))
     assert sorted(r.park_id for r in good.collect()) == [1, 2, 3, 4, 5, 6]
+    unreadable, misfit = "body is missing or not JSON", "body does not fit the schema"
     assert {r.park_id: r.error for r in failed.collect()} == {
-        7: "body is missing or not JSON", 8: "HTTP 500", 9: "body is missing or not JSON", 10: "timeout",
+        7: unreadable, 8: "HTTP 500", 9: unreadable, 10: "timeout", 11: misfit, 12: misfit, 13: unreadable, 14: misfit,
     }
+    assert {r.park_id: r.body for r in failed.collect()} == {r.park_id: r.body for r in payloads(spark).where("park_id > 6").collect()}
 
 
 def test_rides_in_lands_and_outside(spark):
@@ -45,6 +48,12 @@ def test_rides_in_lands_and_outside(spark):
     assert (rows[500].wait_time, rows[501].wait_time, rows[301].wait_time) == (12, 7, None)
 
 
+def test_rides_from_text_and_from_the_parsed_body_agree(spark):
+    good, _ = X.split_outcomes(payloads(spark))
+    text = payloads(spark).where("park_id <= 6").drop("error")
+    assert sorted(map(str, X.extract_rides(good).collect())) == sorted(map(str, X.extract_rides(text).collect()))
+
+
 def test_bad_wait_time_is_an_error(spark):
     df = spark.createDataFrame([(1, json.dumps({"rides": [ride(1, wait_time="long")]}), None)], PAYLOAD)
     with pytest.raises(Exception, match="not a whole number"):

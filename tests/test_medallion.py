@@ -47,11 +47,23 @@ def test_landing_to_gold(spark, tmp_path):
     assert (landed["rows_written"], landed["failed"]) == (2, 1)
     second = M.run_once(spark, root, later, tables)
     assert (second["gold"]["rows_before"], second["gold"]["rows_written"]) == (4, 3)
+
+    # The next day only that day's rows are read, and a full refresh gives the same.
+    tomorrow = AT + timedelta(days=1)
+    M.land_live(payloads(spark, (10, body({101: 8, 102: None}), None)), entities, root, tomorrow)
+    third = M.run_once(spark, root, tomorrow, tables)
+    assert (third["gold"]["rows_before"], third["gold"]["rows_written"]) == (2, 3)
+    merged = sorted(map(str, spark.table("gold.live_data_current").collect()))
+    again = M.refresh_gold(spark, root=tables, since=AT.date())
+    assert (again["rows_before"], again["rows_written"]) == (6, 3)
+    assert sorted(map(str, spark.table("gold.live_data_current").collect())) == merged
+    assert M.refresh_gold(spark, root=tables)["rows_before"] == 6
+    assert sorted(map(str, spark.table("gold.live_data_current").collect())) == merged
     gold = {r.id: (r.wait_time, r.status) for r in spark.table("gold.live_data_current").collect()}
-    assert gold == {100: (35, "OPERATING"), 101: (None, "CLOSED"), 102: (5, "OPERATING")}
+    assert gold == {100: (35, "OPERATING"), 101: (8, "OPERATING"), 102: (None, "CLOSED")}
     assert "ingest_date" not in spark.table("gold.live_data_current").columns
     assert {r.ingest_timestamp for r in spark.table("silver.live_data").select("ingest_timestamp").distinct().collect()} == {
-        AT.replace(tzinfo=None), later.replace(tzinfo=None),
+        AT.replace(tzinfo=None), later.replace(tzinfo=None), tomorrow.replace(tzinfo=None),
     }
 
 

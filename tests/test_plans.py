@@ -58,11 +58,16 @@ def test_top_n_does_not_sort_everything(spark, sf_dir):
     assert "TakeOrderedAndProject" in text and "Exchange" not in text
 
 
-@pytest.mark.parametrize("name", ["normalize_live", "land_flatten", "queue_flatten", "explode_parks", "payload_rows", "parse_ts"])
+@pytest.mark.parametrize("name", ["normalize_live", "land_flatten", "queue_flatten", "explode_parks", "payload_rows", "parse_ts", "quarantine", "good_rides"])
 def test_row_functions_do_not_shuffle(spark, sf_dir, name):
     assert "Exchange" not in plan(spark, sf_dir, name)
 
 
+def test_payloads_are_parsed_once(spark, sf_dir):
+    for name in ("good_rides", "land_flatten", "queue_flatten"):
+        assert plan(spark, sf_dir, name).count("from_json(") == 1
+
+
 STORED = {"bronze_roundtrip", "csv_roundtrip", "partitioned_parquet", "table_append", "table_overwrite", "silver_stream", "gold_stream"}
 
 

@@ -26,11 +26,13 @@ def explode_parks(destinations: DataFrame, parks: str = "parks") -> DataFrame:
 def extract_rides(payloads: DataFrame, body: str = "body") -> DataFrame:
     """One row per ride, from the rides inside lands and from those outside any land.
 
-    The other columns of ``payloads`` (its key) are kept. Missing lists and a body that is no
-    JSON give no rows; see ``split_outcomes`` for the latter.
+    ``body`` is JSON text, or the struct that ``split_outcomes`` gives. The other columns of
+    ``payloads`` (its key) are kept. Missing lists give no rows, and so does text that is no
+    JSON: split first, to see which payloads failed.
     """
     keep = [c for c in payloads.columns if c != body]
-    parsed = payloads.select(*keep, F.from_json(body, PAYLOAD_BODY).alias("_p"))
+    is_text = isinstance(payloads.schema[body].dataType, T.StringType)
+    parsed = payloads.select(*keep, (F.from_json(body, PAYLOAD_BODY) if is_text else F.col(body)).alias("_p"))
 
     def placed(rides: Column, land_id: Column, land_name: Column) -> Column:
         return F.transform(
@@ -54,6 +56,9 @@ def extract_rides(payloads: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+UNREADABLE = "body is missing or not JSON"
+
+
 def outcomes(payloads: DataFrame, body: str = "body", error: str = "error") -> DataFrame:
     """Add ``success``: no error was reported and the body is JSON. A bad body gets an error text."""
     readable = F.try_parse_json(body).isNotNull()
@@ -61,15 +66,37 @@ def outcomes(payloads: DataFrame, body: str = "body", error: str = "error") -> D
     return payloads.withColumns(
         {
             "success": ~reported & readable,
-            error: F.when(reported, F.col(error)).when(~readable, F.lit("body is missing or not JSON")),
+            error: F.when(reported, F.col(error)).when(~readable, F.lit(UNREADABLE)),
         }
     )
 
 
-def split_outcomes(payloads: DataFrame, body: str = "body", error: str = "error") -> tuple[DataFrame, DataFrame]:
-    """Good payloads, and failed ones for quarantine. Together they are all the input rows."""
-    tagged = outcomes(payloads, body, error)
-    return tagged.where("success").drop("success", error), tagged.where("not success").drop("success")
+def split_outcomes(
+    payloads: DataFrame, body: str = "body", error: str = "error", schema: T.StructType = PAYLOAD_BODY
+) -> tuple[DataFrame, DataFrame]:
+    """Good payloads with their body parsed, and failed ones as they came, for quarantine.
+
+    A payload fails if an error was reported, if its body is no JSON, or if a value in it does
+    not fit the schema, which would otherwise be read as NULL. Together they are all input rows.
+    """
+    keep = [c for c in payloads.columns if c not in (body, error)]
+    misfit = T.StructField("_misfit", T.StringType())
+    parsed = payloads.withColumn(
+        "_parsed", F.from_json(body, T.StructType([*schema, misfit]), {"columnNameOfCorruptRecord": "_misfit"})
+    )
+    ok = F.col(error).isNull() & F.col("_parsed").isNotNull() & F.col("_parsed._misfit").isNull()
+    reason = (
+        F.when(F.col(error).isNotNull(), F.col(error))
+        .when(F.try_parse_json(body).isNull(), F.lit(UNREADABLE))
+        .otherwise(F.lit("body does not fit the schema"))
+    )
+    # Exploding a list of one or none keeps the rows wanted and parses each body once; a filter
+    # would be moved below the parsing and repeat it.
+    good = parsed.select(
+        *keep, F.explode(F.when(ok, F.array(F.col("_parsed").dropFields("_misfit")))).alias(body)
+    )
+    failed = parsed.select(*keep, F.inline(F.when(~ok, F.array(F.struct(F.col(body), reason.alias(error))))))
+    return good, failed
 
 
 def entity_rows(rides: DataFrame, ingest_timestamp: str, entity_type: str = "ATTRACTION") -> DataFrame:

@@ -246,6 +246,27 @@ def error_split(spark: SparkSession, d: str) -> DataFrame:
     return flatten.outcomes(payloads, body="props").drop("props")
 
 
+def quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Failed payloads: reported errors, unreadable bodies, and values that do not fit."""
+    kind = F.col("event_type")
+    body = (
+        F.when(kind == "view", F.format_string('{"rides": [{"id": %d, "wait_time": 5}]}', F.col("event_id")))
+        .when(kind == "click", F.lit("<html>busy</html>"))
+        .when(kind != "error", F.lit('{"rides": [{"id": "none"}]}'))
+    )
+    error = F.when(kind == "error", F.concat(F.lit("HTTP "), F.get_json_object("props", "$.k")))
+    payloads = read(spark, d, "events").select("event_id", body.alias("body"), error.alias("error"))
+    return flatten.split_outcomes(payloads)[1]
+
+
+def good_rides(spark: SparkSession, d: str) -> DataFrame:
+    """Rides of the payloads that did not fail."""
+    kind = F.col("event_type")
+    body = F.when(kind != "error", F.format_string('{"rides": [{"id": %d, "wait_time": %s}]}', F.col("event_id"), F.col("value")))
+    payloads = read(spark, d, "events").select("user_id", body.alias("body"), F.lit(None).cast("string").alias("error"))
+    return flatten.extract_rides(flatten.split_outcomes(payloads)[0]).select("user_id", "land_id", "id", "wait_time")
+
+
 def normalize_live(spark: SparkSession, d: str) -> DataFrame:
     is_view = F.col("event_type") == "view"
     rides = read(spark, d, "events").select(
@@ -512,6 +533,8 @@ QUERIES: dict[str, Query] = {
     "destinations_flat": destinations_flat,
     "land_flatten": land_flatten,
     "error_split": error_split,
+    "quarantine": quarantine,
+    "good_rides": good_rides,
     "normalize_live": normalize_live,
     "queue_flatten": queue_flatten,
     "json_flatten": json_flatten,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -18,9 +18,9 @@ from tidemark.operators.flatten import (
     normalize_live,
     split_outcomes,
 )
-from tidemark.operators.latest import having_partner, latest
+from tidemark.operators.latest import having_partner, latest, upsert
 from tidemark.operators.retention import BRONZE_DAYS, TABLE_POLICY, Retention, batch_retention, expire_plan, expire_report
-from tidemark.sources.bronze import landed_batches, latest_bronze, read_bronze, write_bronze
+from tidemark.sources.bronze import batch_time, landed_batches, latest_bronze, read_bronze, write_bronze
 from tidemark.sources.tables import snapshot_log, write_table
 
 
@@ -79,15 +79,27 @@ def append_live(spark: SparkSession, path: str, root: str | None = None, on_drif
 
 
 def refresh_gold(
-    spark: SparkSession, silver: str = "silver.live_data", gold: str = "gold.live_data_current", root: str | None = None
+    spark: SparkSession,
+    silver: str = "silver.live_data",
+    gold: str = "gold.live_data_current",
+    root: str | None = None,
+    since: date | None = None,
 ) -> dict:
     """``silver.live_data`` to one current row per entity, with the row count before and after.
 
-    The batch form reads the whole history; ``streaming.live.silver_to_gold`` keeps it as state.
+    With ``since`` only the history from that ingest date on is read, and merged into the
+    gold there is: the newest of both is the newest of all, and merging a day again changes
+    nothing. Without it, or without gold, the whole history is read.
     """
     seen = Observation()
-    history = spark.table(silver).drop("ingest_date").observe(seen, F.count(F.lit(1)).alias("rows"))
-    summary = write_table(latest(history, ["id"], ["ingest_timestamp"]), gold, "overwrite", "recreate", root=root)
+    history = spark.table(silver)
+    merge = since is not None and spark.catalog.tableExists(gold)
+    if merge:
+        history = history.where(F.col("ingest_date") >= F.lit(since))
+    rows = history.drop("ingest_date").observe(seen, F.count(F.lit(1)).alias("rows"))
+    keys, order = ["id"], ["ingest_timestamp"]
+    current = upsert(spark.table(gold), rows, keys, order) if merge else latest(rows, keys, order)
+    summary = write_table(current, gold, "overwrite", "recreate", root=root)
     return summary | {"rows_before": seen.get["rows"]}
 
 
@@ -116,5 +128,5 @@ def run_once(spark: SparkSession, root: str, run_at: datetime | None = None, tab
         done["entities"] = refresh_entities(spark, path, tables)
     if path := latest_bronze(spark, root, "live", run_at):
         done["live"] = append_live(spark, path, tables)
-        done["gold"] = refresh_gold(spark, root=tables)
+        done["gold"] = refresh_gold(spark, root=tables, since=batch_time(path).date())
     return done

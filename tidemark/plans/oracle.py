@@ -108,6 +108,16 @@ ORACLE: dict[str, str] = {
         select event_id, user_id, event_type <> 'error' as success,
                case when event_type = 'error' then 'HTTP ' || cast(json_extract(props, '$.k') as bigint) end as error
         from events""",
+    "quarantine": """
+        select event_id,
+               case event_type when 'error' then null when 'click' then '<html>busy</html>'
+                    else '{"rides": [{"id": "none"}]}' end as body,
+               case event_type when 'error' then 'HTTP ' || cast(json_extract(props, '$.k') as bigint)
+                    when 'click' then 'body is missing or not JSON' else 'body does not fit the schema' end as error
+        from events where event_type <> 'view'""",
+    "good_rides": """
+        select user_id, cast(null as bigint) as land_id, event_id as id, cast(trunc(value) as bigint) as wait_time
+        from events where event_type <> 'error'""",
     "normalize_live": """
         select user_id as park_id, cast(null as bigint) as land_id, cast(null as varchar) as land_name,
                event_id as id, event_type as name, 'ATTRACTION' as "entityType",

@@ -55,6 +55,10 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
 def ensure_namespace(spark: SparkSession, namespace: str, root: str | None = None) -> None:
     place = f" LOCATION '{root.rstrip('/')}/{namespace}.db'" if root else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`{place}")
@@ -69,7 +73,7 @@ def read_table(spark: SparkSession, name: str, where: str = "", limit: int | Non
 
 
 def table_location(spark: SparkSession, name: str) -> str:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").where("col_name = 'Location'")
     return details.first()["data_type"]
 
 
@@ -161,7 +165,7 @@ def write_table(
     if exists and mode == "append" and not (drift and on_drift == "recreate"):
         if drift.added:
             fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in drift.added)
-            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({fields})")
+            spark.sql(f"ALTER TABLE {_quoted(name)} ADD COLUMNS ({fields})")
         written = _append(rows, name)
         location = table_location(spark, name)
     else:
@@ -241,14 +245,14 @@ def point_table(
     """
     exists = spark.catalog.tableExists(name)
     if exists and not partition_by and not column_drift(spark.table(name).schema, schema):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION '{location}'")
         spark.catalog.refreshTable(name)
         return
     if exists:
-        spark.sql(f"DROP TABLE {name}")  # an external table: only the catalog entry goes
+        spark.sql(f"DROP TABLE {_quoted(name)}")  # an external table: only the catalog entry goes
     data = [f for f in schema if f.name not in partition_by]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*data, *[schema[c] for c in partition_by]])
     parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet{parts} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE {_quoted(name)} ({fields}) USING parquet{parts} LOCATION '{location}'")
     if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.sql(f"MSCK REPAIR TABLE {_quoted(name)}")
