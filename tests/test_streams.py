@@ -125,6 +125,10 @@ def test_periodic_trigger(spark, tmp_path, pipeline):
         query.stop()
 
 
+def test_gold_before_the_first_state(spark, tmp_path):
+    assert live.read_gold(spark, str(tmp_path / "gold"), LIVE_SILVER).count() == 0
+
+
 def test_state_without_its_marker_does_not_count(spark, tmp_path, pipeline):
     pipeline.land(0, {1: 10})
     pipeline.run()

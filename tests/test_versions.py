@@ -138,6 +138,31 @@ def test_expire_plan_equals_ranking(spark):
     assert report.agg(F.sum("expired")).first()[0] == want.count()
 
 
+def test_nothing_kept_by_number(spark):
+    policy = [R.Retention("gold", 7, 0), R.Retention("live", 30, 0)]
+    got = sorted((r.table, r.snapshot_id) for r in R.expire_plan(versions(spark), policy, NOW).collect())
+    assert got == [("gold", 78), ("gold", 79), ("gold", 80), ("live", 40), ("live", 68), ("live", 69)]
+    report = {r.table: tuple(r)[1:] for r in R.expire_report(versions(spark), policy, NOW).collect()}
+    assert report == {"gold": (3, 0, 3, "ok"), "live": (7, 4, 3, "ok")}
+
+
+def test_versions_without_a_time_are_last_and_never_due(spark):
+    df = versions(spark).unionByName(versions(spark).where("table = 'gold'").withColumn("committed_at", F.lit(None).cast("timestamp")))
+    got = sorted(r.snapshot_id for r in R.expire_plan(df.where("table = 'gold'"), POLICY, NOW).collect())
+    assert got == [78]
+
+
+def test_many_versions_on_the_day_that_decides(spark):
+    df = spark.range(500).select(
+        F.lit("live").alias("table"), F.col("id").alias("snapshot_id"),
+        (F.lit(NOW) - F.make_dt_interval(F.when(F.col("id") < 3, 10).otherwise(60)) + F.make_dt_interval(mins=(F.col("id") % 7).cast("int"))).alias("committed_at"),
+    )
+    kept = 3 + 7
+    got = {r.snapshot_id for r in R.expire_plan(df, [R.Retention("live", 30, kept)], NOW).collect()}
+    ranked = [r.snapshot_id for r in df.orderBy(F.desc("committed_at"), F.desc("snapshot_id")).collect()]
+    assert got == set(ranked[kept:])
+
+
 def test_more_rules_than_are_broadcast(spark, monkeypatch):
     want = sorted(map(tuple, R.expire_plan(versions(spark), POLICY, NOW).collect()))
     monkeypatch.setattr(R, "BROADCAST_RULES", 0)

@@ -503,7 +503,8 @@ def silver_stream(spark: SparkSession, d: str) -> DataFrame:
 def gold_stream(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "gold-stream")
     schema = read(spark, d, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    # A pattern, as a stream takes a plain path for a folder; this table may be a folder or a file.
+    source = spark.readStream.schema(schema).parquet(f"{d}/events[.]parquet")
     query = live.silver_to_gold(source, f"{root}/gold", f"{root}/checkpoint", ENTITY_KEY, TIME, TIE)
     query.awaitTermination()
     return live.read_gold(spark, f"{root}/gold", schema)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -103,6 +104,14 @@ def gold_versions(spark: SparkSession, gold_path: str) -> DataFrame:
 
 
 def read_gold(spark: SparkSession, gold_path: str, schema: T.StructType) -> DataFrame:
-    """Current state: the newest complete one. Only its number comes to the driver."""
-    current = gold_versions(spark, gold_path).agg(F.max("snapshot_id").alias("m")).first()["m"]
+    """Current state: the newest complete one, or no rows before the first.
+
+    Only the number of the state comes to the driver.
+    """
+    try:
+        current = gold_versions(spark, gold_path).agg(F.max("snapshot_id").alias("m")).first()["m"]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{gold_path.rstrip('/')}/version={current}")
