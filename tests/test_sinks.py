@@ -85,7 +85,25 @@ def test_latest_bronze_at_or_before_the_run(spark, tmp_path):
     assert newest(times[1]) == paths[1]
     assert newest(times[1].replace(hour=17)) == paths[0]
     assert newest(AT.replace(year=2025)) is None
-    assert B.landed_batches(spark, str(tmp_path)).select("prefix", "batch").distinct().count() == 4
+    assert B.landed_batches(spark, str(tmp_path)).count() == 4
+
+    # Batches that are single files count as well.
+    single = tmp_path / "bronze" / "live" / "2026" / "05" / "01"
+    single.mkdir(parents=True)
+    (single / "101112.jsonl").write_text('{"id": 5}\n')
+    with gzip.open(single / "101113.jsonl.gz", "wt") as f:
+        f.write('{"id": 6}\n')
+    (single / "notes.jsonl").write_text("not a batch")
+    assert newest() == f"{single}/101113.jsonl.gz"
+    assert [r.id for r in B.read_bronze(spark, newest(), SMALL).collect()] == [6]
+    assert newest(AT.replace(month=5, day=1, hour=10, minute=11, second=12)) == f"{single}/101112.jsonl"
+    assert B.batch_time(newest()) == AT.replace(month=5, day=1, hour=10, minute=11, second=13)
+
+
+def test_a_batch_in_many_files_is_listed_once(spark, tmp_path):
+    for n, rows in enumerate((0, 1, 500)):
+        B.write_bronze(spark.range(rows).repartition(4), str(tmp_path), "live", AT.replace(hour=n), rows_per_file=20)
+    assert B.landed_batches(spark, str(tmp_path)).count() == 3
 
 
 def test_inference_is_for_looking_around(spark, tmp_path):

@@ -43,6 +43,24 @@ def test_overwrite_replaces_and_keeps_the_old_version_readable(spark, name, root
     assert T.read_version(spark, name, first["snapshot_id"]).count() == 2
 
 
+def test_history_records_every_complete_write(spark, name, root):
+    first = T.write_table(frame(spark, [(1, "a"), (2, "b")]), name, root=root)
+    second = T.write_table(frame(spark, [(3, "c")]), name, root=root)
+    third = T.write_table(frame(spark, [(4, "d")]), name, "overwrite", root=root)
+    T.write_table(frame(spark, []), name, root=root)
+    history = T.table_history(spark, name).orderBy("snapshot_id").collect()
+    assert [(r.snapshot_id, r.version, r.operation, r.rows) for r in history] == [
+        (first["snapshot_id"], first["snapshot_id"], "append", 2), (second["snapshot_id"], first["snapshot_id"], "append", 1),
+        (third["snapshot_id"], third["snapshot_id"], "overwrite", 1),
+    ]
+    assert {r.version: r.rows for r in T.table_versions(spark, name).collect()} == {
+        first["snapshot_id"]: 3, third["snapshot_id"]: 1,
+    }
+    log = T.snapshot_log(spark, [name, "nowhere.none"])
+    assert {r.table for r in log.collect()} == {name} and log.count() == 3
+    assert T.snapshot_log(spark, []).count() == 0
+
+
 def test_a_table_can_be_rewritten_from_itself(spark, name, root):
     T.write_table(frame(spark, [(1, "a"), (2, "b")]), name, "overwrite", root=root)
     T.write_table(spark.table(name).where("id = 2"), name, "overwrite", root=root)

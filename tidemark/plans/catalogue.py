@@ -488,6 +488,19 @@ def table_overwrite(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_table(spark, name)
 
 
+def table_history(spark: SparkSession, d: str) -> DataFrame:
+    """What the history says of two appends, an overwrite and an input without rows."""
+    root = scratch_path(spark, "tables")
+    name = f"silver_{root[-12:]}.history"
+    events = read(spark, d, "events")
+    cut = moment(CUT, T.TimestampNTZType())
+    tables.write_table(events.where(F.col("ts") <= cut), name, root=root)
+    tables.write_table(events.where(F.col("ts") > cut), name, root=root)
+    tables.write_table(newest_rows.latest(events, ENTITY_KEY, TIME, TIE), name, "overwrite", root=root)
+    tables.write_table(events.where(F.col("ts").isNull()), name, "overwrite", root=root)
+    return tables.table_history(spark, name).select("operation", "rows")
+
+
 def silver_stream(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "silver-stream")
     bronze.write_bronze(_bronze_events(spark, d), root, "live", BATCH_TIME)
@@ -560,6 +573,7 @@ QUERIES: dict[str, Query] = {
     "partitioned_parquet": partitioned_parquet,
     "table_append": table_append,
     "table_overwrite": table_overwrite,
+    "table_history": table_history,
     "silver_stream": silver_stream,
     "gold_stream": gold_stream,
 }

@@ -203,6 +203,10 @@ ORACLE: dict[str, str] = {
             union all select p_partkey, p_name, null, null, null from part
             union all select p_partkey, null, null, null, p_size from part where p_size is not null
         ) x""",
+    "table_history": """
+        select 'append' as operation, count(*) as rows from events where ts <= timestamp '2024-01-10 00:00:00'
+        union all select 'append', count(*) from events where ts > timestamp '2024-01-10 00:00:00'
+        union all select 'overwrite', count(distinct user_id) from events""",
     "partitioned_parquet": "select * from lineitem",
     "table_append": """
         select event_id, ts, user_id, event_type,

@@ -11,6 +11,8 @@ from tidemark.functions.columns import moment
 
 # Fixed value: a batch folder is <root>/bronze/<prefix>/YYYY/MM/DD/HHMMSS.
 BATCH = "%Y/%m/%d/%H%M%S"
+FIRST_FILE = "{part-00000-*-c000.json*,*.jsonl,*.jsonl.gz}"
+LANDED = r"^(.*/bronze/([^/]+)/(\d{4}/\d{2}/\d{2}/\d{6})(?:\.jsonl(?:\.gz)?)?)(?:/part-[^/]+)?$"
 
 
 def batch_path(root: str, prefix: str, at: datetime) -> str:
@@ -55,21 +57,23 @@ def explore_json(spark: SparkSession, path: str, sampling: float = 1.0) -> DataF
 
 
 def landed_batches(spark: SparkSession, root: str, prefix: str = "*") -> DataFrame:
-    """All landed files with their ``prefix``, ``batch`` folder and landing time ``landed_at`` (UTC clock)."""
-    files = (
+    """All landed batches: ``prefix``, path ``batch``, and landing time ``landed_at`` (UTC clock).
+
+    A batch is a folder that ``write_bronze`` made, or a single file HHMMSS.jsonl or
+    HHMMSS.jsonl.gz. Only paths are listed, and of a folder only the first file, which it always has.
+    """
+    paths = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", FIRST_FILE)
         .load(f"{root.rstrip('/')}/bronze/{prefix}")
-        .select("path", "length")
+        .select("path")
     )
-    pattern = r"^(.*/bronze/([^/]+)/(\d{4}/\d{2}/\d{2}/\d{6}))/[^/]+$"
-    stamp = F.regexp_extract("path", pattern, 3)
-    return files.where(F.col("path").rlike(pattern)).select(
-        F.regexp_extract("path", pattern, 2).alias("prefix"),
-        F.regexp_extract("path", pattern, 1).alias("batch"),
+    stamp = F.regexp_extract("path", LANDED, 3)
+    return paths.where(F.col("path").rlike(LANDED)).select(
+        F.regexp_extract("path", LANDED, 2).alias("prefix"),
+        F.regexp_extract("path", LANDED, 1).alias("batch"),
         F.to_timestamp_ntz(stamp, F.lit("yyyy/MM/dd/HHmmss")).alias("landed_at"),
-        "path",
-        "length",
     )
 
 

@@ -11,11 +11,13 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tidemark.functions.schemas import cast_timestamps, void_to_string
+from tidemark.functions.columns import moment
+from tidemark.functions.schemas import LONG, TEXT, TIME, cast_timestamps, struct, void_to_string
 
 MODES = ("append", "overwrite")
 DRIFT = ("fail", "merge", "recreate")
@@ -83,40 +85,44 @@ def _versioned(spark: SparkSession, name: str) -> tuple[str, int]:
     return base, int(version)
 
 
+# One such row, in a file of its own, is kept next to a table for each write.
+HISTORY = struct(version=LONG, operation=TEXT, rows=LONG, committed_at=TIME, snapshot_id=LONG)
+
+
+def log_snapshot(spark: SparkSession, base: str, snapshot_id: int, version: int, operation: str, rows: int) -> None:
+    """Record a write to the versions under ``base`` once it is complete; a retry records it again."""
+    row = spark.range(0, 1, 1, 1).select(
+        F.lit(version).cast("bigint").alias("version"),
+        F.lit(operation).alias("operation"),
+        F.lit(rows).cast("bigint").alias("rows"),
+        moment(datetime.now(timezone.utc), TIME).alias("committed_at"),
+    )
+    row.write.mode("overwrite").parquet(f"{base.rstrip('/')}.history/snapshot_id={snapshot_id}")
+
+
+def read_history(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.schema(HISTORY).parquet(f"{base.rstrip('/')}.history")
+
+
+def table_history(spark: SparkSession, name: str) -> DataFrame:
+    """All writes to a table: snapshot, version folder, operation, rows and time."""
+    return read_history(spark, _versioned(spark, name)[0])
+
+
 def table_versions(spark: SparkSession, name: str) -> DataFrame:
-    """The full writes of a table that are still on disk, with their row counts."""
-    rows = spark.read.schema("version bigint").parquet(_versioned(spark, name)[0])
-    return rows.groupBy("version").agg(F.count(F.lit(1)).alias("rows"))
+    """The full writes of a table, with the rows that they and the appends to them brought."""
+    return table_history(spark, name).groupBy("version").agg(F.sum("rows").alias("rows"))
 
 
 def snapshot_log(spark: SparkSession, names: Iterable[str]) -> DataFrame:
-    """When each version of the tables that exist was completed, from file listings alone.
+    """The writes to all of the tables that exist, as the input of a retention plan.
 
-    The input of a retention plan. Folders newer than the version a table reads belong to
-    writes that never completed; they are left out, so the version in use counts as newest.
+    Only complete writes are recorded. The folder of a version may go when all of its
+    snapshots are due and no table reads it.
     """
-    log = spark.createDataFrame([], "table string, snapshot_id bigint, committed_at timestamp, files bigint, bytes bigint")
-    for name in names:
-        if not spark.catalog.tableExists(name):
-            continue
-        base, current = _versioned(spark, name)
-        listing = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-        )
-        version = F.regexp_extract("path", r"/version=(\d+)/", 1).cast("bigint")
-        log = log.unionByName(
-            listing.load(base)
-            .select(version.alias("snapshot_id"), "modificationTime", "length")
-            .where(F.col("snapshot_id") <= current)
-            .groupBy("snapshot_id")
-            .agg(
-                F.max("modificationTime").alias("committed_at"),
-                F.count(F.lit(1)).alias("files"),
-                F.sum("length").alias("bytes"),
-            )
-            .withColumn("table", F.lit(name))
-        )
-    return log
+    empty = spark.createDataFrame([], HISTORY).withColumn("table", F.lit(None).cast("string"))
+    logs = [table_history(spark, n).withColumn("table", F.lit(n)) for n in names if spark.catalog.tableExists(n)]
+    return reduce(DataFrame.unionByName, logs, empty)
 
 
 def read_version(spark: SparkSession, name: str, version: int) -> DataFrame:
@@ -168,6 +174,7 @@ def write_table(
             spark.sql(f"ALTER TABLE {_quoted(name)} ADD COLUMNS ({fields})")
         written = _append(rows, name)
         location = table_location(spark, name)
+        base, folder = _versioned(spark, name)
     else:
         if drift and on_drift == "merge":
             rows = rows.withColumns(
@@ -178,10 +185,13 @@ def write_table(
             partition_by = partition_by or _partition_columns(spark, name)
         else:
             base = f"{(root or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{namespace}.db/{table}"
-        location = f"{base}/version={snapshot}"
+        folder = snapshot
+        location = f"{base}/version={folder}"
         written = _write_folder(rows, location, partition_by)
         if written:
             point_table(spark, name, location, rows.schema, partition_by)
+    if written:
+        log_snapshot(spark, base, snapshot, folder, mode, written)
 
     return {
         "table": name,

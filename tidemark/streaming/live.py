@@ -11,13 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.functions.columns import utc_date
 from tidemark.functions.schemas import LIVE_BRONZE
 from tidemark.operators.flatten import normalize_live
 from tidemark.operators.latest import latest
+from tidemark.sources.tables import log_snapshot, read_history
 
 
 def _triggered(writer, every: str | None):
@@ -67,7 +68,7 @@ def silver_to_gold(
 ) -> StreamingQuery:
     """Keep one current row per key, writing each state to ``gold_path/version=<epoch>``.
 
-    A state counts once its marker, a single file, is there. A retried epoch replaces its own
+    A state counts once it is recorded in the history next to it. A retried epoch replaces its own
     folder; a restart without new rows writes none. One checkpoint belongs to one
     ``gold_path``. ``on_commit`` gets the epoch and the folder after each complete write, for
     instance to let ``point_table`` make a table read it.
@@ -75,9 +76,9 @@ def silver_to_gold(
 
     def commit(state: DataFrame, epoch: int) -> None:
         folder = f"{gold_path.rstrip('/')}/version={epoch}"
-        state.write.mode("overwrite").parquet(folder)
-        marker = state.sparkSession.range(epoch, epoch + 1, 1, 1)
-        marker.write.mode("overwrite").parquet(f"{_markers(gold_path)}/version={epoch}")
+        seen = Observation()
+        state.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(folder)
+        log_snapshot(state.sparkSession, gold_path, epoch, epoch, "overwrite", seen.get["rows"])
         if on_commit:
             on_commit(epoch, folder)
 
@@ -90,17 +91,9 @@ def silver_to_gold(
     return _triggered(writer, every).start()
 
 
-def _markers(gold_path: str) -> str:
-    return f"{gold_path.rstrip('/')}.committed"
-
-
 def gold_versions(spark: SparkSession, gold_path: str) -> DataFrame:
-    """The complete states and when they were completed, from a listing of their markers."""
-    markers = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    version = F.regexp_extract("path", r"/version=(\d+)/[^/]+$", 1).cast("bigint")
-    return markers.load(_markers(gold_path)).select(
-        version.alias("snapshot_id"), F.col("modificationTime").alias("committed_at")
-    )
+    """The complete states: number, rows and time."""
+    return read_history(spark, gold_path).select("snapshot_id", "rows", "committed_at")
 
 
 def read_gold(spark: SparkSession, gold_path: str, schema: T.StructType) -> DataFrame:
