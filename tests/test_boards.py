@@ -16,13 +16,13 @@ def live(spark):
 
 def places(spark):
     destinations = spark.createDataFrame([(1, "Resort"), (2, "Else")], "did long, dest_name string")
-    parks = spark.createDataFrame([(10, 1, "EPCOT"), (20, 1, "Other"), (30, 2, "Far")], "pid long, owner long, park_name string")
+    parks = spark.createDataFrame([(10, 1, "Harbour"), (20, 1, "Other"), (30, 2, "Far")], "pid long, owner long, park_name string")
     return destinations.join(parks, F.col("did") == F.col("owner"))
 
 
 def test_star_board_rows_and_order(spark):
     board = B.star_board(
-        live(spark), places(spark).where("dest_name = 'Resort' and park_name = 'EPCOT'"),
+        live(spark), places(spark).where("dest_name = 'Resort' and park_name = 'Harbour'"),
         F.col("park_id") == F.col("pid"), ["dest_name", "park_name", F.col("name").alias("entity_name"), "wait_time"],
         desc=["wait_time"], asc=["id"],
     )
@@ -51,7 +51,7 @@ def test_star_and_repeated_column(spark):
 def test_counts(spark):
     assert [tuple(r) for r in A.count_by(live(spark), "status").collect()] == [("OPERATING", 4), ("CLOSED", 1), ("DOWN", 1)]
     share = A.share_by(live(spark), "park_name", F.col("status") == "OPERATING", places(spark), {"park_id": "pid"})
-    assert sorted(tuple(r) for r in share.collect()) == [("EPCOT", 3, 4), ("Other", 1, 1)]
+    assert sorted(tuple(r) for r in share.collect()) == [("Harbour", 3, 4), ("Other", 1, 1)]
     failed = A.failures_by(live(spark), "park_id", F.col("status") == "DOWN")
     assert sorted(tuple(r) for r in failed.collect()) == [(10, 0, 4, True), (20, 0, 1, True), (99, 1, 1, False)]
     assert tuple(A.dedup_counts(live(spark), ["park_id"]).first()) == (6, 3)

@@ -26,6 +26,9 @@ def test_whole_number(spark, settings, ansi):
 
     assert whole([3.7, -3.7, None], T.DoubleType()) == [3, -3, None]
     assert whole([5, None], T.LongType()) == [5, None]
+    for bad in (float("nan"), 1e30):
+        with pytest.raises(Exception, match="not a whole number"):
+            whole([bad], T.DoubleType())
     assert whole(["42", " 7 ", "-1", None], T.StringType()) == [42, 7, -1, None]
     for bad in ("3.7", "abc", ""):
         with pytest.raises(Exception, match="not a whole number"):

@@ -86,7 +86,7 @@ def test_as_of(spark, settings, zone):
 
 
 def parks(spark):
-    return spark.createDataFrame([(10, "EPCOT"), (20, "Other"), (30, "Third"), (10, "EPCOT again")], "pid long, pname string")
+    return spark.createDataFrame([(10, "Harbour"), (20, "Other"), (30, "Third"), (10, "Harbour again")], "pid long, pname string")
 
 
 def test_the_two_strategies_differ_where_an_entity_changes(spark):

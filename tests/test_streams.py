@@ -113,6 +113,31 @@ def test_gold_table_follows_the_stream(spark, tmp_path):
     assert snapshot_log(spark, [name]).count() == 2
 
 
+ODD_LINES = """
+{"id": 1, "wait_time": 50.0, "entityType": null, "ingest_timestamp": "2026-03-03T15:00:00Z"}
+{"id": 2, "wait_time": 3.9, "entityType": "SHOW", "ingest_timestamp": "2026-03-03T15:00:00Z"}
+{"id": 3, "wait_time": "7", "ingest_timestamp": "2026-03-03T17:00:00+02:00"}
+
+{"id": 4, "wait_time": null, "ingest_timestamp": "2026-03-03T15:00:00.000001Z"}
+"""
+
+
+def test_numbers_texts_and_absent_keys_in_files(spark, tmp_path, pipeline):
+    from tidemark.functions.schemas import LIVE_FILE
+    from tidemark.operators.flatten import normalize_live
+    from tidemark.sources.bronze import read_bronze
+
+    folder = tmp_path / "bronze" / "live" / "2026" / "03" / "03"
+    folder.mkdir(parents=True)
+    (folder / "150000.jsonl").write_text(ODD_LINES)
+    batch = normalize_live(read_bronze(spark, str(folder), LIVE_FILE))
+    want = {1: (50, None), 2: (3, "SHOW"), 3: (7, "ATTRACTION"), 4: (None, "ATTRACTION")}
+    assert {r.id: (r.wait_time, r.entityType) for r in batch.collect()} == want
+    assert {r.ingest_timestamp.microsecond for r in batch.collect()} == {0, 1}
+    pipeline.run()
+    assert {r.id: (r.wait_time, r.entityType) for r in pipeline.silver().collect()} == want
+
+
 def test_periodic_trigger(spark, tmp_path, pipeline):
     pipeline.land(0, {1: 10})
     source = live.bronze_stream(spark, f"{tmp_path}/bronze/live")

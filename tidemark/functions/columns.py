@@ -35,7 +35,9 @@ def whole_number(value: Column, kind: T.DataType) -> Column:
         return _or_raise(number, text, "a whole number")
     if isinstance(kind, T.StringType):
         return _or_raise(F.trim(value).try_cast("bigint"), value, "a whole number")
-    return value.cast("bigint")
+    if isinstance(kind, T.IntegralType):
+        return value.cast("bigint")
+    return _or_raise(value.try_cast("bigint"), value, "a whole number")
 
 
 def try_parse_iso(text: Column) -> Column:
@@ -98,6 +100,11 @@ def default_if_absent(json: Column, key: str, default: str) -> Column:
     return F.when(absent, F.lit(default)).otherwise(F.get_json_object(json, f"$.{key}"))
 
 
+def text_or_default(value: Column, default: str) -> Column:
+    """A variant's text; the default only where its key was absent. A null value stays NULL."""
+    return F.when(value.isNull(), F.lit(default)).otherwise(F.try_variant_get(value, "$", "string"))
+
+
 def json_message(columns: Iterable[str]) -> Column:
     """The columns as one JSON object text. NULL fields are kept."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

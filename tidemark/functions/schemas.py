@@ -34,6 +34,11 @@ LIVE_BRONZE = struct(
     park_id=LONG, land_id=LONG, land_name=TEXT, id=LONG, name=TEXT, entityType=TEXT, is_open=FLAG, status=TEXT,
     wait_time=LONG, last_updated=TEXT, ingest_timestamp=TEXT,
 )
+# As LIVE_BRONZE, for reading files: a wait may be 5, 5.0 or "5", and an entityType that is
+# absent differs from one that is null.
+LIVE_FILE = T.StructType(
+    [T.StructField(f.name, T.VariantType()) if f.name in ("wait_time", "entityType") else f for f in LIVE_BRONZE]
+)
 LIVE_SILVER = struct(
     park_id=LONG, land_id=LONG, land_name=TEXT, id=LONG, name=TEXT, entityType=TEXT, is_open=FLAG, status=TEXT,
     wait_time=LONG, last_updated=TIME, ingest_timestamp=TIME,

@@ -10,6 +10,7 @@ from tidemark.functions.columns import (
     json_message,
     parse_iso,
     status_from_flag,
+    text_or_default,
     whole_number,
 )
 from tidemark.functions.schemas import LIVE_SILVER, PAYLOAD_BODY, QUEUE, conform
@@ -121,12 +122,17 @@ def live_rows(rides: DataFrame, ingest_timestamp: str | Column, entity_type: str
     )
 
 
-def normalize_live(bronze: DataFrame) -> DataFrame:
+def normalize_live(bronze: DataFrame, entity_type: str = "ATTRACTION") -> DataFrame:
     """Bronze observations to the silver schema: whole waits, UTC timestamps, fixed columns.
 
-    Accepts any subset of the columns; numbers may be text or variants, times may be text.
+    Accepts any subset of the columns; numbers may be text or variants, times may be text. An
+    entity type that is absent gets the default, one that is null stays NULL.
     """
     casts = {}
+    if "entityType" not in bronze.columns:
+        casts["entityType"] = F.lit(entity_type)
+    elif isinstance(bronze.schema["entityType"].dataType, T.VariantType):
+        casts["entityType"] = text_or_default(F.col("entityType"), entity_type)
     for field in LIVE_SILVER:
         if field.name not in bronze.columns:
             continue

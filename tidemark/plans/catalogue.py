@@ -21,7 +21,7 @@ from tidemark.functions.columns import (
     parse_iso,
     utc_clock,
 )
-from tidemark.functions.schemas import LONG, TEXT, cast_timestamps, struct, void_to_string
+from tidemark.functions.schemas import LIVE_FILE, LONG, TEXT, cast_timestamps, struct, void_to_string
 from tidemark.operators import aggregates, boards, flatten, latest as newest_rows, retention, versions
 from tidemark.operators.unions import union_missing
 from tidemark.session import scratch_path
@@ -450,6 +450,18 @@ def bronze_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("ts", utc_clock(parse_iso(F.col("ts"))))
 
 
+def live_files(spark: SparkSession, d: str) -> DataFrame:
+    """Landed lines with fractional waits and, for some, no entityType key, to the silver schema."""
+    path = scratch_path(spark, "live-files")
+    line = F.struct(
+        F.col("event_id").alias("id"), F.col("value").alias("wait_time"), clock_text(F.col("ts")).alias("ingest_timestamp"),
+        F.when(F.col("event_type") != "view", F.col("event_type")).alias("entityType"),
+    )
+    read(spark, d, "events").select(F.to_json(line)).write.option("compression", "gzip").text(path)
+    silver = flatten.normalize_live(bronze.read_bronze(spark, path, LIVE_FILE))
+    return silver.select("id", "entityType", "wait_time", utc_clock(F.col("ingest_timestamp")).alias("ingest_timestamp"))
+
+
 def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "csv-roundtrip")
     merged = union_of_sources(spark, d)
@@ -569,6 +581,7 @@ QUERIES: dict[str, Query] = {
     "expire_plan": expire_plan,
     "bronze_retention": bronze_retention,
     "bronze_roundtrip": bronze_roundtrip,
+    "live_files": live_files,
     "csv_roundtrip": csv_roundtrip,
     "partitioned_parquet": partitioned_parquet,
     "table_append": table_append,

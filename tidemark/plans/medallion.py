@@ -8,7 +8,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.functions.columns import utc_date
-from tidemark.functions.schemas import DESTINATION_BRONZE, ENTITY, LIVE_BRONZE, conform
+from tidemark.functions.schemas import DESTINATION_BRONZE, ENTITY, LIVE_BRONZE, LIVE_FILE, conform
 from tidemark.operators.aggregates import known_keys
 from tidemark.operators.flatten import (
     entity_rows,
@@ -72,8 +72,11 @@ def refresh_entities(spark: SparkSession, path: str, root: str | None = None) ->
 
 
 def append_live(spark: SparkSession, path: str, root: str | None = None, on_drift: str = "fail") -> dict:
-    """One landed live batch to ``silver.live_data``, added, in folders per ingest date."""
-    rows = normalize_live(read_bronze(spark, path, LIVE_BRONZE))
+    """One landed live batch to ``silver.live_data``, added, in folders per ingest date.
+
+    Adding a batch twice adds its rows twice; ``streaming.live`` keeps track of what it took.
+    """
+    rows = normalize_live(read_bronze(spark, path, LIVE_FILE))
     rows = rows.withColumn("ingest_date", utc_date(rows, "ingest_timestamp"))
     return write_table(rows, "silver.live_data", "append", on_drift, partition_by=["ingest_date"], root=root)
 

@@ -195,6 +195,10 @@ ORACLE: dict[str, str] = {
         ) x group by prefix""",
     "bronze_roundtrip": ALL_EVENTS,
     "silver_stream": ALL_EVENTS,
+    "live_files": """
+        select event_id as id, case when event_type = 'view' then 'ATTRACTION' else event_type end as "entityType",
+               cast(trunc(value) as bigint) as wait_time, ts as ingest_timestamp
+        from events""",
     "csv_roundtrip": """
         select acctbal, id, name, segment, size from (
             select c_custkey as id, c_name as name, c_acctbal as acctbal, c_mktsegment as segment,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.functions.columns import utc_date
-from tidemark.functions.schemas import LIVE_BRONZE
+from tidemark.functions.schemas import LIVE_FILE
 from tidemark.operators.flatten import normalize_live
 from tidemark.operators.latest import latest
 from tidemark.sources.tables import log_snapshot, read_history
@@ -25,7 +25,7 @@ def _triggered(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def bronze_stream(spark: SparkSession, path: str, schema: T.StructType = LIVE_BRONZE, max_files: int | None = None) -> DataFrame:
+def bronze_stream(spark: SparkSession, path: str, schema: T.StructType = LIVE_FILE, max_files: int | None = None) -> DataFrame:
     """Landed batches as a stream, oldest first. A line that does not fit the schema is an error."""
     reader = (
         spark.readStream.schema(schema).option("mode", "FAILFAST").option("recursiveFileLookup", "true")
