@@ -99,7 +99,9 @@ def test_the_two_strategies_differ_where_an_entity_changes(spark):
     assert {r.id: r.seq for r in second.collect()} == {1: 3, 2: 4}
 
 
-def test_filter_then_latest_equals_the_window_form(spark):
+@pytest.mark.parametrize("few", [0, 2, 3, 10_000])
+def test_filter_then_latest_equals_the_window_form(spark, monkeypatch, few):
+    monkeypatch.setattr(L, "FEW_MEMBERS", few)
     df = spark.range(3000).select(
         (F.col("id") % 37).alias("id"), (F.hash("id") % 5).cast("long").alias("park_id"),
         (F.hash(F.col("id") + 1) % 50).cast("long").alias("ts"), F.col("id").alias("seq"),
@@ -108,6 +110,8 @@ def test_filter_then_latest_equals_the_window_form(spark):
     got = L.filter_then_latest(df, ["id"], ["ts"], ["seq"], None, members, {"park_id": "pid"})
     want = L.newest(df.where("park_id in (0, 2, -3)"), ["id"], ["ts"], 1, ["seq"]).drop("rn")
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    below = got._jdf.queryExecution().executedPlan().toString().split("partial_max")[-1]
+    assert ("LeftSemi" in below) == (few >= 3)
 
 
 def test_last_known_may_be_older_than_current(spark):
