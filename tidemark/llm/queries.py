@@ -12,6 +12,7 @@ from tidemark.llm.common import table
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.simhash import simhash_components
+from tidemark.llm.suffixes import cut_repeats
 
 
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(table(spark, sf_dir, "documents")).drop("k1", "k2", "kept")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -35,7 +40,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_nearest, op3_bpe, op4_simhash, op9_packing, op10_near_vectors)
+    f.__name__: f for f in (op2_nearest, op3_bpe, op4_simhash, op8_repeats, op9_packing, op10_near_vectors)
 }
 
 ORACLE: dict[str, str] = {}
