@@ -7,17 +7,47 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import stored
+from tidemark.llm.language import with_language
+from tidemark.llm.packing import pack
+from tidemark.llm.secrets import mask_secrets
 from tidemark.llm.simhash import keep_first
+from tidemark.llm.suffixes import without_repeats
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, and those whose best language gets less than 0.3 on the mean, go."""
+    return with_language(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near copies by SimHash: of each group the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays."""
     return keep_first(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("near_dedup", near_dedup)]
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 400 bytes that start anywhere else too are taken out; documents left empty by that go."""
+    return without_repeats(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by their kind; every document stays."""
+    return mask_secrets(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens: a row for each piece."""
+    return pack(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language),
+    ("near_dedup", near_dedup),
+    ("repeats", repeats),
+    ("secrets", secrets),
+    ("packing", packing),
+]
 
-#: SimHash, the suffix sort and the packing cannot be written in SQL; the tests hold the stages against brute force.
+#: A trained network, SimHash and tokens cannot be written in SQL; the tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 

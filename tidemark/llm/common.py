@@ -58,14 +58,16 @@ def two_keys(*cols: Column | str) -> list[Column]:
     return [F.xxhash64(*cols).alias("k1"), F.xxhash64(F.lit(7), *cols).alias("k2")]
 
 
-def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """What an operator reads, under fixed names, so that other columns cannot clash.
+def documents(df: DataFrame, carry: bool = False) -> DataFrame:
+    """What an operator reads, so that other columns cannot clash; with ``carry`` the whole row goes along in ``row``,
+    without the text.
 
     ``k1`` and ``k2`` name a row where its id cannot: ids may be null or repeated. Only rows equal in both columns
     share them.
     """
     ship(df.sparkSession)
-    own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    row = [F.struct(*[c for c in df.columns if c != "text"]).alias("row")] if carry else []
+    own = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *row)
     return own.select("*", *two_keys("doc_id", F.coalesce("text", F.lit(""))))
 
 

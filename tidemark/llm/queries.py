@@ -9,10 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.ann import nearest
 from tidemark.llm.bpe import encode
 from tidemark.llm.common import table
+from tidemark.llm.extract import extract
+from tidemark.llm.language import identify
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.packing import pack
+from tidemark.llm.secrets import scan
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.suffixes import cut_repeats
+from tidemark.llm.warc import through_archives
+
+
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
 
 
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,8 +35,20 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return through_archives(table(spark, sf_dir, "pages"))
+
+
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut_repeats(table(spark, sf_dir, "documents")).drop("k1", "k2", "kept")
+    return cut_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +60,43 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_nearest, op3_bpe, op4_simhash, op8_repeats, op9_packing, op10_near_vectors)
+    f.__name__: f
+    for f in (
+        op1_main_text,
+        op2_nearest,
+        op3_bpe,
+        op4_simhash,
+        op5_language,
+        op6_secrets,
+        op7_warc,
+        op8_repeats,
+        op9_packing,
+        op10_near_vectors,
+    )
 }
 
-ORACLE: dict[str, str] = {}
+#: What SQL can express exactly; the other operators are held against brute force in the tests.
+ORACLE: dict[str, str] = {
+    "op7_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        g AS (SELECT payload_digest, max(page_id) AS top FROM p WHERE payload_bytes >= 1000 GROUP BY ALL)
+        SELECT p.page_id, p.payload_bytes, p.payload_digest,
+               CASE WHEN g.top <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN g.top <> p.page_id THEN g.top END AS refers_to
+        FROM p LEFT JOIN g ON g.payload_digest = p.payload_digest AND p.payload_bytes >= 1000""",
+    "op10_near_vectors": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0),
+        pairs AS (
+            SELECT a.vec_id AS i, b.vec_id AS j FROM v a JOIN v b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+        reach(i, j) AS (
+            SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.i, pairs.j FROM reach JOIN pairs ON reach.j = pairs.i),
+        low AS (SELECT i, min(j) AS component_id FROM reach GROUP BY i),
+        n AS (SELECT i, count(*) AS n_links FROM pairs GROUP BY i)
+        SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, low.component_id, e.vec_id = low.component_id AS kept
+        FROM embeddings e JOIN low ON low.i = e.vec_id LEFT JOIN n ON n.i = e.vec_id""",
+}

@@ -165,17 +165,17 @@ def _stretches(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return row[first], start[first], start[last]
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """(doc_id, k1, k2, z): texts compressed before they are shuffled."""
+def _packed(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """(doc_id, k1, k2, z) and the row that is carried: texts compressed before they are shuffled."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = zstandard.ZstdCompressor()
         for batch in batches:
             z = pa.array([small.compress(t.as_py() or b"") for t in batch["text"]], pa.binary())
-            yield pa.record_batch({c: batch[c] for c in ("doc_id", "k1", "k2")} | {"z": z})
+            yield pa.record_batch({c: z if c == "text" else batch[c] for c in batch.schema.names})
 
-    own = documents(docs).withColumn("text", F.col("text").cast("binary"))
-    return own.mapInArrow(run, "doc_id long, k1 long, k2 long, z binary")
+    own = documents(docs, carry).withColumn("text", F.col("text").cast("binary"))
+    return own.mapInArrow(run, own.schema).withColumnRenamed("text", "z")
 
 
 def repeated_spans(
@@ -313,21 +313,23 @@ def repeated_spans(
     return whole.union(refined.mapInArrow(refine, "k1 long, k2 long, first long, last long"))
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, k1, k2, n_bytes, n_removed, n_spans, kept_sha256, kept): texts without what repeats.
+def cut_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET, carry: bool = False
+) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): texts without what repeats.
 
     Removed is every byte of a ``length``-byte string that starts anywhere else too, in the same text or another;
     strings are judged on the input and never reach over two texts. ``n_spans`` counts maximal removed runs, ``kept`` is
     what is left, as bytes. A null text is an empty one; shorter texts than ``length`` stay whole. Rows repeated in id
-    and text are texts of their own, so they lose all but what is shorter than ``length``. Ids may be null. An empty
-    table gives an empty one; other columns are not read.
+    and text are texts of their own, so each loses all of a text of ``length`` or more. Ids may be null. An empty table
+    gives an empty one; other columns are not read, but with ``carry`` returned in the struct ``row``.
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         large = zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            for doc_id, k1, k2, z, spans in zip(*(batch[c].to_pylist() for c in batch.schema.names), strict=True):
+            for z, spans in zip(batch["z"].to_pylist(), batch["spans"].to_pylist(), strict=True):
                 text = large.decompress(z)
                 kept, end, removed, n = [], 0, 0, 0
                 for s in sorted((s["first"], s["last"] + length) for s in spans or ()):
@@ -338,16 +340,42 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket:
                     elif s[1] > end:
                         removed, end = removed + s[1] - end, s[1]
                 rest = b"".join([*kept, text[end:]])
-                out.append((doc_id, k1, k2, len(text), removed, n, hashlib.sha256(rest).hexdigest(), rest))
+                out.append((len(text), removed, n, hashlib.sha256(rest).hexdigest(), rest))
             if out:
-                cols = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.record_batch(cols, columns)
+                made = {c: pa.array(v, k) for (c, k), v in zip(kinds.items(), zip(*out, strict=True), strict=True)}
+                yield pa.record_batch({c: batch[c] for c in ("doc_id", "row")[: 1 + carry]} | made)
 
-    columns = ["doc_id", "k1", "k2", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-    kinds = [pa.int64()] * 6 + [pa.string(), pa.binary()]
-    schema = "doc_id long, k1 long, k2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    packed = _packed(docs)
+    number = pa.int64()
+    kinds = {"n_bytes": number, "n_removed": number, "n_spans": number, "kept_sha256": pa.string(), "kept": pa.binary()}
+    packed = _packed(docs, carry)
     spans = repeated_spans(docs, packed, length, gram, bucket).distinct()
     spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    both = packed.join(spans, ["k1", "k2"], "left").select("doc_id", "k1", "k2", "z", "spans")
+    both = packed.join(spans, ["k1", "k2"], "left").drop("k1", "k2")
+    schema = both.select(
+        *("doc_id", "row")[: 1 + carry],
+        *[F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")],
+        F.lit("").alias("kept_sha256"),
+        F.col("z").alias("kept"),
+    ).schema
     return both.mapInArrow(cut, schema)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with what repeats taken out of ``text``, and ``n_chars`` as it is then; a text left empty goes.
+
+    Characters that a cut goes through are dropped with it. Texts that lose nothing stay, empty and null ones too.
+    """
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py().decode("utf-8", "ignore") for t in batch["kept"]]
+            yield pa.record_batch({"row": batch["row"], "n_removed": batch["n_removed"], "text": pa.array(texts, pa.string())})
+
+    cut = cut_repeats(docs.withColumn("_null", F.col("text").isNull()), carry=True).select("row", "n_removed", "kept")
+    rows = cut.mapInArrow(read, cut.withColumn("text", F.lit("")).drop("kept").schema)
+    rows = rows.where((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    text = F.when(~F.col("row._null"), F.col("text"))
+    made = {"text": text.alias("text")}
+    if "n_chars" in docs.columns:
+        made["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars")).alias("n_chars")
+    return rows.select(*[made.get(c, F.col("row")[c].alias(c)) for c in docs.columns])
