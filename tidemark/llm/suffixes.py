@@ -292,7 +292,8 @@ def repeated_spans(
     texts = documents(docs).select(*keys, F.col("text").cast("binary").alias("text"))
     schema = "k1 long, k2 long, first int, last int, gram long, reach long"
     suffixes = stored(texts.mapInArrow(list_suffixes, schema), "suffixes")
-    grams = suffixes.groupBy("gram").count().where("count > 1").select("gram")
+    # Counts are stored before they are joined: then both sides are plain, and a hot key's rows can be split.
+    grams = stored(suffixes.groupBy("gram").count().where("count > 1").select("gram"), "grams")
     shared = stored(suffixes.join(grams, "gram"), "shared")
     row = F.struct(*keys, "first", "last")
     classes = shared.groupBy("gram", "reach").agg(F.count("*").alias("n"), F.min(row).alias("row"))
@@ -303,6 +304,7 @@ def repeated_spans(
     )
     # A class of equal runs sends one row along: other runs may hold some of its strings.
     kinds = classes.groupBy("gram").count().where("count > 1").select("gram", (F.col("count") > bucket).alias("many"))
+    kinds = stored(kinds, "kinds")
     still = classes.join(kinds, "gram").select(
         "row.k1", "row.k2", F.struct("gram", "many", "row.first", "row.last").alias("open")
     )
