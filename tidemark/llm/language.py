@@ -172,23 +172,25 @@ def held_out(id_col: str = "doc_id") -> F.Column:
 def learn(docs: DataFrame, sample: int = SAMPLE, seed: int = 5) -> Network | None:
     """A network from labelled documents that are not held out; None where there is none with a word.
 
-    Of these at most ``sample`` are used, those with the smallest hash of id and text, and of their words at most ``WORDS``, drawn
-    at random with a fixed seed.
+    Of these at most ``sample`` are used, those with the smallest hash of the id, and of their words at most ``WORDS``,
+    drawn at random with a fixed seed.
     """
-    usable = docs.select("doc_id", "text", "lang").where(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("doc_id").isNotNull() & ~held_out()
-    )
-    rows = usable.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(sample).select("text", "lang").collect()
+    order = F.xxhash64("doc_id")
+    usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    # First the hashes alone, then the texts of those rows: no task sorts texts.
+    top = usable.select(order.alias("at")).orderBy("at").limit(sample).agg(F.max("at")).first()[0]
+    rows = usable.where(order <= F.lit(top)).select("doc_id", "text", "lang").limit(sample).collect()
+    rows = [(r["text"].encode().split(), r["lang"]) for r in rows if r["text"]]
+    rows = sorted((own, lang) for own, lang in rows if own)
     random = np.random.default_rng(seed)
-    languages = sorted({r["lang"] for r in rows})
+    languages = sorted({lang for _, lang in rows})
     words: list[bytes] = []
     labels: list[int] = []
     each = max(1, WORDS // max(1, len(rows)))
-    for r in rows:
-        own = [w[:PIECE] for w in r["text"].encode().split()]
+    for own, lang in rows:
         for i in random.choice(len(own), min(each, len(own)), replace=False):
-            words.append(own[i])
-            labels.append(languages.index(r["lang"]))
+            words.append(own[i][:PIECE])
+            labels.append(languages.index(lang))
     return trained(words, np.array(labels), languages, seed) if words else None
 
 

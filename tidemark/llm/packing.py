@@ -23,7 +23,7 @@ from tidemark.llm.words import known, tokenizer
 
 CAPACITY, END = 1024, 2
 #: Characters whose words are looked up at once.
-AT_ONCE = 2_000_000
+AT_ONCE = 500_000
 #: Pieces of one length in one numbered group.
 GROUP = 50_000
 

@@ -324,7 +324,8 @@ def cut_repeats(
     strings are judged on the input and never reach over two texts. ``n_spans`` counts maximal removed runs, ``kept`` is
     what is left, as bytes. A null text is an empty one; shorter texts than ``length`` stay whole. Rows repeated in id
     and text are texts of their own, so each loses all of a text of ``length`` or more. Ids may be null. An empty table
-    gives an empty one; other columns are not read, but with ``carry`` returned in the struct ``row``.
+    gives an empty one; other columns are not read. With ``carry`` they come back in the struct ``row``, and ``kept_text``
+    is what is left as text, without bytes that are no whole character.
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,13 +343,15 @@ def cut_repeats(
                     elif s[1] > end:
                         removed, end = removed + s[1] - end, s[1]
                 rest = b"".join([*kept, text[end:]])
-                out.append((len(text), removed, n, hashlib.sha256(rest).hexdigest(), rest))
+                line = (len(text), removed, n, hashlib.sha256(rest).hexdigest(), rest)
+                out.append((*line, rest.decode("utf-8", "ignore")) if carry else line)
             if out:
                 made = {c: pa.array(v, k) for (c, k), v in zip(kinds.items(), zip(*out, strict=True), strict=True)}
                 yield pa.record_batch({c: batch[c] for c in ("doc_id", "row")[: 1 + carry]} | made)
 
     number = pa.int64()
     kinds = {"n_bytes": number, "n_removed": number, "n_spans": number, "kept_sha256": pa.string(), "kept": pa.binary()}
+    kinds |= {"kept_text": pa.string()} if carry else {}
     packed = _packed(docs, carry)
     spans = repeated_spans(docs, packed, length, gram, bucket).distinct()
     spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
@@ -358,6 +361,7 @@ def cut_repeats(
         *[F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")],
         F.lit("").alias("kept_sha256"),
         F.col("z").alias("kept"),
+        *[F.lit("").alias("kept_text")] * carry,
     ).schema
     return both.mapInArrow(cut, schema)
 
@@ -367,17 +371,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     Characters that a cut goes through are dropped with it. Texts that lose nothing stay, empty and null ones too.
     """
-
-    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t.as_py().decode("utf-8", "ignore") for t in batch["kept"]]
-            yield pa.record_batch({"row": batch["row"], "n_removed": batch["n_removed"], "text": pa.array(texts, pa.string())})
-
-    cut = cut_repeats(docs.withColumn("_null", F.col("text").isNull()), carry=True).select("row", "n_removed", "kept")
-    rows = cut.mapInArrow(read, cut.withColumn("text", F.lit("")).drop("kept").schema)
-    rows = rows.where((F.col("n_removed") == 0) | (F.trim("text") != ""))
-    text = F.when(~F.col("row._null"), F.col("text"))
-    made = {"text": text.alias("text")}
+    rows = cut_repeats(docs.withColumn("_null", F.col("text").isNull()), carry=True)
+    rows = rows.where((F.col("n_removed") == 0) | (F.trim("kept_text") != ""))
+    made = {"text": F.when(~F.col("row._null"), F.col("kept_text")).alias("text")}
     if "n_chars" in docs.columns:
-        made["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars")).alias("n_chars")
+        n = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("row.n_chars"))
+        made["n_chars"] = n.cast(docs.schema["n_chars"].dataType).alias("n_chars")
     return rows.select(*[made.get(c, F.col("row")[c].alias(c)) for c in docs.columns])

@@ -19,7 +19,8 @@ LATIN = (
     rf"|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+"
 )
 VOCABULARY = "byte_bpe_50k.json"
-ENCODE_AT_ONCE = 20_000
+#: Words encoded at once.
+ENCODE_AT_ONCE = 5000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -111,6 +112,6 @@ class Known(dict):
 
 
 @cache
-def known(path: str | None = None, most: int = 600_000) -> Known:
-    """A worker's own words; the bound keeps it under about 150 MB."""
+def known(path: str | None = None, most: int = 300_000) -> Known:
+    """A worker's own words; the bound keeps it under about 80 MB."""
     return Known(tokenizer(path), most)
