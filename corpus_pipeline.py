@@ -15,7 +15,7 @@ from tidemark.llm.suffixes import without_repeats
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, and those whose best language gets less than 0.3 on the mean, go."""
+    """Documents without a letter, and those whose best language gets less than 0.25 on the mean, go."""
     return with_language(docs)
 
 

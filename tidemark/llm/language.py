@@ -24,7 +24,9 @@ UNITS, PIECE = 16, 32
 #: Bounds of the training sample: documents, and words drawn from them; steps and words a step.
 SAMPLE, WORDS, STEPS, BATCH = 3000, 60_000, 900, 256
 #: Words computed at once, and words whose results a task holds.
-AT_ONCE, HELD = 2048, 400_000
+AT_ONCE, HELD = 2048, 200_000
+#: Texts whose words are held at once.
+SPLIT = 200
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -201,24 +203,25 @@ def predictor(net: Network | None):
 
     def predict_some(texts: list[bytes | None], letters: list[bool]) -> tuple[list[str], list[float]]:
         nonlocal place, sums
-        split = [t.split() if ok and net else [] for t, ok in zip(texts, letters, strict=True)]
-        if len(place) > HELD:
-            place, sums = {}, sums[:0]
-        for lo in range(0, len(split), 500):
-            new = list(set().union(*split[lo : lo + 500]).difference(place))
+        langs, scores = [], []
+        for lo in range(0, len(texts), SPLIT):  # words take several times the memory of their text
+            some = zip(texts[lo : lo + SPLIT], letters[lo : lo + SPLIT], strict=True)
+            split = [t.split() if ok and net else [] for t, ok in some]
+            if len(place) > HELD:
+                place, sums = {}, sums[:0]
+            new = list(set().union(*split).difference(place))
             if new:
                 place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
                 sums = np.concatenate([sums, net.of_words(new)])
-        langs, scores = [], []
-        for words in split:
-            if words:
-                p = sums[list(map(place.__getitem__, words))].sum(axis=0) / sum(map(len, words))
-                best = int(p.argmax())
-                langs.append(net.languages[best])
-                scores.append(min(1.0, max(0.0, float(p[best]))))
-            else:
-                langs.append(UNDETERMINED)
-                scores.append(0.0)
+            for words in split:
+                if words:
+                    p = sums[list(map(place.__getitem__, words))].sum(axis=0) / sum(map(len, words))
+                    best = int(p.argmax())
+                    langs.append(net.languages[best])
+                    scores.append(min(1.0, max(0.0, float(p[best]))))
+                else:
+                    langs.append(UNDETERMINED)
+                    scores.append(0.0)
         return langs, scores
 
     return predict_some
@@ -256,7 +259,7 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, learn(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def with_language(docs: DataFrame, least: float = 0.3) -> DataFrame:
+def with_language(docs: DataFrame, least: float = 0.25) -> DataFrame:
     """Rows whose language was determined with a mean probability of at least ``least``, with all their columns."""
     ship(docs.sparkSession)
     net = learn(docs)
@@ -264,7 +267,7 @@ def with_language(docs: DataFrame, least: float = 0.3) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = predictor(net)
         for batch in batches:
-            texts = [t.encode() if t else None for t in batch["text"].to_pylist()]
+            texts = batch["text"].cast(pa.binary()).to_pylist()
             langs, scores = of(texts, batch["_letters"].to_pylist())
             good = [k != UNDETERMINED and s >= least for k, s in zip(langs, scores, strict=True)]
             yield batch.filter(pa.array(good, pa.bool_())).select(names)
