@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -70,15 +71,29 @@ def encode(docs: DataFrame, path: str | None = None, with_text: bool = False) ->
         yield from listed()
 
     def encode_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, last, last_ids = tokenizer(path), None, b""
+        """Sorted words: each is encoded once and goes to its chunks, many in one compressed row."""
+        tok, last, last_ids, small = tokenizer(path), None, b"", zstandard.ZstdCompressor()
+        held: dict[int, list[tuple[str, bytes]]] = {}
+        size = 0
+
+        def sent() -> pa.RecordBatch:
+            packs = [small.compress(pickle.dumps(list(zip(*pairs, strict=True)))) for pairs in held.values()]
+            return pa.record_batch({"chunk": pa.array(held, pa.int64()), "pack": pa.array(packs, pa.binary())})
+
         for batch in batches:
             words = batch["word"].to_pylist()
             new = list(dict.fromkeys(w for w in words if w != last))
             ids = dict(zip(new, tok.encode(new), strict=True)) | ({last: last_ids} if last is not None else {})
-            found = [ids[w] for w in words]
+            for chunk, word in zip(batch["chunk"].to_pylist(), words, strict=True):
+                held.setdefault(chunk, []).append((word, ids[word]))
             if words:
-                last, last_ids = words[-1], found[-1]
-            yield pa.record_batch([batch["chunk"], batch["word"], pa.array(found, pa.binary())], ["chunk", "word", "ids"])
+                last, last_ids = words[-1], ids[words[-1]]
+            size += len(words)
+            if size > HELD // 4:
+                yield sent()
+                held, size = {}, 0
+        if held:
+            yield sent()
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = zstandard.ZstdCompressor()
@@ -91,12 +106,12 @@ def encode(docs: DataFrame, path: str | None = None, with_text: bool = False) ->
         at, ids_of = None, {}
         for batch in batches:
             out = []
-            columns = [batch[c].to_pylist() for c in ("chunk", "is_doc", "word", "ids", "doc_id", "z")]
-            for chunk, is_doc, word, ids, doc_id, z in zip(*columns, strict=True):
+            columns = [batch[c].to_pylist() for c in ("chunk", "is_doc", "doc_id", "z")]
+            for chunk, is_doc, doc_id, z in zip(*columns, strict=True):
                 if chunk != at:
                     at, ids_of = chunk, {}
                 if not is_doc:
-                    ids_of[word] = ids
+                    ids_of.update(zip(*pickle.loads(large.decompress(z)), strict=True))
                     continue
                 words = tok.split(large.decompress(z).decode())
                 found = np.frombuffer(b"".join(map(ids_of.__getitem__, words)), "<u4").tolist()
@@ -119,10 +134,8 @@ def encode(docs: DataFrame, path: str | None = None, with_text: bool = False) ->
     schema = pa.schema(kinds)
     listed = rows.select("chunk", "text").mapInArrow(list_words, "chunk long, word string")
     by_word = listed.repartition("word").sortWithinPartitions("word")
-    encoded = by_word.mapInArrow(encode_words, "chunk long, word string, ids binary")
+    encoded = by_word.mapInArrow(encode_words, "chunk long, pack binary")
     packed = rows.withColumn("text", F.col("text").cast("binary")).mapInArrow(pack, "chunk long, doc_id long, z binary")
-    none = lambda kind: F.lit(None).cast(kind)
-    both = encoded.select(
-        "chunk", F.lit(False).alias("is_doc"), "word", "ids", none("long").alias("doc_id"), none("binary").alias("z")
-    ).union(packed.select("chunk", F.lit(True), none("string"), none("binary"), "doc_id", "z"))
+    words = encoded.select("chunk", F.lit(False).alias("is_doc"), F.lit(None).cast("long").alias("doc_id"), F.col("pack").alias("z"))
+    both = words.union(packed.select("chunk", F.lit(True), "doc_id", "z"))
     return both.repartition("chunk").sortWithinPartitions("chunk", "is_doc").mapInArrow(put_back, ddl)
