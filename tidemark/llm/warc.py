@@ -40,23 +40,28 @@ def record_id(page_id: int | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(NAMES, f'page:{page_id}')}>"
 
 
-def member(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
-    """One record, compressed: a response with its payload, or a revisit with the response's headers only."""
-    sha1 = lambda b: "sha1:" + base64.b32encode(hashlib.sha1(b).digest()).decode()
-    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
-    revisit = refers_to is not None
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(page_id)}"]
-    head += [f"WARC-Date: {DATE}", f"WARC-Payload-Digest: {sha1(payload)}"]
+def sha1_text(digest: bytes) -> str:
+    return "sha1:" + base64.b32encode(digest).decode()
+
+
+def member(
+    page_id: int | None, url: str | None, sha: str, size: int, payload: bytes | None, refers_to: int | None = None
+) -> bytes:
+    """One record, compressed: a response with its payload, or without one a revisit with the response's headers."""
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % size
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if payload is None else 'response'}"]
+    head += [f"WARC-Record-ID: {record_id(page_id)}", f"WARC-Date: {DATE}"]
+    head.append(f"WARC-Payload-Digest: {sha1_text(bytes.fromhex(sha))}")
     if url is not None:
         head.append("WARC-Target-URI: " + urllib.parse.quote(url, safe="%/:=&?~#+!$,;'@()*[]"))
     if page_id is not None:
         head.append(f"Page-Id: {page_id}")
-    if revisit:
+    if payload is None:
         head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers_to)}", f"Refers-To-Page-Id: {refers_to}"]
     else:
         block += payload
-    head += [f"WARC-Block-Digest: {sha1(block)}", "Content-Type: application/http; msgtype=response"]
-    head += [f"Content-Length: {len(block)}", "", ""]
+    head.append(f"WARC-Block-Digest: {sha1_text(hashlib.sha1(block).digest())}")
+    head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
     return gzip.compress("\r\n".join(head).encode() + block + b"\r\n\r\n", 6, mtime=0)
 
 
@@ -118,17 +123,27 @@ def write_archives(pages: DataFrame, path: str, shard: int = SHARD, roll: int =
     ids = sorted(r["page_id"] for r in few.collect())
     limits = sorted({ids[len(ids) * i // shards] for i in range(1, shards)}) if ids else []
     copies = rows.where(large).groupBy("sha").agg(F.max("page_id").alias("target"), F.count("*").alias("n"))
-    copies = copies.where("n > 1").select("sha", "target")
-    rows = rows.join(copies, "sha", "left")
-    refers = F.when(large & F.col("target").isNotNull() & ~F.col("target").eqNullSafe(F.col("page_id")), F.col("target"))
-    rows = rows.select("page_id", "url", "payload", refers.alias("refers_to"))
+    copies = copies.where("n > 1 AND target IS NOT NULL").select("sha", "target")
+    # Which rows revisit which: ids and digests alone. They meet the records in the writer, so payloads move once.
+    revisits = rows.where(large).select("page_id", "sha").join(copies, "sha")
+    revisits = revisits.where(~F.col("target").eqNullSafe(F.col("page_id"))).distinct()
+
+    def shard_of(page_id: int | None) -> int:
+        return 0 if page_id is None else bisect_left(limits, page_id + 1)
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [batch[c].to_pylist() for c in ("page_id", "url", "payload", "refers_to")]
-            members = pa.array([member(*row) for row in zip(*cols, strict=True)], pa.binary())
-            at = [0 if i is None else bisect_left(limits, i + 1) for i in cols[0]]
-            yield pa.record_batch([pa.array(at, pa.int32()), batch["page_id"], members], ["shard", "page_id", "member"])
+            cols = [batch[c].to_pylist() for c in ("page_id", "url", "sha", "payload")]
+            made = [member(i, url, sha, len(p), p) for i, url, sha, p in zip(*cols, strict=True)]
+            at = pa.array([shard_of(i) for i in cols[0]], pa.int32())
+            size = pa.array([len(p) for p in cols[3]], pa.int64())
+            more = {"size": size, "member": pa.array(made, pa.binary())}
+            yield pa.record_batch({"shard": at} | {c: batch[c] for c in ("page_id", "url", "sha")} | more)
+
+    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = pa.array([shard_of(i) for i in batch["page_id"].to_pylist()], pa.int32())
+            yield pa.record_batch({"shard": at} | {c: batch[c] for c in ("page_id", "sha", "target")})
 
     def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -148,11 +163,20 @@ def write_archives(pages: DataFrame, path: str, shard: int = SHARD, roll: int =
                 done.append((name, len(held), len(data), hashlib.sha256(data).hexdigest()))
                 nth, held, size = nth + 1, [], 0
 
+        refers: dict[tuple[int | None, str], int] = {}
         for batch in batches:
-            for of, one in zip(batch["shard"].to_pylist(), batch["member"].to_pylist(), strict=True):
+            columns = [batch[c].to_pylist() for c in ("shard", "page_id", "url", "sha", "size", "target", "member")]
+            for of, page_id, url, sha, n, target, one in zip(*columns, strict=True):
                 if of != at:
                     close()
                     at, nth = of, 0
+                if one is None:
+                    if refers and next(iter(refers))[0] != page_id:
+                        refers = {}
+                    refers[page_id, sha] = target
+                    continue
+                if (page_id, sha) in refers:
+                    one = member(page_id, url, sha, n, None, refers[page_id, sha])
                 held.append(one)
                 size += len(one)
                 if size >= roll:
@@ -162,8 +186,11 @@ def write_archives(pages: DataFrame, path: str, shard: int = SHARD, roll: int =
         cols = zip(*done, strict=True) if done else [[]] * 4
         yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["file", "n_records", "n_bytes", "sha256"])
 
-    made = rows.mapInArrow(make, "shard int, page_id long, member binary").repartition(shards, "shard")
-    made = made.sortWithinPartitions("shard", "page_id", "member")
+    schema = "shard int, page_id long, url string, sha string, size long, member binary"
+    made = rows.mapInArrow(make, schema).withColumn("target", F.lit(None).cast("long"))
+    told = revisits.mapInArrow(place, "shard int, page_id long, sha string, target long")
+    made = made.unionByName(told, allowMissingColumns=True).repartition(shards, "shard")
+    made = made.sortWithinPartitions("shard", "page_id", F.col("member").isNotNull(), "sha", "url")
     listed = made.mapInArrow(put, "file string, n_records long, n_bytes long, sha256 string")
     return stored(listed, "manifest")
 
