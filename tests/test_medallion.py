@@ -46,15 +46,16 @@ def test_landing_to_gold(spark, tmp_path):
     landed = M.land_live(payloads(spark, (10, body({100: 35, 102: 5}), None), (10, "oops", None)), entities, root, later)
     assert (landed["rows_written"], landed["failed"]) == (2, 1)
     second = M.run_once(spark, root, later, tables)
-    assert (second["gold"]["rows_before"], second["gold"]["rows_written"]) == (4, 3)
+    assert (second["gold"]["rows_before"], second["gold"]["rows_written"]) == (2, 3)
+    assert M.run_once(spark, root, later, tables) == {}
 
-    # The next day only that day's rows are read, and a full refresh gives the same.
+    # Only the rows of the new batch are merged, and a full refresh gives the same.
     tomorrow = AT + timedelta(days=1)
     M.land_live(payloads(spark, (10, body({101: 8, 102: None}), None)), entities, root, tomorrow)
     third = M.run_once(spark, root, tomorrow, tables)
     assert (third["gold"]["rows_before"], third["gold"]["rows_written"]) == (2, 3)
     merged = sorted(map(str, spark.table("gold.live_data_current").collect()))
-    again = M.refresh_gold(spark, root=tables, since=AT.date())
+    again = M.refresh_gold(spark, root=tables, added=spark.table("silver.live_data"))
     assert (again["rows_before"], again["rows_written"]) == (6, 3)
     assert sorted(map(str, spark.table("gold.live_data_current").collect())) == merged
     assert M.refresh_gold(spark, root=tables)["rows_before"] == 6
@@ -106,3 +107,49 @@ def test_nothing_landed_is_no_work(spark, tmp_path):
     for prefix in ("destinations", "entities", "live"):
         (tmp_path / "bronze" / prefix).mkdir(parents=True)
     assert M.run_once(spark, str(tmp_path)) == {}
+
+
+def test_every_landed_batch_is_taken_once_and_reaches_gold(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.latest import latest
+    from tidemark.sources.bronze import batch_path, write_bronze
+    from tidemark.functions.schemas import LIVE_BRONZE, conform
+
+    for name in ("silver.live_data", "gold.live_data_current", M.TAKEN):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    root, tables = str(tmp_path / "lake"), str(tmp_path / "tables")
+
+    def land(at, stamp, wait):
+        rows = spark.createDataFrame([(7, wait, stamp)], "id long, wait_time long, ingest_timestamp string")
+        write_bronze(conform(rows.withColumns({"park_id": F.lit(1).cast("long"), "status": F.lit("OPERATING")}), LIVE_BRONZE), root, "live", at)
+
+    def gold():
+        return {r.id: r.wait_time for r in spark.table("gold.live_data_current").collect()}
+
+    land(AT, "2026-03-03T15:00:00+00:00", 5)
+    land(AT + timedelta(minutes=5), "2026-03-03T15:05:00+00:00", 6)
+    done = M.run_once(spark, root, None, tables)
+    assert len(done["batches"]) == 2 and gold() == {7: 6}
+    # Stamped before midnight and landed after it; then a late one.
+    land(AT.replace(day=4, hour=0, second=3), "2026-03-03T23:59:58+00:00", 77)
+    land(AT.replace(day=4, hour=1), "2026-03-01T00:00:00+00:00", 1)
+    M.run_once(spark, root, None, tables)
+    assert gold() == {7: 77} and M.run_once(spark, root, None, tables) == {}
+    assert spark.table("silver.live_data").count() == 4
+    # A batch that a run began and did not finish is not added twice; one that never landed whole is not taken.
+    M._note(spark, batch_path(root, "live", AT.replace(day=5)), "begun", tables)
+    land(AT.replace(day=5), "2026-03-05T15:00:00+00:00", 9)
+    M.append_live(spark, batch_path(root, "live", AT.replace(day=5)), tables)
+    land(AT.replace(day=6), "2026-03-06T15:00:00+00:00", 99)
+    (tmp_path / "lake/bronze/live/2026/03/06/150000/_SUCCESS").unlink()
+    M.run_once(spark, root, None, tables)
+    assert spark.table("silver.live_data").count() == 5 and gold() == {7: 9}
+    land(AT.replace(day=6), "2026-03-06T15:00:00+00:00", 100)
+    M.run_once(spark, root, None, tables)
+    whole = latest(spark.table("silver.live_data"), ["id"], ["ingest_timestamp"])
+    assert gold() == {7: 100} == {r.id: r.wait_time for r in whole.collect()}
+
+
+def test_a_prefix_that_never_landed_is_no_work(spark, tmp_path):
+    assert M.run_once(spark, str(tmp_path / "none")) == {}

@@ -200,3 +200,10 @@ def test_one_entry_for_all_sinks(spark, tmp_path):
     assert X.load(df, "loads.small", "table", root=str(tmp_path / "t"))["rows_written"] == 1
     with pytest.raises(ValueError, match="unknown sink"):
         X.load(df, "x", "orc")
+
+
+def test_an_empty_overwrite_leaves_what_is_there(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    X.write_parquet(spark.range(3), path)
+    assert X.write_parquet(spark.range(0), path, mode="overwrite")["status"] == "skipped"
+    assert spark.read.parquet(path).count() == 3

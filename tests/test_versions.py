@@ -163,10 +163,11 @@ def test_many_versions_on_the_day_that_decides(spark):
     assert got == set(ranked[kept:])
 
 
-def test_more_rules_than_are_broadcast(spark, monkeypatch):
-    want = sorted(map(tuple, R.expire_plan(versions(spark), POLICY, NOW).collect()))
-    monkeypatch.setattr(R, "BROADCAST_RULES", 0)
-    assert sorted(map(tuple, R.expire_plan(versions(spark), POLICY, NOW).collect())) == want
+def test_versions_are_read_twice(spark, helpers, tmp_path):
+    versions(spark).write.parquet(str(tmp_path / "v"))
+    stored = spark.read.parquet(str(tmp_path / "v"))
+    for plan in (R.expire_plan(stored, POLICY, NOW), R.expire_report(stored, POLICY, NOW)):
+        assert helpers.plan(plan).count("FileScan parquet") == 2
 
 
 def test_batch_retention(spark):

@@ -14,10 +14,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from tidemark.functions.columns import moment
 
 
-# Up to this many members are broadcast to filter rows before they are reduced.
-FEW_MEMBERS = 10_000
-
-
 def _sortable(kind: T.DataType) -> bool:
     if isinstance(kind, (T.MapType, T.VariantType)):
         return False
@@ -79,16 +75,10 @@ def filter_then_latest(
 ) -> DataFrame:
     """Newest row per key among the rows that pass ``where`` and have a partner in ``members``.
 
-    ``on`` maps columns of ``df`` to columns of ``members``. A bounded look finds out how many
-    members there are. A few are broadcast, and the rows are filtered as they are read. If
-    there are more, rows are first reduced to one per key and join value: max of maxima is the
-    same row, and the join then meets no hot key. Past 10 GB of input Spark also filters that
-    scan by the members' keys, below the aggregate.
+    ``on`` maps columns of ``df`` to columns of ``members``. Rows are first reduced to one per key and join value: max of
+    maxima is the same row, and the join then meets no hot key. How to join is left to Spark.
     """
     rows = df if where is None else df.where(where)
-    found = members.select(*map(_ref, on.values())).head(FEW_MEMBERS + 1)
-    if len(found) <= FEW_MEMBERS:
-        return latest(having_partner(rows, members, on, few=True), keys, order, ties)
     extra = [c for c in on if c not in keys]
     candidates = latest(rows, [*keys, *extra], order, ties)
     kept = having_partner(candidates, members, on)
@@ -121,12 +111,9 @@ def upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str], order: S
     return latest(current.unionByName(changes, allowMissingColumns=True), keys, order, ties)
 
 
-def having_partner(df: DataFrame, members: DataFrame, on: dict[str, str], few: bool = False) -> DataFrame:
-    """Rows of ``df`` with at least one partner in ``members``; no row is repeated.
-
-    ``few`` says that the number of members was checked, so that they may be broadcast.
-    """
+def having_partner(df: DataFrame, members: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Rows of ``df`` with at least one partner in ``members``; no row is repeated."""
     names = {right: f"_member_{i}" for i, right in enumerate(on.values())}
     slim = members.select(*[_ref(right).alias(name) for right, name in names.items()])
     condition = [_ref(left) == F.col(names[right]) for left, right in on.items()]
-    return df.join(F.broadcast(slim) if few else slim, condition, "left_semi")
+    return df.join(slim, condition, "left_semi")

@@ -7,9 +7,9 @@ from datetime import datetime
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions.columns import moment, utc_date
+from tidemark.functions.columns import moment
 from tidemark.operators.latest import newest
 
 
@@ -32,15 +32,6 @@ TABLE_POLICY = (
 BRONZE_DAYS = {"destinations": 7, "entities": 7, "live": 30}
 
 
-# What is joined to the versions has at most one row per rule. Up to this many rules it is
-# broadcast, past it joined.
-BROADCAST_RULES = 10_000
-
-
-def _per_rule(df: DataFrame, policy: Sequence[Retention]) -> DataFrame:
-    return F.broadcast(df) if len(policy) <= BROADCAST_RULES else df
-
-
 def _rules(spark: SparkSession, policy: Sequence[Retention]) -> DataFrame:
     """The policy as a literal relation."""
     return spark.createDataFrame(
@@ -55,56 +46,33 @@ def _rules(spark: SparkSession, policy: Sequence[Retention]) -> DataFrame:
 
 
 def _governed(versions: DataFrame, policy: Sequence[Retention], now: datetime | Column) -> DataFrame:
-    """Versions of the policy's tables, with the age test as ``_old`` and the UTC day as ``_day``."""
+    """Versions of the policy's tables, with the age test as ``_old``."""
     today = now if isinstance(now, Column) else moment(now, versions.schema["committed_at"].dataType)
     rules = _rules(versions.sparkSession, policy).select(
         "table", "min_snapshots", (today - F.make_dt_interval(F.col("retain_days"))).alias("_cutoff")
     )
-    return versions.join(_per_rule(rules, policy), "table").select(
-        "table", "snapshot_id", "committed_at", "min_snapshots",
-        (F.col("committed_at") < F.col("_cutoff")).alias("_old"),
-        # A version without a time is older than all others.
-        F.coalesce(utc_date(versions, "committed_at"), F.lit("0001-01-01").cast("date")).alias("_day"),
-    )
-
-
-def _tables(governed: DataFrame) -> DataFrame:
-    """Per table: versions, old ones, and the day that the newest ``min_snapshots`` reach back to.
-
-    Versions are counted per day first, so the order is taken over days, not over versions.
-    """
-    days = governed.groupBy("table", "min_snapshots", "_day").agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if("_old").alias("_n_old")
-    )
-    newer = W.partitionBy("table").orderBy(F.col("_day").desc()).rowsBetween(W.unboundedPreceding, -1)
-    needed = F.coalesce(F.sum("_n").over(newer), F.lit(0)) < F.col("min_snapshots")
-    return days.withColumn("_needed", needed).groupBy("table").agg(
-        F.sum("_n").alias("_all"), F.sum("_n_old").alias("_old_all"), F.min(F.when(F.col("_needed"), F.col("_day"))).alias("_from")
+    return versions.join(rules, "table").select(
+        "table", "snapshot_id", "committed_at", "min_snapshots", (F.col("committed_at") < F.col("_cutoff")).alias("_old")
     )
 
 
-def _always_kept(governed: DataFrame, tables: DataFrame, policy: Sequence[Retention]) -> DataFrame:
-    """The newest ``min_snapshots`` versions per table.
-
-    Only the days they lie in are ranked, and each task sends no more than that many.
-    """
-    recent = governed.join(_per_rule(tables.select("table", "_from"), policy), "table").where("_day >= _from")
-    most = max(rule.min_snapshots for rule in policy)
-    slim = recent.select("table", "committed_at", "snapshot_id", "min_snapshots", "_old")
-    return newest(slim, ["table"], ["committed_at", "snapshot_id"], most).where("rn <= min_snapshots")
+def _always_kept(governed: DataFrame, policy: Sequence[Retention]) -> DataFrame:
+    """The newest ``min_snapshots`` versions per table; each task sends no more than that many of a table."""
+    most = max((rule.min_snapshots for rule in policy), default=0)
+    return newest(governed, ["table"], ["committed_at", "snapshot_id"], most).where("rn <= min_snapshots")
 
 
 def expire_plan(versions: DataFrame, policy: Sequence[Retention], now: datetime | Column) -> DataFrame:
     """The versions to expire: old, and older than the last one that is always kept.
 
-    ``versions`` has ``table``, ``snapshot_id`` and ``committed_at``. Ranking all versions of a
-    table would put them in one task, so each is compared with one threshold per table instead.
+    ``versions`` has ``table``, ``snapshot_id`` and ``committed_at``. They are read twice: for the last kept one of each
+    table, and to compare each with it.
     """
     governed = _governed(versions, policy, now)
-    floors = _always_kept(governed, _tables(governed), policy).groupBy("table").agg(
+    floors = _always_kept(governed, policy).groupBy("table").agg(
         F.min(F.struct("committed_at", "snapshot_id")).alias("_floor")
     )
-    marked = governed.where("_old").join(_per_rule(floors, policy), "table", "left")
+    marked = governed.where("_old").join(floors, "table", "left")
     due = F.col("_floor").isNull() | (F.struct("committed_at", "snapshot_id") < F.col("_floor"))
     return marked.where(due).select("table", "snapshot_id", "committed_at")
 
@@ -112,11 +80,9 @@ def expire_plan(versions: DataFrame, policy: Sequence[Retention], now: datetime
 def expire_report(versions: DataFrame, policy: Sequence[Retention], now: datetime | Column) -> DataFrame:
     """Per table of the policy: versions before and after, expired, and ``skipped`` if it has none."""
     governed = _governed(versions, policy, now)
-    tables = _tables(governed)
-    kept = _always_kept(governed, tables, policy).groupBy("table").agg(F.count_if("_old").alias("_old_kept"))
-    named = _rules(versions.sparkSession, policy).select("table")
-    for part in (tables, kept):
-        named = named.join(_per_rule(part, policy), "table", "left")
+    counts = governed.groupBy("table").agg(F.count(F.lit(1)).alias("_all"), F.count_if("_old").alias("_old_all"))
+    kept = _always_kept(governed, policy).groupBy("table").agg(F.count_if("_old").alias("_old_kept"))
+    named = _rules(versions.sparkSession, policy).select("table").join(counts, "table", "left").join(kept, "table", "left")
     expired = F.col("_old_all") - F.coalesce("_old_kept", F.lit(0))
     return named.select(
         "table",

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tidemark.functions.columns import utc_date
+from tidemark.functions.columns import moment, utc_date
 from tidemark.functions.schemas import DESTINATION_BRONZE, ENTITY, LIVE_BRONZE, LIVE_FILE, conform
 from tidemark.operators.aggregates import known_keys
 from tidemark.operators.flatten import (
@@ -20,10 +21,14 @@ from tidemark.operators.flatten import (
 )
 from tidemark.operators.latest import having_partner, latest, upsert
 from tidemark.operators.retention import BRONZE_DAYS, TABLE_POLICY, Retention, batch_retention, expire_plan, expire_report
-from tidemark.sources.bronze import batch_time, landed_batches, latest_bronze, read_bronze, write_bronze
+from tidemark.sources.bronze import committed, landed_batches, latest_bronze, read_bronze, write_bronze
 from tidemark.sources.tables import snapshot_log, write_table
 
 
+#: Which landed batches were taken.
+TAKEN = "silver.taken_batches"
+
+
 def batch_stamp(at: datetime | None = None) -> str:
     """The one ingest time of a batch, fixed by the caller and never taken again downstream."""
     return (at or datetime.now(timezone.utc)).astimezone(timezone.utc).isoformat()
@@ -71,14 +76,26 @@ def refresh_entities(spark: SparkSession, path: str, root: str | None = None) ->
     return write_table(read_bronze(spark, path, ENTITY), "silver.entities", "overwrite", "recreate", root=root)
 
 
-def append_live(spark: SparkSession, path: str, root: str | None = None, on_drift: str = "fail") -> dict:
+def live_batch(spark: SparkSession, path: str) -> DataFrame:
+    """One landed live batch as rows of silver."""
+    rows = normalize_live(read_bronze(spark, path, LIVE_FILE))
+    return rows.withColumn("ingest_date", utc_date(rows, "ingest_timestamp"))
+
+
+def append_live(
+    spark: SparkSession, path: str, root: str | None = None, on_drift: str = "fail", again: bool = False
+) -> dict:
     """One landed live batch to ``silver.live_data``, added, in folders per ingest date.
 
-    Adding a batch twice adds its rows twice; ``streaming.live`` keeps track of what it took.
+    With ``again`` a run before this one may have added the batch: rows that are there, equal in all columns, are not
+    added a second time. Silver is looked up on the batch's days alone.
     """
-    rows = normalize_live(read_bronze(spark, path, LIVE_FILE))
-    rows = rows.withColumn("ingest_date", utc_date(rows, "ingest_timestamp"))
-    return write_table(rows, "silver.live_data", "append", on_drift, partition_by=["ingest_date"], root=root)
+    rows, silver = live_batch(spark, path), "silver.live_data"
+    if again and spark.catalog.tableExists(silver):
+        there = spark.table(silver)
+        same = [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in rows.columns if c in there.columns]
+        rows = rows.alias("new").join(there.alias("old"), same, "left_anti")
+    return write_table(rows, silver, "append", on_drift, partition_by=["ingest_date"], root=root)
 
 
 def refresh_gold(
@@ -86,20 +103,18 @@ def refresh_gold(
     silver: str = "silver.live_data",
     gold: str = "gold.live_data_current",
     root: str | None = None,
-    since: date | None = None,
+    added: DataFrame | None = None,
 ) -> dict:
     """``silver.live_data`` to one current row per entity, with the row count before and after.
 
-    With ``since`` only the history from that ingest date on is read, and merged into the
-    gold there is: the newest of both is the newest of all, and merging a day again changes
-    nothing. Without it, or without gold, the whole history is read.
+    With ``added`` only these rows, which silver already has, are merged into the gold there is: the newest of both is
+    the newest of all, whatever their times, and merging them again changes nothing. Without it, or without gold, the
+    whole history is read.
     """
     seen = Observation()
-    history = spark.table(silver)
-    merge = since is not None and spark.catalog.tableExists(gold)
-    if merge:
-        history = history.where(F.col("ingest_date") >= F.lit(since))
-    rows = history.drop("ingest_date").observe(seen, F.count(F.lit(1)).alias("rows"))
+    merge = added is not None and spark.catalog.tableExists(gold)
+    rows = (added if merge else spark.table(silver)).drop("ingest_date")
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     keys, order = ["id"], ["ingest_timestamp"]
     current = upsert(spark.table(gold), rows, keys, order) if merge else latest(rows, keys, order)
     summary = write_table(current, gold, "overwrite", "recreate", root=root)
@@ -122,14 +137,54 @@ def bronze_expiry(
     return batch_retention(landed, "prefix", "day", days, default_days, F.lit(now.astimezone(timezone.utc).date()))
 
 
+def taken_batches(spark: SparkSession) -> dict[str, str]:
+    """The batches that runs have begun, with ``begun`` or ``done``: one name for each since the tables were made."""
+    if not spark.catalog.tableExists(TAKEN):
+        return {}
+    last = spark.table(TAKEN).groupBy("batch").agg(F.max("state").alias("state"))  # "done" is the greater
+    return {r["batch"]: r["state"] for r in last.collect()}
+
+
+def _name(path: str) -> str:
+    """A batch's path as it is noted: the same however a local path is written."""
+    return re.sub(r"^file:/*", "/", path)
+
+
+def _note(spark: SparkSession, batch: str, state: str, root: str | None) -> None:
+    line = spark.createDataFrame([(_name(batch), state)], "batch string, state string")
+    write_table(line, TAKEN, "append", "fail", root=root)
+
+
 def run_once(spark: SparkSession, root: str, run_at: datetime | None = None, tables: str | None = None) -> dict:
-    """Take the newest landed batch of every kind at or before a run through silver to gold."""
-    done = {}
-    if path := latest_bronze(spark, root, "destinations", run_at):
-        done["destinations"], done["parks"] = refresh_destinations(spark, path, tables)
-    if path := latest_bronze(spark, root, "entities", run_at):
-        done["entities"] = refresh_entities(spark, path, tables)
-    if path := latest_bronze(spark, root, "live", run_at):
-        done["live"] = append_live(spark, path, tables)
-        done["gold"] = refresh_gold(spark, root=tables, since=batch_time(path).date())
+    """Take the landed batches at or before a run that no run has taken yet through silver to gold.
+
+    Reference data is replaced by its newest batch. Every live batch is added, in the order of landing, and exactly its
+    rows are merged into gold. A batch is noted before and after; one that was begun and not done is added again without
+    the rows that are there.
+    """
+    done: dict = {}
+    taken = taken_batches(spark)
+    for prefix, names, refresh in (
+        ("destinations", ("destinations", "parks"), refresh_destinations),
+        ("entities", ("entities",), refresh_entities),
+    ):
+        path = latest_bronze(spark, root, prefix, run_at)
+        if path and taken.get(_name(path)) != "done":
+            result = refresh(spark, path, tables)
+            done |= dict(zip(names, result if isinstance(result, tuple) else (result,), strict=True))
+            _note(spark, path, "done", tables)
+    landed = landed_batches(spark, root, "live")
+    if run_at is not None:
+        landed = landed.where(F.col("landed_at") <= moment(run_at, landed.schema["landed_at"].dataType))
+    for row in landed.orderBy("landed_at", "batch").collect():
+        path = row["batch"]
+        if taken.get(_name(path)) == "done" or not committed(spark, path):
+            continue
+        again = _name(path) in taken
+        if not again:
+            _note(spark, path, "begun", tables)
+        done["live"] = append_live(spark, path, tables, again=again)
+        done["gold"] = refresh_gold(spark, root=tables, added=live_batch(spark, path))
+        done.setdefault("batches", []).append(path)
+        _note(spark, path, "done", tables)
     return done

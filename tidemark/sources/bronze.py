@@ -11,7 +11,7 @@ from tidemark.functions.columns import moment
 
 # Fixed value: a batch folder is <root>/bronze/<prefix>/YYYY/MM/DD/HHMMSS.
 BATCH = "%Y/%m/%d/%H%M%S"
-FIRST_FILE = "{part-00000-*-c000.json*,*.jsonl,*.jsonl.gz}"
+FILES = "{part-*,*.jsonl,*.jsonl.gz}"
 LANDED = r"^(.*/bronze/([^/]+)/(\d{4}/\d{2}/\d{2}/\d{6})(?:\.jsonl(?:\.gz)?)?)(?:/part-[^/]+)?$"
 
 
@@ -19,15 +19,27 @@ def batch_path(root: str, prefix: str, at: datetime) -> str:
     return f"{root.rstrip('/')}/bronze/{prefix}/{at.astimezone(timezone.utc).strftime(BATCH)}"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, asked of the store it lies in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def committed(spark: SparkSession, batch: str) -> bool:
+    """Whether a batch has landed whole: a folder by Spark's mark in it, a single file as it is."""
+    return batch.endswith((".jsonl", ".jsonl.gz")) or _exists(spark, f"{batch}/_SUCCESS")
+
+
 def write_bronze(
     df: DataFrame, root: str, prefix: str, at: datetime | None = None, rows_per_file: int = 1_000_000
 ) -> dict:
     """Land a batch and return its summary with ``path``. NULL fields are written out.
 
-    Gzip cannot be split on reading, so files are kept to ``rows_per_file`` rows. A batch
-    folder that already exists is an error: landed data is never replaced.
+    Gzip cannot be split on reading, so files are kept to ``rows_per_file`` rows. A batch that has landed whole is never
+    replaced, that is an error; what a failed job left of one is.
     """
     path = batch_path(root, prefix, at or datetime.now(timezone.utc))
+    mode = "errorifexists" if committed(df.sparkSession, path) else "overwrite"
     counted = Observation()
     (
         df.observe(counted, F.count(F.lit(1)).alias("rows"))
@@ -35,7 +47,7 @@ def write_bronze(
         .option("ignoreNullFields", "false")
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         .option("maxRecordsPerFile", rows_per_file)
-        .mode("errorifexists")
+        .mode(mode)
         .json(path)
     )
     return {"path": path, "rows_written": counted.get["rows"], "columns": df.columns}
@@ -59,14 +71,17 @@ def explore_json(spark: SparkSession, path: str, sampling: float = 1.0) -> DataF
 def landed_batches(spark: SparkSession, root: str, prefix: str = "*") -> DataFrame:
     """All landed batches: ``prefix``, path ``batch``, and landing time ``landed_at`` (UTC clock).
 
-    A batch is a folder that ``write_bronze`` made, or a single file HHMMSS.jsonl or
-    HHMMSS.jsonl.gz. Only paths are listed, and of a folder only the first file, which it always has.
+    A batch is a folder that ``write_bronze`` made, or a single file HHMMSS.jsonl or HHMMSS.jsonl.gz. Only paths are
+    listed; a folder counts by any of its files. A prefix under which nothing ever landed has no batches.
     """
+    base = f"{root.rstrip('/')}/bronze"
+    if not _exists(spark, base if "*" in prefix else f"{base}/{prefix}"):
+        return spark.createDataFrame([], "prefix string, batch string, landed_at timestamp_ntz")
     paths = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", FIRST_FILE)
-        .load(f"{root.rstrip('/')}/bronze/{prefix}")
+        .option("pathGlobFilter", FILES)
+        .load(f"{base}/{prefix}")
         .select("path")
     )
     stamp = F.regexp_extract("path", LANDED, 3)
@@ -74,18 +89,22 @@ def landed_batches(spark: SparkSession, root: str, prefix: str = "*") -> DataFra
         F.regexp_extract("path", LANDED, 2).alias("prefix"),
         F.regexp_extract("path", LANDED, 1).alias("batch"),
         F.to_timestamp_ntz(stamp, F.lit("yyyy/MM/dd/HHmmss")).alias("landed_at"),
-    )
+    ).distinct()
 
 
 def latest_bronze(spark: SparkSession, root: str, prefix: str, run_at: datetime | None = None) -> str | None:
-    """Folder of the newest batch landed at or before a run; None if there is none.
+    """Newest batch that landed whole at or before a run; None if there is none.
 
     The one path is all that comes back, as a hand-over to the next step.
     """
     batches = landed_batches(spark, root, prefix)
     if run_at is not None:
         batches = batches.where(F.col("landed_at") <= moment(run_at, T.TimestampNTZType()))
-    return batches.agg(F.max_by("batch", "landed_at").alias("batch")).first()["batch"]
+    while row := batches.agg(F.max_by(F.struct("batch", "landed_at"), "landed_at").alias("b")).first()["b"]:
+        if committed(spark, row["batch"]):
+            return row["batch"]
+        batches = batches.where(F.col("landed_at") < F.lit(row["landed_at"]))
+    return None
 
 
 def batch_time(path: str) -> datetime:

@@ -27,7 +27,10 @@ def write_parquet(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists",
     at: datetime | None = None, sizes: bool = False,
 ) -> dict:
-    """Snappy parquet, optionally partitioned. With ``sizes`` the files are listed and added up."""
+    """Snappy parquet, optionally partitioned. With ``sizes`` the files are listed and added up.
+
+    Whether there are rows is found out before anything is replaced: an input without rows writes nothing.
+    """
     counted = Observation()
     df = rebalanced(df, partition_by)
     writer = (
@@ -35,8 +38,10 @@ def write_parquet(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    rows = counted.get["rows"]
+    some = not df.isEmpty()
+    if some:
+        writer.parquet(path)
+    rows = counted.get["rows"] if some else 0
     summary = {
         "status": "loaded" if rows else "skipped",
         "reason": None if rows else "no rows",
@@ -46,7 +51,7 @@ def write_parquet(
         "column_count": len(df.columns),
         "timestamp": (at or datetime.now(timezone.utc)).isoformat(),
     }
-    if sizes:
+    if sizes and some:
         summary["size_bytes"] = file_bytes(df.sparkSession, path)
     return summary
 
