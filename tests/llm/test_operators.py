@@ -252,6 +252,17 @@ def test_main_text(spark):
     assert got[2].text == got[3].text == "" and len(got) == 5
 
 
+def test_menus_whose_labels_end_like_sentences_are_left_out():
+    menu = "".join(f"<li><a href=/{i}>{w}</a></li>" for i, w in enumerate(["Home.", "News", "Who are we?", "lake."]))
+    story = "<h1>Lake.</h1><p>The lake is deep, and cold in winter.</p><p>Ships cross it every day of the week.</p>"
+    pages = [
+        f"<body><nav><ul>{menu}</ul></nav><article>{story}</article><footer>&copy; a.b. All of it.</footer>",
+        f"<body><div class=menu><ul>{menu}</ul></div><main>{story}</main><aside><h3>More.</h3><ul>{menu}</ul></aside>",
+    ]
+    want = "Lake.\nThe lake is deep, and cold in winter.\nShips cross it every day of the week."
+    assert main_texts(pages, trained()) == [want, want]
+
+
 def test_main_text_on_fresh_templates():
     model, new, right = trained(200), Templates(99), 0
     for _ in range(60):
