@@ -8,7 +8,7 @@ from tidemark.operators import flatten as X
 
 
 def ride(i, **more):
-    return {"id": i, "name": f"ride {i}", "is_open": True, "wait_time": 5, "last_updated": "2026-03-03T15:00:24.000Z"} | more
+    return {"id": i, "name": f"ride {i}", "is_open": True, "wait_time": 5, "last_updated": "2026-02-19T07:31:09.250Z"} | more
 
 
 BODIES = {
@@ -54,10 +54,21 @@ def test_rides_from_text_and_from_the_parsed_body_agree(spark):
     assert sorted(map(str, X.extract_rides(good).collect())) == sorted(map(str, X.extract_rides(text).collect()))
 
 
-def test_bad_wait_time_is_an_error(spark):
-    df = spark.createDataFrame([(1, json.dumps({"rides": [ride(1, wait_time="long")]}), None)], PAYLOAD)
+def test_bad_wait_times_are_set_apart_with_their_payload(spark):
+    bodies = [
+        {"rides": [ride(1, wait_time="long"), ride(2)]},
+        {"lands": [None, {"id": 5, "rides": [ride(3, wait_time=[1])]}, {"id": 6, "rides": [ride(4)]}]},
+        {"lands": [{"id": 7}, {"id": 8, "rides": [None, ride(5, wait_time="9"), ride(6, wait_time=None)]}], "rides": None},
+        {"rides": [ride(7, wait_time="3.7")]},
+        {"rides": [ride(8, wait_time=4.99999999999)]},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(b), None) for i, b in enumerate(bodies)], PAYLOAD)
+    good, failed = X.split_outcomes(df)
+    assert {r.park_id: r.error for r in failed.collect()} == {i: "body does not fit the schema" for i in (0, 1, 3)}
+    waits = {r.id: r.wait_time for r in X.extract_rides(good).where("id is not null").collect()}
+    assert waits == {5: 9, 6: None, 8: 4}
     with pytest.raises(Exception, match="not a whole number"):
-        X.extract_rides(df).collect()
+        X.extract_rides(df.where("park_id = 0").drop("error")).collect()
 
 
 def test_live_rows_share_one_stamp_and_derive_status(spark):

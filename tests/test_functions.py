@@ -45,6 +45,7 @@ def test_whole_number_of_variants(spark, settings, ansi):
         return [r[0] for r in df.select(C.whole_number(parsed, T.VariantType())).collect()]
 
     assert whole("5", "5.0", "3.7", "-3.7", '"8"', "null", None, "1e2") == [5, 5, 3, -3, 8, None, None, 100]
+    assert whole("4.99999999999", "-4.99999999999", "9007199254740993") == [4, -4, 9007199254740993]
     for bad in ('"3.7"', '"x"', "[1]", '{"a": 1}'):
         with pytest.raises(Exception, match="not a whole number"):
             whole(bad)
@@ -58,6 +59,14 @@ TIMES = {
     "2026-03-03T15:00:24.123456+00:00": datetime(2026, 3, 3, 15, 0, 24, 123456),
     "2026-03-03 15:00:24": datetime(2026, 3, 3, 15, 0, 24),
     "2026-03-03": datetime(2026, 3, 3),
+    "2026-03-03T15:00:24+05": datetime(2026, 3, 3, 10, 0, 24),
+    "2026-03-03T15:00": datetime(2026, 3, 3, 15, 0),
+    "2026-03-03T15:00-03:00": datetime(2026, 3, 3, 18, 0),
+    "2026-03-03T15Z": datetime(2026, 3, 3, 15, 0),
+    "20260303T150024Z": datetime(2026, 3, 3, 15, 0, 24),
+    "20260303T150024.5+0530": datetime(2026, 3, 3, 9, 30, 24, 500000),
+    "20260303T1500": datetime(2026, 3, 3, 15, 0),
+    "20260303": datetime(2026, 3, 3),
     # Both clock readings of an hour that New York has twice, and one it does not have.
     "2026-11-01T05:30:00Z": datetime(2026, 11, 1, 5, 30),
     "2026-11-01T06:30:00Z": datetime(2026, 11, 1, 6, 30),

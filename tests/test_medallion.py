@@ -29,7 +29,10 @@ def test_landing_to_gold(spark, tmp_path):
     )
     assert [r.park_id for r in M.park_ids(companies).collect()] == [10, 20]
     M.land_destinations(companies, root, AT)
-    M.land_entities(payloads(spark, (10, body({100: 1, 101: 2}), None), (20, None, "HTTP 500")), root, AT)
+    landed = M.land_entities(
+        payloads(spark, (10, body({100: 1, 101: 2}), None), (20, None, "HTTP 500"), (30, body({100: "n/a"}), None)), root, AT
+    )
+    assert (landed["rows_written"], landed["attempts"], landed["failed"]) == (2, 3, 2)
     entities = read_bronze(spark, f"{root}/bronze/entities/2026/03/03/150000", ENTITY)
     assert {r.id: (r.park_id, r.land_id) for r in entities.collect()} == {100: (10, 5), 101: (10, None)}
 
@@ -44,7 +47,7 @@ def test_landing_to_gold(spark, tmp_path):
 
     later = AT + timedelta(minutes=5)
     landed = M.land_live(payloads(spark, (10, body({100: 35, 102: 5}), None), (10, "oops", None)), entities, root, later)
-    assert (landed["rows_written"], landed["failed"]) == (2, 1)
+    assert (landed["rows_written"], landed["attempts"], landed["failed"]) == (2, 2, 1)
     second = M.run_once(spark, root, later, tables)
     assert (second["gold"]["rows_before"], second["gold"]["rows_written"]) == (2, 3)
     assert M.run_once(spark, root, later, tables) == {}

@@ -135,6 +135,9 @@ def test_parquet_partitioned_with_summary(spark, tmp_path):
     assert sorted((r.id, r.name, r.p) for r in back.collect()) == [(1, "a", "x"), (2, "b", "y"), (3, "c", "x")]
     by_name = X.read_summary(spark, {"object_name": path.removeprefix(f"{tmp_path}/")}, root=str(tmp_path))
     assert by_name.count() == 3
+    coded = spark.createDataFrame([(1, "00"), (2, "01")], "id long, p string")
+    back = X.read_summary(spark, X.write_parquet(coded, f"{tmp_path}/coded", ["p"]))
+    assert sorted(map(tuple, back.collect())) == [(1, "00"), (2, "01")]
     for bad in ({}, {"path": ""}, {"object_name": "x"}):
         with pytest.raises(ValueError):
             X.read_summary(spark, bad)

@@ -199,3 +199,23 @@ def test_describe_and_explain(spark, name, root):
     described = spark.sql(f"DESCRIBE QUERY SELECT * FROM {name}").collect()
     assert [(r.col_name, r.data_type) for r in described] == [("id", "bigint"), ("name", "string")]
     assert "Physical Plan" in spark.sql(f"EXPLAIN FORMATTED SELECT * FROM {name} WHERE id = 1").first()[0]
+
+
+def test_a_table_made_elsewhere_takes_appends_once(spark, name, root):
+    T.ensure_namespace(spark, name.split(".")[0], root)
+    frame(spark, [(1, "a")], "id long, Location string").write.saveAsTable(name)
+    done = T.write_table(frame(spark, [(2, "b")], "id long, Location string"), name)
+    assert done["rows_written"] == 1 and content(spark, name) == [(1, "a"), (2, "b")]
+
+
+def test_an_empty_append_does_not_widen_the_table(spark, name, root):
+    T.write_table(frame(spark, [(1, "a")]), name, root=root)
+    done = T.write_table(frame(spark, [], "id long, name string, extra int"), name, on_drift="merge")
+    assert done["status"] == "skipped" and spark.table(name).columns == ["id", "name"]
+
+
+def test_an_old_version_has_the_columns_that_came_later(spark, name, root):
+    first = T.write_table(frame(spark, [(1, "a")]), name, root=root)
+    T.write_table(frame(spark, [(2, "b", 7)], "id long, name string, extra int"), name, on_drift="merge")
+    old = T.read_version(spark, name, first["snapshot_id"])
+    assert sorted(map(tuple, old.collect())) == [(1, "a", None), (2, "b", 7)]

@@ -23,16 +23,22 @@ def _or_raise(value: Column, source: Column, what: str) -> Column:
     return F.coalesce(value, F.when(source.isNotNull(), problem))
 
 
+def _variant_number(value: Column) -> Column:
+    text = F.try_variant_get(value, "$", "string")
+    number = F.try_variant_get(value, "$", "bigint")
+    return F.when(F.schema_of_variant(value) == "STRING", F.trim(text).try_cast("bigint")).otherwise(number)
+
+
+def no_whole_number(value: Column) -> Column:
+    """True where a variant holds something that ``whole_number`` refuses."""
+    return value.isNotNull() & ~F.is_variant_null(value) & _variant_number(value).isNull()
+
+
 def whole_number(value: Column, kind: T.DataType) -> Column:
     """NULL stays NULL, fractions are cut off, integer text is read, anything else is an error."""
     if isinstance(kind, T.VariantType):
-        shape = F.schema_of_variant(value)
-        is_text = shape == "STRING"
-        text = F.try_variant_get(value, "$", "string")
-        number = F.when(is_text, F.trim(text).try_cast("bigint")).otherwise(
-            F.try_variant_get(value, "$", "decimal(38,10)").cast("bigint")
-        )
-        return _or_raise(number, text, "a whole number")
+        shown = F.when(~F.is_variant_null(value), F.to_json(value))
+        return _or_raise(_variant_number(value), shown, "a whole number")
     if isinstance(kind, T.StringType):
         return _or_raise(F.trim(value).try_cast("bigint"), value, "a whole number")
     if isinstance(kind, T.IntegralType):
@@ -40,15 +46,34 @@ def whole_number(value: Column, kind: T.DataType) -> Column:
     return _or_raise(value.try_cast("bigint"), value, "a whole number")
 
 
+def _spelled_out(text: Column) -> Column:
+    """Times in basic form, without seconds or minutes, or with an offset in hours, in the full form."""
+    for pattern, full in (
+        (r"^(\d{4})(\d\d)(\d\d)(?!\d)", "$1-$2-$3"),
+        (r"^(.{10}[T ]\d\d)(\d\d)", "$1:$2"),
+        (r"^(.{10}[T ]\d\d:\d\d)(\d\d)", "$1:$2"),
+        (r"^(.{10}[T ]\d\d)(?=$|[Z+-])", "$1:00"),
+        (r"^(.{10}[T ]\d\d:\d\d)(?=$|[Z+-])", "$1:00"),
+        (r"^(.{10}[T ].*[+-]\d\d)$", "$1:00"),
+    ):
+        text = F.regexp_replace(text, pattern, full)
+    return text
+
+
 def try_parse_iso(text: Column) -> Column:
     """ISO 8601 text to an instant, or NULL. Text without a zone is read as UTC."""
-    zoned = (
-        F.when(text.endswith("Z"), text)
-        .when(F.length(text) == len("2026-03-03"), F.concat(text, F.lit("T00:00:00Z")))
-        .when(text.rlike(OFFSET), text)
-        .otherwise(F.concat(text, F.lit("Z")))
-    )
-    return zoned.try_cast("timestamp")
+
+    def instant(text: Column) -> Column:
+        zoned = (
+            F.when(text.endswith("Z"), text)
+            .when(F.length(text) == len("2026-03-03"), F.concat(text, F.lit("T00:00:00Z")))
+            .when(text.rlike(OFFSET), text)
+            .otherwise(F.concat(text, F.lit("Z")))
+        )
+        return zoned.try_cast("timestamp")
+
+    # The rarer forms are looked at only where the usual one does not fit.
+    return F.coalesce(instant(text), instant(_spelled_out(text)))
 
 
 def parse_iso(text: Column) -> Column:

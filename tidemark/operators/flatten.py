@@ -8,6 +8,7 @@ from tidemark.functions.columns import (
     QUEUE_COLUMNS,
     has_value,
     json_message,
+    no_whole_number,
     parse_iso,
     status_from_flag,
     text_or_default,
@@ -72,13 +73,24 @@ def outcomes(payloads: DataFrame, body: str = "body", error: str = "error") -> D
     )
 
 
+def misfit_waits(body: Column) -> Column:
+    """Whether a ride of a parsed body, in a land or outside, has a wait that is no whole number."""
+
+    def among(rides: Column) -> Column:
+        return F.coalesce(F.exists(rides, lambda ride: no_whole_number(ride["wait_time"])), F.lit(False))
+
+    in_lands = F.coalesce(F.exists(body["lands"], lambda land: among(land["rides"])), F.lit(False))
+    return in_lands | among(body["rides"])
+
+
 def split_outcomes(
     payloads: DataFrame, body: str = "body", error: str = "error", schema: T.StructType = PAYLOAD_BODY
 ) -> tuple[DataFrame, DataFrame]:
     """Good payloads with their body parsed, and failed ones as they came, for quarantine.
 
     A payload fails if an error was reported, if its body is no JSON, or if a value in it does
-    not fit the schema, which would otherwise be read as NULL. Together they are all input rows.
+    not fit the schema, which would otherwise be read as NULL; a wait must be a whole number.
+    Together they are all input rows.
     """
     keep = [c for c in payloads.columns if c not in (body, error)]
     misfit = T.StructField("_misfit", T.StringType())
@@ -86,6 +98,8 @@ def split_outcomes(
         "_parsed", F.from_json(body, T.StructType([*schema, misfit]), {"columnNameOfCorruptRecord": "_misfit"})
     )
     ok = F.col(error).isNull() & F.col("_parsed").isNotNull() & F.col("_parsed._misfit").isNull()
+    if schema == PAYLOAD_BODY:
+        ok = ok & ~misfit_waits(F.col("_parsed"))
     reason = (
         F.when(F.col(error).isNotNull(), F.col(error))
         .when(F.try_parse_json(body).isNull(), F.lit(UNREADABLE))

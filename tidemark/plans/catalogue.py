@@ -252,7 +252,8 @@ def quarantine(spark: SparkSession, d: str) -> DataFrame:
     body = (
         F.when(kind == "view", F.format_string('{"rides": [{"id": %d, "wait_time": 5}]}', F.col("event_id")))
         .when(kind == "click", F.lit("<html>busy</html>"))
-        .when(kind != "error", F.lit('{"rides": [{"id": "none"}]}'))
+        .when((kind != "error") & (F.col("event_id") % 2 == 0), F.lit('{"rides": [{"id": "none"}]}'))
+        .when(kind != "error", F.lit('{"lands": [{"rides": [{"id": 1, "wait_time": "n/a"}]}]}'))
     )
     error = F.when(kind == "error", F.concat(F.lit("HTTP "), F.get_json_object("props", "$.k")))
     payloads = read(spark, d, "events").select("event_id", body.alias("body"), error.alias("error"))

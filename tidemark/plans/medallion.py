@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.functions.columns import moment, utc_date
 from tidemark.functions.schemas import DESTINATION_BRONZE, ENTITY, LIVE_BRONZE, LIVE_FILE, conform
@@ -45,22 +45,32 @@ def land_destinations(companies: DataFrame, root: str, at: datetime) -> dict:
     return write_bronze(conform(stamped, DESTINATION_BRONZE), root, "destinations", at)
 
 
-def land_entities(payloads: DataFrame, root: str, at: datetime) -> dict:
-    """Ride catalogue of the readable payloads to bronze."""
+def _land_rides(
+    payloads: DataFrame, root: str, prefix: str, at: datetime, schema: T.StructType, rows_of: Callable
+) -> dict:
+    """Rides of the good payloads to ``prefix``, failed payloads to ``prefix_failed``.
+
+    Attempts are counted while the failed payloads are written.
+    """
+    tried = Observation()
     good, _ = split_outcomes(payloads)
-    return write_bronze(conform(entity_rows(extract_rides(good), batch_stamp(at)), ENTITY), root, "entities", at)
+    _, failed = split_outcomes(payloads.observe(tried, F.count(F.lit(1)).alias("rows")))
+    landed = write_bronze(conform(rows_of(extract_rides(good), batch_stamp(at)), schema), root, prefix, at)
+    quarantined = write_bronze(failed, root, f"{prefix}_failed", at)
+    return landed | {
+        "attempts": tried.get["rows"], "failed": quarantined["rows_written"], "failed_path": quarantined["path"],
+    }
 
 
-def land_live(payloads: DataFrame, entities: DataFrame, root: str, at: datetime) -> dict:
-    """Live observations of catalogued parks to bronze; failed payloads to ``live_failed``.
+def land_entities(payloads: DataFrame, root: str, at: datetime) -> dict:
+    """Ride catalogue of the readable payloads to bronze; the others to ``entities_failed``."""
+    return _land_rides(payloads, root, "entities", at, ENTITY, entity_rows)
 
-    Failed rows and attempts are counted while the failed ones are written.
-    """
+
+def land_live(payloads: DataFrame, entities: DataFrame, root: str, at: datetime) -> dict:
+    """Live observations of catalogued parks to bronze; failed payloads to ``live_failed``."""
     wanted = having_partner(payloads, entities.where("park_id is not null and park_id != 0"), {"park_id": "park_id"})
-    good, failed = split_outcomes(wanted)
-    landed = write_bronze(conform(live_rows(extract_rides(good), batch_stamp(at)), LIVE_BRONZE), root, "live", at)
-    quarantined = write_bronze(failed, root, "live_failed", at)
-    return landed | {"failed": quarantined["rows_written"], "failed_path": quarantined["path"]}
+    return _land_rides(wanted, root, "live", at, LIVE_BRONZE, live_rows)
 
 
 def refresh_destinations(spark: SparkSession, path: str, root: str | None = None) -> tuple[dict, dict]:

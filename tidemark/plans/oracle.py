@@ -111,7 +111,8 @@ ORACLE: dict[str, str] = {
     "quarantine": """
         select event_id,
                case event_type when 'error' then null when 'click' then '<html>busy</html>'
-                    else '{"rides": [{"id": "none"}]}' end as body,
+                    else case when event_id % 2 = 0 then '{"rides": [{"id": "none"}]}'
+                         else '{"lands": [{"rides": [{"id": 1, "wait_time": "n/a"}]}]}' end end as body,
                case event_type when 'error' then 'HTTP ' || cast(json_extract(props, '$.k') as bigint)
                     when 'click' then 'body is missing or not JSON' else 'body does not fit the schema' end as error
         from events where event_type <> 'view'""",

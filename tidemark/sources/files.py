@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -48,6 +49,7 @@ def write_parquet(
         "path": path,
         "row_count": rows,
         "columns": df.columns,
+        "schema": df.schema.json(),
         "column_count": len(df.columns),
         "timestamp": (at or datetime.now(timezone.utc)).isoformat(),
     }
@@ -65,11 +67,17 @@ def file_bytes(spark: SparkSession, path: str) -> int:
 
 
 def read_summary(spark: SparkSession, summary: dict, root: str | None = None) -> DataFrame:
-    """The batch a write summary describes, by its object name under ``root`` or its path."""
+    """The batch a write summary describes, by its object name under ``root`` or its path.
+
+    With a schema in the summary columns keep their types, partition columns too.
+    """
+    reader = spark.read
+    if summary.get("schema"):
+        reader = reader.schema(T.StructType.fromJson(json.loads(summary["schema"])))
     if summary.get("object_name") and root:
-        return spark.read.parquet(f"{root.rstrip('/')}/{summary['object_name']}")
+        return reader.parquet(f"{root.rstrip('/')}/{summary['object_name']}")
     if summary.get("path"):
-        return spark.read.parquet(summary["path"])
+        return reader.parquet(summary["path"])
     raise ValueError(f"summary names no object and no path: {summary}")
 
 

@@ -75,14 +75,16 @@ def read_table(spark: SparkSession, name: str, where: str = "", limit: int | Non
 
 
 def table_location(spark: SparkSession, name: str) -> str:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").where("col_name = 'Location'")
-    return details.first()["data_type"]
+    """Where a table's files are: from its details, which come after its columns."""
+    lines = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").collect()]
+    details = lines[[line[0] for line in lines].index("# Detailed Table Information") :]
+    return dict(details)["Location"]
 
 
 def _versioned(spark: SparkSession, name: str) -> tuple[str, int]:
-    """Base folder of a table's versions, and the version it reads."""
-    base, version = table_location(spark, name).rsplit("/version=", 1)
-    return base, int(version)
+    """Base folder of a table's versions, and the version it reads: 0 for a table that was made elsewhere."""
+    base, _, version = table_location(spark, name).partition("/version=")
+    return base, int(version or 0)
 
 
 # One such row, in a file of its own, is kept next to a table for each write.
@@ -126,8 +128,8 @@ def snapshot_log(spark: SparkSession, names: Iterable[str]) -> DataFrame:
 
 
 def read_version(spark: SparkSession, name: str, version: int) -> DataFrame:
-    """A table as an earlier full write left it."""
-    return spark.read.parquet(f"{_versioned(spark, name)[0]}/version={version}")
+    """An earlier full write and the appends to it, with the table's columns."""
+    return spark.read.schema(spark.table(name).schema).parquet(f"{_versioned(spark, name)[0]}/version={version}")
 
 
 def write_table(
@@ -169,12 +171,12 @@ def write_table(
     ensure_namespace(spark, namespace, root)
 
     if exists and mode == "append" and not (drift and on_drift == "recreate"):
-        if drift.added:
+        location = table_location(spark, name)
+        base, folder = _versioned(spark, name)
+        if drift.added and not rows.isEmpty():
             fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in drift.added)
             spark.sql(f"ALTER TABLE {_quoted(name)} ADD COLUMNS ({fields})")
         written = _append(rows, name)
-        location = table_location(spark, name)
-        base, folder = _versioned(spark, name)
     else:
         if drift and on_drift == "merge":
             rows = rows.withColumns(
@@ -251,7 +253,8 @@ def point_table(
 ) -> None:
     """Make the table read ``location``, a complete ``version=`` folder; create it if absent.
 
-    Only the catalog changes. The files the table read before stay where they are.
+    Only the catalog changes. The files the table read before stay where they are. With other columns or with
+    partitions the entry is made anew, and for that moment there is no table.
     """
     exists = spark.catalog.tableExists(name)
     if exists and not partition_by and not column_drift(spark.table(name).schema, schema):
