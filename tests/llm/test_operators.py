@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from tidemark.llm import suffixes
 from tidemark.llm.ann import nearest
 from tidemark.llm.bpe import encode
 from tidemark.llm.extract import Templates, extract, main_texts, parse, trained
@@ -120,6 +121,31 @@ def test_repeats(docs, empty, bucket):
     assert cut_repeats(empty).count() == 0
 
 
+def test_each_place_of_a_long_text_is_listed_once(monkeypatch):
+    r = random.Random(6)
+    texts = [r.randbytes(n) for n in (50_000, 399, 400, 3_000, 2_400, 1_000, 9_001)] + [b"a" * 9_000, r.randbytes(700) * 9]
+
+    def found():
+        return [tuple(map(int, row)) for part in suffixes.listed(texts, 400, 128) for row in zip(*part, strict=True)]
+
+    want = sorted(found())
+    for at_once in (4_000, 2_002, 600):
+        monkeypatch.setattr(suffixes, "AT_ONCE", at_once)
+        assert sorted(found()) == want
+    assert len({row[:2] for row in want}) == len(want)
+
+
+def test_a_long_text_without_repeats_stays_whole(spark):
+    r = random.Random(12)
+    long = "".join(r.choices("abcdefghijklmnop ", k=950_000))
+    rows = [(1, long), (2, long[300_100:300_700] + "x"), (3, "y" + long[599_500:600_600])]
+    docs = spark.createDataFrame(rows[:1], "doc_id long, text string")
+    assert [tuple(x)[1:4] for x in cut_repeats(docs).collect()] == [(950_000, 0, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: tuple(x)[1:4] for x in cut_repeats(docs).collect()}
+    assert got == {1: (950_000, 1_700, 2), 2: (601, 600, 1), 3: (1_101, 1_100, 1)}
+
+
 def test_bpe_equals_the_library(docs, empty, spark):
     whole = Tokenizer(vocabulary_path()).whole
     want = Counter()

@@ -85,15 +85,18 @@ def runs(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarr
     return at, first, last, g[at].view(np.int64)
 
 
-def _cut(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, int]]]:
-    """(text, from, to) parts, some at once; parts of one text share ``length`` - 1 bytes, so no start is lost."""
-    held, size = [], 0
+def _cut(texts: list[bytes], length: int, gram: int) -> Iterator[list[tuple[int, int, int, int]]]:
+    """(text, from, to, first start) parts, some at once. A part owns the runs that begin at its first start or at one of
+    the ``AT_ONCE // 2`` - 1 next; it has one start more in front, to see a run that began earlier, and at its end as many
+    more as its last run can reach. So each run of a text is whole in the one part that owns it.
+    """
+    held, size, step = [], 0, AT_ONCE // 2
     for n, text in enumerate(texts):
-        for start in range(0, max(0, len(text) - length + 1), AT_ONCE // 2):
-            stop = min(len(text), start + AT_ONCE // 2 + length - 1)
-            held.append((n, start, stop))
-            size += stop - start
-            if size > AT_ONCE // 2:
+        for start in range(0, max(0, len(text) - length + 1), step):
+            begin, stop = max(0, start - 1), min(len(text), start + step + 2 * length - gram - 1)
+            held.append((n, begin, stop, start))
+            size += stop - begin
+            if size > step:
                 yield held
                 held, size = [], 0
     if held:
@@ -101,25 +104,30 @@ def _cut(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, int]]
 
 
 def listed(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text, place, first, last, q-gram, reach) of the listed suffixes; ``reach`` names all that the run can reach."""
-    for parts in _cut(texts, length):
-        data = np.frombuffer(b"".join(texts[n][i:j] for n, i, j in parts), np.uint8)
+    """(text, place, first, last, q-gram, reach) of the listed suffixes; ``reach`` names all that the run can reach.
+
+    Each place of a text is listed once.
+    """
+    for parts in _cut(texts, length, gram):
+        data = np.frombuffer(b"".join(texts[n][i:j] for n, i, j, _ in parts), np.uint8)
         at, first, last, g = runs(data, length, gram)
-        begin = np.cumsum([0, *(j - i for _, i, j in parts)])
+        begin = np.cumsum([0, *(j - i for _, i, j, _ in parts)])
         # Strings must lie within one part: cut each run to its part's starts, once for every part it touches.
         out = []
-        for k, (n, i, j) in enumerate(parts):
+        for k, (n, i, _, start) in enumerate(parts):
             low, high = begin[k], begin[k + 1] - length
             a = np.searchsorted(last, low)
             b = np.searchsorted(first, high, side="right")
             shift = i - low
+            begins = np.maximum(first[a:b], low) + shift
+            own = (begins >= start) & (begins < start + AT_ONCE // 2)
             out.append(
                 (
-                    np.full(b - a, n),
-                    at[a:b] + shift,
-                    np.maximum(first[a:b], low) + shift,
-                    np.minimum(last[a:b], high) + shift,
-                    g[a:b],
+                    np.full(own.sum(), n),
+                    (at[a:b] + shift)[own],
+                    begins[own],
+                    (np.minimum(last[a:b], high) + shift)[own],
+                    g[a:b][own],
                 )
             )
         text, at, first, last, g = (np.concatenate(x) for x in zip(*out, strict=True))
