@@ -346,3 +346,22 @@ def test_nearest(spark):
     few = table.where("vec_id < 5")
     assert nearest(few).count() == 4
     assert nearest(spark.createDataFrame([], VEC)).count() == 0
+
+
+def test_recall_next_to_many_near_copies(spark):
+    r = np.random.default_rng(5)
+    x = r.standard_normal((4000, 64))
+    hot = np.arange(4000) % 4 != 0
+    x[hot] = x[1] + 0.02 * r.standard_normal((int(hot.sum()), 64))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for row in nearest(table).collect():
+        got[row.query_id].add(row.vec_id)
+    x = x.astype(float)
+    hits = []
+    for q in range(0, 4000, 20):  # none of them is in the group
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits.append(len(got[q] & set(np.argsort(-score)[:20].tolist())) / 20)
+    assert np.mean(hits) >= 0.9, np.mean(hits)

@@ -3,7 +3,7 @@
 Vectors are put on a sphere first: with ``m`` the largest norm, x becomes (x, sqrt(m^2 - |x|^2)) and a query q becomes
 (q m / |q|, 0), so that the largest inner product is the smallest distance. Each table hashes with ``hashes`` projections
 floor((a.x + b) / width), a from the normal distribution. A query visits buckets with entries moved by at most one, in
-the order of the chance that a neighbour at the expected distance lies there, until the chances add up to ``success``.
+the order of the chance that a neighbour at its own expected distance lies there, until the chances add up to ``success``.
 Candidates of all tables are merged and ranked by their exact product.
 """
 
@@ -26,7 +26,7 @@ NEAREST, QUERY_EVERY = 20, 20
 TABLES, HASHES, WIDTH = 2, 8, 2.4
 #: Chance, in each table, that a neighbour's bucket is visited.
 SUCCESS = 0.7
-#: Rows, at most, from which the expected distance of the last neighbour is fitted.
+#: Rows, at most, in which the expected distance of a query's last neighbour is looked up.
 SAMPLE = 2000
 #: Rows of a bucket in one block, rows that one task ranks at once (as a mean), and queries it ranks at once.
 BLOCK, PART, ASK = 4096, 16384, 256
@@ -37,7 +37,6 @@ class Index:
     """The hash functions; a few kilobytes, the same on every task."""
 
     largest: float
-    distance: float
     a: np.ndarray  # tables x hashes x (dims + 1)
     b: np.ndarray  # tables x hashes
 
@@ -76,12 +75,26 @@ def _normal_below(x: np.ndarray) -> np.ndarray:
 MOVES = np.array(list(product((-1, 0, 1), repeat=HASHES)), np.int64)
 
 
-def probes(index: Index, queries: np.ndarray, table: int, success: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def distances(index: Index, queries: np.ndarray, sample: np.ndarray, near: int) -> np.ndarray:
+    """Of each query the distance to its ``near``-th neighbour in the lifted ``sample``, which may hold the query itself.
+
+    Among all rows that neighbour can only be nearer, so chances are underestimated and more buckets are visited.
+    """
+    turned, far = index.turned(queries), np.empty(len(queries))
+    nth = min(near, len(sample) - 1)
+    for i in range(0, len(queries), 256):
+        far[i : i + 256] = np.partition(2 - 2 * (turned[i : i + 256] @ sample.T), nth, axis=1)[:, nth]
+    return np.sqrt(np.maximum(1e-6, far))
+
+
+def probes(
+    index: Index, queries: np.ndarray, distance: np.ndarray, table: int, success: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For a few queries at a time: (which query, bucket) of the visited buckets, likeliest first."""
     at = index.places(index.turned(queries), table)
     home = np.floor(at)
     inside = at - home
-    step = index.distance / WIDTH  # a projection of the difference, in widths, has this deviation
+    step = distance[:, None] / WIDTH  # a projection of the difference, in widths, has this deviation
     edge = lambda x: _normal_below(x / step)
     chance = np.stack(
         [edge(-inside) - edge(-inside - 1), edge(1 - inside) - edge(-inside), edge(2 - inside) - edge(1 - inside)], axis=2
@@ -99,28 +112,18 @@ def probes(index: Index, queries: np.ndarray, table: int, success: float) -> Ite
         yield lo + q, _named(entries, table)
 
 
-def fit(rows: DataFrame, dims: int, near: int = NEAREST, seed: int = 17) -> Index:
-    """Hash functions for ``rows`` (k1, k2, v).
+def fit(rows: DataFrame, dims: int, seed: int = 17) -> tuple[Index, np.ndarray]:
+    """Hash functions for ``rows`` (k1, k2, v), and a bounded sample of them, lifted: the ``SAMPLE`` with the smallest hash.
 
-    The largest norm is taken over all rows. The expected distance is the mean, over a bounded sample (the ``SAMPLE``
-    rows with the smallest hash), of the distance to the ``near``-th neighbour within that sample. Among all rows it can
-    only be less, so the chances are underestimated and more buckets are visited, never fewer.
+    The largest norm is taken over all rows.
     """
     largest = rows.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))).first()[0] or 1.0
     sample = [r["v"] for r in rows.orderBy("k1", "k2").select("v").limit(SAMPLE).collect()]
-    x = np.array(sample, np.float64).reshape(len(sample), dims)
     random = np.random.default_rng(seed)
     a = random.standard_normal((TABLES, HASHES, dims + 1))
     b = random.random((TABLES, HASHES))
-    index = Index(float(largest), 1.0, a, b)
-    lifted, turned = index.lifted(x), index.turned(x)
-    far = []
-    for i in range(0, len(x), 256):
-        d = 2 - 2 * (turned[i : i + 256] @ lifted.T)
-        if d.shape[1] > 1:
-            far.append(np.partition(d, min(near, d.shape[1] - 1), axis=1)[:, min(near, d.shape[1] - 1)])
-    found = np.sqrt(np.maximum(1e-6, np.concatenate(far))) if far else np.array([1.0])
-    return Index(float(largest), float(found.mean()), a, b)
+    index = Index(float(largest), a, b)
+    return index, index.lifted(np.array(sample, np.float64).reshape(len(sample), dims))
 
 
 def _best(
@@ -218,7 +221,7 @@ def nearest(
     classes = stored(first_of_each(rows, near + 1), "classes")
     asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0).withColumnRenamed("vec_id", "query_id")
     asked = stored(asked, "asked")
-    index = fit(classes, dims, near)
+    index, sample = fit(classes, dims)
 
     def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,8 +232,9 @@ def nearest(
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = matrix(batch["v"])
-            for t in range(TABLES):
-                for q, bucket in probes(index, x, t, success):
+            far = distances(index, x, sample, near) if len(x) else np.empty(0)
+            for t in range(TABLES if len(x) else 0):
+                for q, bucket in probes(index, x, far, t, success):
                     own = batch.select(["query_id", "k1", "k2"]).take(pa.array(q))
                     yield pa.record_batch([*own.columns, pa.array(bucket)], ["query_id", "k1", "k2", "bucket"])
 
