@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tidemark.llm import suffixes
+from tidemark.llm import ann, suffixes
 from tidemark.llm.ann import nearest
 from tidemark.llm.bpe import encode
 from tidemark.llm.extract import Templates, extract, main_texts, parse, trained
@@ -365,3 +365,21 @@ def test_recall_next_to_many_near_copies(spark):
         score[q] = -np.inf
         hits.append(len(got[q] & set(np.argsort(-score)[:20].tolist())) / 20)
     assert np.mean(hits) >= 0.9, np.mean(hits)
+
+
+def test_queries_that_found_too_few_are_ranked_part_by_part(spark, monkeypatch, helpers):
+    monkeypatch.setattr(ann, "PART", 60)
+    x, table = vectors(spark, 7)
+    x = x.astype(float)
+    again = nearest(table, near=40, every=10, success=1e-6)
+    got = defaultdict(list)
+    for r in again.orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert set(got) == set(range(0, 150, 10))
+    exact = 0
+    for q, ids in got.items():
+        score = in_order(np.broadcast_to(x[q], x.shape), x)
+        exact += ids == [i for i in np.lexsort((np.arange(len(x)), -score)) if i != q][:40]
+    assert exact >= 8
+    plan = helpers.plan(again)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -141,7 +141,10 @@ def _best(
 
 
 def _ranked(near: int):
-    """For partitions sorted by (part, asks): holds a part's rows, then ranks them for the queries that visit them."""
+    """For partitions sorted by (part, asks): holds a part's rows, then ranks them for the queries that visit them.
+
+    A query without blocks visits the whole part.
+    """
 
     def rank(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, fresh, rows, blocks, x, block_at = None, True, [], {}, None, {}
@@ -152,8 +155,11 @@ def _ranked(near: int):
             rough = np.full((len(q), len(x)), -np.inf)
             visits: dict[int, list[int]] = {}
             for i, r in enumerate(asking):
-                for b in r["blocks"]:
+                for b in r["blocks"] or ():
                     visits.setdefault(b, []).append(i)
+            everywhere = [i for i, r in enumerate(asking) if r["blocks"] is None]
+            if everywhere:
+                rough[everywhere] = q[everywhere] @ x.T
             for b, who in visits.items():
                 if b in block_at:
                     rough[who, block_at[b]] = q[who] @ x[block_at[b]].T
@@ -179,6 +185,8 @@ def _ranked(near: int):
                 if not r["asks"]:
                     rows.append((r["blocks"][0], r["v"], r["ids"]))
                     continue
+                if x is None and not rows:
+                    continue  # nothing lies in this part
                 if x is None:
                     rows.sort(key=lambda r: r[0])
                     names = np.array([r[0] for r in rows], np.int64)
@@ -252,9 +260,8 @@ def nearest(
     blocks = buckets.withColumn("nth", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     blocks = blocks.select("bucket", F.xxhash64("bucket", F.col("nth").cast("long")).alias("block"))
 
-    def ranked(visits: DataFrame) -> DataFrame:
-        """``visits`` (query_id, k1, k2, block)."""
-        by_part = visits.groupBy("query_id", "k1", "k2", part).agg(F.collect_list("block").alias("blocks"))
+    def ranked(by_part: DataFrame) -> DataFrame:
+        """``by_part`` (query_id, k1, k2, part, blocks)."""
         ask_rows = by_part.join(asked.distinct(), ["query_id", "k1", "k2"]).select(
             "part", F.lit(True).alias("asks"), "query_id", "k1", "k2", "v", F.lit(None).cast("array<long>"), "blocks"
         )
@@ -265,16 +272,14 @@ def nearest(
         return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= near)
 
     visits = asked.distinct().mapInArrow(ask, "query_id long, k1 long, k2 long, bucket long")
-    found = stored(ranked(visits.join(blocks, "bucket").drop("bucket")), "found")
+    visits = visits.join(blocks, "bucket").groupBy("query_id", "k1", "k2", part)
+    found = stored(ranked(visits.agg(F.collect_list("block").alias("blocks"))), "found")
     some = found.groupBy("query_id", "k1", "k2").count().where(F.col("count") >= min(near, rows.count() - 1))
     lacking = stored(asked.distinct().join(some, ["query_id", "k1", "k2"], "anti").select("query_id", "k1", "k2"), "lacking")
     out = ["query_id", "rank", "vec_id", "score"]
     if lacking.isEmpty():
         return found.select(*out)
-    all_parts = blocks.groupBy(part).agg(F.collect_list("block").alias("all")).select(F.col("all"))
-    again = ranked(
-        lacking.withColumn("at", F.lit(0)).join(all_parts.withColumn("at", F.lit(0)), "at").select(
-            "query_id", "k1", "k2", F.explode("all").alias("block")
-        )
-    )
+    every_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+    whole = F.lit(None).cast("array<long>").alias("blocks")
+    again = ranked(lacking.select("query_id", "k1", "k2", every_part, whole))
     return found.join(lacking, ["query_id", "k1", "k2"], "anti").select(*out).union(again.select(*out))
