@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tidemark.llm import ann, suffixes
+from tidemark.llm import ann, language, suffixes
 from tidemark.llm.ann import nearest
 from tidemark.llm.bpe import encode
 from tidemark.llm.extract import Templates, extract, main_texts, parse, trained
@@ -250,6 +250,20 @@ def test_language(spark, empty):
     assert identify(empty).count() == 0
 
 
+def test_texts_do_not_come_to_the_driver_to_learn(spark, monkeypatch):
+    rows = [(i, f"{'baka' if i % 2 else 'streng'}{i} " * 20_000, ["bb", "aa"][i % 2]) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (41, " \n", "aa"), (42, None, "cc")], "doc_id long, text string, lang string")
+    got, plain = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: [got.append(r) or r for r in plain(df)])
+    monkeypatch.setattr(language, "trained", lambda words, labels, languages, seed: (words, labels, languages))
+    words, labels, languages = language.learn(docs)
+    kept = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert set(words) == {f"{'baka' if i % 2 else 'streng'}{i}".encode() for i in kept}
+    assert languages == ["aa", "bb"] and language.WORDS - len(kept) < len(words) <= language.WORDS
+    assert all(w.startswith(b"baka") == (languages[k] == "aa") for w, k in zip(words, labels, strict=True))
+    assert sum(len(v) for r in got for v in r if isinstance(v, str | bytes | bytearray)) < 20 * language.WORDS
+
+
 def test_warc_round_trip(spark):
     long = "<p>é" + "x" * 1200
     rows = [(1, "http://a/ü b\r\nX: y", long), (9, None, long), (4, "u", long), (2, "u", "short"), (3, "u", "short"), (5, "u", None)]

@@ -175,25 +175,37 @@ def learn(docs: DataFrame, sample: int = SAMPLE, seed: int = 5) -> Network | Non
     """A network from labelled documents that are not held out; None where there is none with a word.
 
     Of these at most ``sample`` are used, those with the smallest hash of the id, and of their words at most ``WORDS``,
-    drawn at random with a fixed seed.
+    drawn at random where the texts are, with the id as the seed: only these words come to the driver.
     """
     order = F.xxhash64("doc_id")
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    usable = usable.where(F.col("text").cast("string").rlike(r"\S"))
     # First the hashes alone, then the texts of those rows: no task sorts texts.
-    top = usable.select(order.alias("at")).orderBy("at").limit(sample).agg(F.max("at")).first()[0]
-    rows = usable.where(order <= F.lit(top)).select("doc_id", "text", "lang").limit(sample).collect()
-    rows = [(r["text"].encode().split(), r["lang"]) for r in rows if r["text"]]
-    rows = sorted((own, lang) for own, lang in rows if own)
-    random = np.random.default_rng(seed)
+    first = usable.select(order.alias("at")).orderBy("at").limit(sample)
+    top, n = first.agg(F.max("at"), F.count("*")).first()
+    if not n:
+        return None
+    each = max(1, WORDS // n)
+
+    def draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, text, lang in zip(batch["at"].to_pylist(), batch["text"], batch["lang"].to_pylist(), strict=True):
+                own = text.as_py().split()
+                random = np.random.default_rng([seed, at % (1 << 64)])
+                drawn = [own[i][:PIECE] for i in random.choice(len(own), min(each, len(own)), replace=False)]
+                yield pa.record_batch(
+                    {"word": pa.array(drawn, pa.binary()), "lang": pa.array([lang] * len(drawn), pa.string())}
+                )
+
+    texts = usable.where(order <= F.lit(top)).select(
+        order.alias("at"), F.col("text").cast("string").cast("binary").alias("text"), F.col("lang").cast("string").alias("lang")
+    )
+    # Only where rows repeat the last id are there more than WORDS.
+    rows = texts.mapInArrow(draw, "word binary, lang string").limit(max(WORDS, sample)).collect()
+    rows = sorted((bytes(r["word"]), r["lang"]) for r in rows)
     languages = sorted({lang for _, lang in rows})
-    words: list[bytes] = []
-    labels: list[int] = []
-    each = max(1, WORDS // max(1, len(rows)))
-    for own, lang in rows:
-        for i in random.choice(len(own), min(each, len(own)), replace=False):
-            words.append(own[i][:PIECE])
-            labels.append(languages.index(lang))
-    return trained(words, np.array(labels), languages, seed) if words else None
+    labels = np.array([languages.index(lang) for _, lang in rows])
+    return trained([word for word, _ in rows], labels, languages, seed)
 
 
 def predictor(net: Network | None):
