@@ -2,8 +2,8 @@
 
 Documents are dealt in chunks, one for each piece of a file that a task reads. Every chunk lists its distinct words
 once; the lists meet by word, each word is encoded once, and its ids go back to the chunks that asked. There they are
-put in the place of the words, and decoded through the table of ids and pieces, which has one row for each entry of the
-vocabulary and so a fixed size.
+put in the place of the words, and decoded by a lookup, in the same task, in the list of pieces, which has one entry for
+each of the vocabulary and so a fixed size.
 """
 
 from __future__ import annotations
