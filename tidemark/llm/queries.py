@@ -11,6 +11,7 @@ from tidemark.llm.bpe import encode
 from tidemark.llm.common import table
 from tidemark.llm.extract import extract
 from tidemark.llm.language import identify
+from tidemark.llm.leaks import contaminated
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.secrets import scan
@@ -59,6 +60,10 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_repeats,
         op9_packing,
         op10_near_vectors,
+        op11_leaks,
     )
 }
 
@@ -99,4 +105,33 @@ ORACLE: dict[str, str] = {
         n AS (SELECT i, count(*) AS n_links FROM pairs GROUP BY i)
         SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, low.component_id, e.vec_id = low.component_id AS kept
         FROM embeddings e JOIN low ON low.i = e.vec_id LEFT JOIN n ON n.i = e.vec_id""",
+    "op11_leaks": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+            FROM documents),
+        b AS (
+            SELECT item_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark WHERE text IS NOT NULL),
+        windows AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS size, unnest(list_transform(
+                range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS run
+            FROM b WHERE len(w) > 0),
+        sizes AS (SELECT DISTINCT size FROM windows),
+        starts AS (
+            SELECT d.r, size, unnest(range(1, len(w) - size + 2)) AS i FROM d JOIN sizes ON len(w) >= size),
+        met AS (
+            SELECT s.r, s.i, s.size, windows.item_id
+            FROM starts s JOIN d ON d.r = s.r
+            JOIN windows ON windows.size = s.size AND windows.run = array_to_string(d.w[s.i:s.i + s.size - 1], ' ')),
+        hit AS (SELECT r, count(*) AS n FROM (SELECT DISTINCT r, unnest(range(i, i + size)) FROM met) GROUP BY r),
+        items AS (
+            SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+            FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM met WHERE item_id IS NOT NULL) GROUP BY r)
+        SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+               sha256(coalesce(items.ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+        FROM d LEFT JOIN hit ON hit.r = d.r LEFT JOIN items ON items.r = d.r""",
 }
