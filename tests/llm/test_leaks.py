@@ -52,7 +52,7 @@ def tables(spark):
     return rows, items, spark.createDataFrame(rows, DOC).repartition(3), spark.createDataFrame([(*i, "t", 1) for i in items], "item_id long, text string, words string, n int").repartition(2)
 
 
-@pytest.mark.parametrize("size, share, row, held", [(10, 200_000, 2000, 1 << 25), (4, 30, 20, 500), (1, 10, 3, 10)])
+@pytest.mark.parametrize("size, share, row, held", [(10, 200_000, 2000, 1 << 25), (4, 30, 20, 500), (1, 100, 30, 10)])
 def test_hits(spark, tables, monkeypatch, size, share, row, held):
     rows, items, docs, bench = tables
     monkeypatch.setattr(leaks, "ROW", row)

@@ -1,0 +1,146 @@
+"""Conversation repair against a plain dynamic program that carries its edit strings."""
+
+import hashlib
+import random
+import re
+import zlib
+from itertools import pairwise
+
+import pytest
+
+from tidemark.llm import turns
+from tidemark.llm.turns import ADDED, NEXT, Tables, damaged, moves, repaired, symbol
+
+CONV = "conv_id long, turn long, role string, text string, key string, told int, codes string"
+
+
+def brute_edits(kinds):
+    """(cost, edits) of the cheapest way, ties ASCII-least: every state keeps its best, from the end."""
+    best = {0: (0, ""), 3: (0, "")}
+
+    def added(best):
+        best = dict(best)
+        for _ in range(6):
+            for state in range(4):
+                if ADDED[state][1] in best:
+                    cost, edits = best[ADDED[state][1]]
+                    best[state] = min(best.get(state, (99, "")), (cost + 3, "I" + edits))
+        return best
+
+    best = added(best)
+    for kind in reversed(kinds):
+        new = {}
+        for state in range(4):
+            for edit, cost, to in moves(state, kind):
+                if to in best:
+                    new[state] = min(new.get(state, (1 << 30, "")), (cost + best[to][0], edit + best[to][1]))
+        best = added(new)
+    return best[0]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4])
+def test_tables_give_the_cheapest_edits(size):
+    made, r = Tables(size), random.Random(size)
+    for n in [*range(12), 40, 77]:
+        for _ in range(60):
+            kinds = bytes(r.choice([0, 1, 2, 3, 4, 3, 5, 5, 6, 7, 8]) for _ in range(n))
+            assert made.repair(kinds) == brute_edits(kinds)
+
+
+def test_vectors_are_few():
+    assert len(Tables(1).vectors) < 100
+
+
+def brute(rows, hurt=True):
+    """Rows of the result from (conv_id, turn, role, text), by plain Python."""
+    one = lambda v: " " if v is None else v
+    of = {}
+    for conv, turn, role, text in rows:
+        own = of.setdefault(conv, [])
+        role, text, kind = one(role), one(text), zlib.crc32(f"{one(conv)}:{one(turn)}".encode()) % 20
+        if hurt and kind == 0:
+            continue
+        text = "" if hurt and kind == 1 else re.sub("[.!?]", "", text) if hurt and kind == 2 else text
+        role = "user" if hurt and kind == 4 else role
+        own += [(turn, role, text)] * (2 if hurt and kind == 3 else 1)
+    out = []
+    for conv, own in of.items():
+        own.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1].encode(), hashlib.sha256(t[2].encode()).digest()))
+        seen, faults, kinds, initials = set(), [0, 0, 0, 0], [], []
+        for _, role, text in own:
+            bare = text.strip(" \t\n\x0b\f\r")
+            fault = turns.BLANK if not bare else turns.DUPLICATE if (role, text) in seen else 0 if bare[-1] in ".!?" else turns.TRUNCATED
+            seen.add((role, text))
+            faults[fault] += 1
+            initials.append(role[:1])
+            kinds.append(symbol(fault, "sua".find(role[0]) if role[:1] in ("s", "u", "a") else turns.OTHER))
+        numbers = [t for t, _, _ in own if t is not None]
+        gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in pairwise(initials))
+        cost, audit = brute_edits(kinds)
+        left, state, i = [], 0, 0
+        for edit in audit:
+            if edit == "I":
+                role, state = ADDED[state]
+                left.append(turns.NAMES[role] + ":")
+                continue
+            _, role, text = own[i]
+            i += 1
+            if edit == "K":
+                state = NEXT[state]["sua".find(role[0])]
+                left.append(f"{role}:{text}")
+            elif edit == "R":
+                to, state = ADDED[state]
+                left.append(f"{turns.NAMES[to]}:{text}")
+        assert state in (0, 3)
+        out.append((conv, gaps, *faults[1:], illegal, cost, audit, hashlib.sha256("\n".join(left).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    r = random.Random(13)
+    texts = ["Yes.", "No", "So?\n", "", " \t", "ok!\x0b ", "Élan", "　", ". \x00", None, "a:b\nc."]
+    roles = ["user", "assistant", "system", "user", "assistant", "tool", "", None, "User"]
+    out = []
+    for conv in range(60):
+        for turn in range(r.randint(1, 14)):
+            role = ["user", "assistant"][turn % 2] if r.random() < 0.7 else r.choice(roles)
+            out.append((conv, turn + 3 * (r.random() < 0.1) if r.random() < 0.95 else None, role, r.choice(texts) if r.random() < 0.4 else f"t{turn} {'word ' * r.randint(0, 9)}end."))
+    out += [(None, t, r.choice(roles), f"n{t % 3}.") for t in range(9)] + [(70, t, "user", "same.") for t in range(200)]
+    out += [(71, 5, "user", "x."), (71, 5, "user", "x."), (71, 5, "assistant", "y."), (72, None, None, None), (73, 1, "user", "long. " * 40_000)]
+    out += [(conv, 0, "user", "k.") for conv in range(100, 140)]  # some lose their only turn
+    return out
+
+
+@pytest.mark.parametrize("block", [4, 2])
+def test_repair(spark, rows, block):
+    df = spark.createDataFrame([(*r, "k", 1, "c") for r in rows], CONV).repartition(3)
+    got = repaired(df, damaged(df), block)
+    assert got.columns == ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
+    assert sorted(map(tuple, repaired(df).collect()), key=str) == brute(rows, hurt=False)
+
+
+def test_repaired_turns_alternate(spark, rows):
+    df = spark.createDataFrame([(*r, "k", 1, "c") for r in rows], CONV).repartition(3)
+    of = {}
+    for r in repaired(df, damaged(df), with_turns=True).orderBy("place").collect():
+        of.setdefault(r.conv_id, []).append((r.role, r.text))
+    want = {r[0]: r[-1] for r in brute(rows)}
+    for conv, own in of.items():
+        assert re.fullmatch("(s?(ua)+)?", "".join(role[:1] for role, _ in own))
+        assert hashlib.sha256("\n".join(f"{a}:{b}" for a, b in own).encode()).hexdigest() == want[conv]
+
+
+def test_a_conversation_over_many_tasks(spark, settings):
+    settings(spark__sql__shuffle__partitions="9", spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = [(1, t // 2 if t % 7 else t // 2 + 1, ["user", "assistant"][t % 2 ^ (t % 11 == 0)], f"turn {t % 400}{'.' * (t % 5 > 0)}") for t in range(1500)]
+    df = spark.createDataFrame([(*r, "k", 1, "c") for r in rows], CONV).repartition(5)
+    assert sorted(map(tuple, repaired(df, damaged(df)).collect()), key=str) == brute(rows)
+    assert turns.packs(damaged(df)).count() > 3
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], CONV)
+    assert repaired(df, damaged(df)).count() == 0 and repaired(df, with_turns=True).count() == 0

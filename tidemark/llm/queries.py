@@ -17,6 +17,7 @@ from tidemark.llm.packing import pack
 from tidemark.llm.secrets import scan
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.suffixes import cut_repeats
+from tidemark.llm.turns import damaged, repaired
 from tidemark.llm.warc import through_archives
 
 
@@ -64,6 +65,11 @@ def op11_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repaired(rows, damaged(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_packing,
         op10_near_vectors,
         op11_leaks,
+        op13_turns,
     )
 }
 
