@@ -14,6 +14,7 @@ from tidemark.llm.language import identify
 from tidemark.llm.leaks import contaminated
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.packing import pack
+from tidemark.llm.phrases import collocations
 from tidemark.llm.secrets import scan
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.suffixes import cut_repeats
@@ -65,6 +66,10 @@ def op11_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return repaired(rows, damaged(rows))
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_packing,
         op10_near_vectors,
         op11_leaks,
+        op12_phrases,
         op13_turns,
     )
 }
@@ -141,4 +147,43 @@ ORACLE: dict[str, str] = {
         SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
                sha256(coalesce(items.ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
         FROM d LEFT JOIN hit ON hit.r = d.r LEFT JOIN items ON items.r = d.r""",
+    "op12_phrases": r"""
+        WITH split AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM split),
+        f1 AS (SELECT lang, p, count(*) AS f FROM (SELECT lang, unnest(w) AS p FROM pieces) GROUP BY ALL),
+        f2 AS (
+            SELECT lang, p, count(*) AS f
+            FROM (SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS p FROM pieces)
+            GROUP BY ALL HAVING count(*) >= 10),
+        f3 AS (
+            SELECT lang, p, count(*) AS f
+            FROM (SELECT lang, unnest(list_transform(range(1, len(w) - 1),
+                lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS p FROM pieces)
+            GROUP BY ALL HAVING count(*) >= 10),
+        total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+        parts AS (SELECT lang, p, f, 2 AS k, string_split(p, ' ') AS w FROM f2
+                  UNION ALL SELECT lang, p, f, 3, string_split(p, ' ') FROM f3),
+        f AS (SELECT * FROM f1 UNION ALL SELECT * FROM f2),
+        cuts AS (
+            SELECT c.lang, c.p, c.f AS a, j, l.f AS l, r.f AS r,
+                   (CAST(1000000 AS HUGEINT) * c.f * c.f) // (CAST(l.f AS HUGEINT) * r.f) AS score
+            FROM (SELECT *, unnest(range(1, k)) AS j FROM parts) c
+            JOIN f l ON l.lang = c.lang AND l.p = array_to_string(c.w[1:j], ' ')
+            JOIN f r ON r.lang = c.lang AND r.p = array_to_string(c.w[j + 1:], ' ')),
+        best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+        inside AS (
+            SELECT lang, w[1] || ' ' || w[2] AS p, f FROM parts WHERE k = 3
+            UNION ALL SELECT lang, w[2] || ' ' || w[3], f FROM parts WHERE k = 3),
+        over AS (SELECT lang, p, max(f) AS f FROM inside GROUP BY ALL),
+        kept AS (
+            SELECT b.lang, b.p AS phrase, b.a, b.l, b.r, CAST(b.score AS BIGINT) AS score
+            FROM best b LEFT JOIN over o ON o.lang = b.lang AND o.p = b.p WHERE o.f IS NULL OR 100 * o.f < 50 * b.a)
+        SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score
+        FROM kept k JOIN total t ON t.lang = k.lang
+        QUALIFY rank <= 2000""",
 }
