@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.ann import nearest
 from tidemark.llm.bpe import encode
@@ -51,7 +52,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    cut = cut_repeats(table(spark, sf_dir, "documents"), carry=True)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("kept_text").alias("text"))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
