@@ -83,3 +83,14 @@ def test_hot_join_key_is_split(spark, settings):
     assert len(board.collect()) == 60000
     assert "skew=true" in board._jdf.queryExecution().executedPlan().toString()
     spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_positions_number_the_whole_order_without_one_task_for_all(spark, settings, helpers):
+    settings(spark__sql__shuffle__partitions="7", spark__sql__adaptive__coalescePartitions__enabled="false")
+    data = [(i, float(i % 13) if i % 5 else None) for i in range(3000)]
+    df = spark.createDataFrame(data, "id long, `odd.name` double").repartition(5)
+    got = B.positioned(df, desc=["`odd.name`"], asc=["id"])
+    want = sorted(data, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert [tuple(r) for r in got.orderBy("position").collect()] == [(*r, n) for n, r in enumerate(want, 1)]
+    assert "Window" not in helpers.plan(got)
+    assert B.positioned(df.limit(0), asc=["id"]).count() == 0

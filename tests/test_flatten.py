@@ -165,3 +165,26 @@ def test_payload_shapes(spark):
 def test_messages(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "id int, n string")
     assert [json.loads(r.value) for r in X.to_messages(df).collect()] == [{"id": 1, "n": None}, {"id": 2, "n": "x"}]
+
+
+def test_routing_gives_both_outcomes_of_one_pass(spark, tmp_path, helpers):
+    df = payloads(spark)
+    good, failed = X.split_outcomes(df)
+    path = str(tmp_path / "routed")
+    routed = X.route_outcomes(df, path)
+    assert helpers.rows(X.extract_rides(routed.good)) == helpers.rows(X.extract_rides(good))
+    assert helpers.rows(routed.failed) == helpers.rows(failed) and routed.failed.columns == failed.columns
+    assert (routed.attempts, routed.failures) == (df.count(), failed.count())
+    assert routed.good.count() + routed.failed.count() == df.count()
+    # What both are read from was read and parsed once, and they read nothing else.
+    df.write.parquet(str(tmp_path / "payloads"))
+    once = helpers.plan(X._by_outcome(spark.read.parquet(str(tmp_path / "payloads")), "body", "error", X.PAYLOAD_BODY))
+    assert once.count("FileScan") == 1 and once.count("from_json") == 1
+    for part in (routed.good, routed.failed):
+        assert all("/routed/outcome=" in f for f in part.inputFiles())
+        assert "from_json" not in helpers.plan(part)
+
+
+def test_routing_without_payloads(spark, tmp_path):
+    routed = X.route_outcomes(payloads(spark).limit(0), str(tmp_path / "none"))
+    assert (routed.attempts, routed.failures, routed.good.count(), routed.failed.count()) == (0, 0, 0, 0)

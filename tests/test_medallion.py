@@ -1,6 +1,8 @@
 import json
 from datetime import datetime, timedelta, timezone
 
+from pyspark.sql import functions as F
+
 from tidemark.functions.schemas import DESTINATION_BRONZE, ENTITY, PAYLOAD
 from tidemark.plans import medallion as M
 from tidemark.sources.bronze import read_bronze
@@ -71,9 +73,26 @@ def test_landing_to_gold(spark, tmp_path):
     }
 
 
-def test_maintenance_plan(spark, tmp_path):
-    from pyspark.sql import functions as F
+def test_a_merge_into_gold_does_not_move_gold(spark, tmp_path, helpers, settings):
+    from tidemark.operators.latest import latest, upsert
+    from tidemark.sources.tables import table_buckets, write_table
 
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    name = f"gold_{tmp_path.name.replace('-', '_')}.current"
+    rows = spark.range(100).select("id", F.lit(AT).alias("ingest_timestamp"))
+    write_table(rows, name, "overwrite", root=str(tmp_path), buckets=(6, ["id"]))
+    rows.where("id < 5").write.parquet(str(tmp_path / "new"))
+    changes = latest(spark.read.parquet(str(tmp_path / "new")), ["id"], ["ingest_timestamp"]).repartition(6, "id")
+    merged = upsert(spark.table(name), changes, ["id"], ["ingest_timestamp"])
+    plan = helpers.plan(merged.repartition(6, "id"))
+    old = plan[: plan.index("+- Project") if "+- Project" in plan else None]
+    assert table_buckets(spark, name) == (6, ["id"]) and "Bucketed: true" in plan
+    # All shuffles lie above the new rows; between gold's scan and the result there is none.
+    union = plan.split("Union")
+    assert "Exchange" not in union[0] and union[1].index("Bucketed: true") < union[1].index("Exchange"), old
+
+
+def test_maintenance_plan(spark, tmp_path):
     from tidemark.operators.retention import Retention
     from tidemark.sources.tables import write_table
 
@@ -117,6 +136,7 @@ def test_every_landed_batch_is_taken_once_and_reaches_gold(spark, tmp_path):
 
     from tidemark.operators.latest import latest
     from tidemark.sources.bronze import batch_path, write_bronze
+    from tidemark.sources.tables import table_versions
     from tidemark.functions.schemas import LIVE_BRONZE, conform
 
     for name in ("silver.live_data", "gold.live_data_current", M.TAKEN):
@@ -134,6 +154,7 @@ def test_every_landed_batch_is_taken_once_and_reaches_gold(spark, tmp_path):
     land(AT + timedelta(minutes=5), "2026-03-03T15:05:00+00:00", 6)
     done = M.run_once(spark, root, None, tables)
     assert len(done["batches"]) == 2 and gold() == {7: 6}
+    assert table_versions(spark, "gold.live_data_current").count() == 1  # one write for both batches
     # Stamped before midnight and landed after it; then a late one.
     land(AT.replace(day=4, hour=0, second=3), "2026-03-03T23:59:58+00:00", 77)
     land(AT.replace(day=4, hour=1), "2026-03-01T00:00:00+00:00", 1)
@@ -141,7 +162,7 @@ def test_every_landed_batch_is_taken_once_and_reaches_gold(spark, tmp_path):
     assert gold() == {7: 77} and M.run_once(spark, root, None, tables) == {}
     assert spark.table("silver.live_data").count() == 4
     # A batch that a run began and did not finish is not added twice; one that never landed whole is not taken.
-    M._note(spark, batch_path(root, "live", AT.replace(day=5)), "begun", tables)
+    M._note(spark, [batch_path(root, "live", AT.replace(day=5))], "begun", tables)
     land(AT.replace(day=5), "2026-03-05T15:00:00+00:00", 9)
     M.append_live(spark, batch_path(root, "live", AT.replace(day=5)), tables)
     land(AT.replace(day=6), "2026-03-06T15:00:00+00:00", 99)

@@ -79,7 +79,9 @@ def test_payloads_are_parsed_once(spark, sf_dir):
         assert plan(spark, sf_dir, name).count("from_json(") == 1
 
 
-STORED = {"bronze_roundtrip", "live_files", "csv_roundtrip", "partitioned_parquet", "table_append", "table_overwrite", "table_history", "silver_stream", "gold_stream"}
+STORED = {"bronze_roundtrip", "live_files", "csv_roundtrip", "partitioned_parquet", "table_append", "table_overwrite", "table_history", "silver_stream", "gold_stream",
+    "landing_report", "table_as_of", "stored_board", "stream_progress", "board_positions",
+}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES.keys() - STORED))

@@ -1,3 +1,5 @@
+import glob
+from datetime import datetime, timezone
 from uuid import uuid4
 
 import pytest
@@ -49,10 +51,11 @@ def test_history_records_every_complete_write(spark, name, root):
     third = T.write_table(frame(spark, [(4, "d")]), name, "overwrite", root=root)
     T.write_table(frame(spark, []), name, root=root)
     history = T.table_history(spark, name).orderBy("snapshot_id").collect()
-    assert [(r.snapshot_id, r.version, r.operation, r.rows) for r in history] == [
-        (first["snapshot_id"], first["snapshot_id"], "append", 2), (second["snapshot_id"], first["snapshot_id"], "append", 1),
-        (third["snapshot_id"], third["snapshot_id"], "overwrite", 1),
+    assert [(r.version, r.operation, r.rows) for r in history] == [
+        (first["snapshot_id"], "append", 2), (first["snapshot_id"], "append", 1), (third["snapshot_id"], "overwrite", 1),
     ]
+    assert [r.snapshot_id for r in history][::2] == [first["snapshot_id"], third["snapshot_id"]]
+    assert second["snapshot_id"] < history[1].snapshot_id < third["snapshot_id"]
     assert {r.version: r.rows for r in T.table_versions(spark, name).collect()} == {
         first["snapshot_id"]: 3, third["snapshot_id"]: 1,
     }
@@ -61,6 +64,41 @@ def test_history_records_every_complete_write(spark, name, root):
     assert T.snapshot_log(spark, []).count() == 0
 
 
+def test_state_at_a_moment_comes_from_the_files(spark, name, root):
+    """Files that were written later are not opened, and no list of writes is kept."""
+    before = datetime.now(timezone.utc)
+    one = T.write_table(frame(spark, [(1, "a")]), name, root=root)
+    two = T.write_table(frame(spark, [(2, "b")]), name, root=root)
+    three = T.write_table(frame(spark, [(3, "c")]), name, "overwrite", root=root)
+
+    def at(moment):
+        return sorted(r.id for r in T.read_as_of(spark, name, moment).collect())
+
+    times = [datetime.fromisoformat(w["written_at"]) for w in (one, two, three)]
+    assert [at(t) for t in (before, *times)] == [[], [1], [1, 2], [3]]
+    assert not glob.glob(f"{root}/**/*.history", recursive=True)
+    early = T.read_as_of(spark, name, times[0])
+    assert early.count() == 1 and len(early.inputFiles()) >= 1
+    files = early._jdf.queryExecution().executedPlan().collectLeaves().head()
+    early.collect()
+    assert "file_modification_time" in str(files)
+
+
+def test_buckets_spare_the_table_a_shuffle(spark, name, root, helpers, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    rows = frame(spark, [(i, "a") for i in range(50)])
+    T.write_table(rows, name, "overwrite", root=root, buckets=(4, ["id"]))
+    assert T.table_buckets(spark, name) == (4, ["id"])
+    grouped = spark.table(name).groupBy("id").count()
+    assert "Exchange" not in helpers.plan(grouped) and grouped.count() == 50
+    done = T.write_table(spark.table(name).where("id < 9"), name, "overwrite", root=root)
+    assert done["rows_written"] == 9 and T.table_buckets(spark, name) == (4, ["id"]) and spark.table(name).count() == 9
+    T.write_table(frame(spark, [(9, "z")]), name, root=root)
+    assert sorted(content(spark, name))[-1] == (9, "z")
+    assert {r.version: r.rows for r in T.table_versions(spark, name).collect()}[done["snapshot_id"]] == 10
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("written_")]
+
+
 def test_a_table_can_be_rewritten_from_itself(spark, name, root):
     T.write_table(frame(spark, [(1, "a"), (2, "b")]), name, "overwrite", root=root)
     T.write_table(spark.table(name).where("id = 2"), name, "overwrite", root=root)
@@ -219,3 +257,12 @@ def test_an_old_version_has_the_columns_that_came_later(spark, name, root):
     T.write_table(frame(spark, [(2, "b", 7)], "id long, name string, extra int"), name, on_drift="merge")
     old = T.read_version(spark, name, first["snapshot_id"])
     assert sorted(map(tuple, old.collect())) == [(1, "a", None), (2, "b", 7)]
+
+
+def test_query_text_takes_its_values_from_markers(spark, name, root):
+    T.write_table(frame(spark, [(1, "a"), (2, "b' or 1 = 1 --"), (3, "c")]), name, root=root)
+    read = lambda *a, **k: sorted(r.id for r in T.read_table(spark, name, *a, **k).collect())
+    assert read() == read("", 0) == read(limit=None) == [1, 2, 3]
+    assert read("id >= :least", args={"least": 2}) == [2, 3]
+    assert read("name = :name", args={"name": "b' or 1 = 1 --"}) == [2]
+    assert len(read("id > 0", 2)) == 2 and read("id = 3") == [3]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from tidemark.functions.columns import (
     QUEUE_COLUMNS,
@@ -83,16 +85,8 @@ def misfit_waits(body: Column) -> Column:
     return in_lands | among(body["rides"])
 
 
-def split_outcomes(
-    payloads: DataFrame, body: str = "body", error: str = "error", schema: T.StructType = PAYLOAD_BODY
-) -> tuple[DataFrame, DataFrame]:
-    """Good payloads with their body parsed, and failed ones as they came, for quarantine.
-
-    A payload fails if an error was reported, if its body is no JSON, or if a value in it does
-    not fit the schema, which would otherwise be read as NULL; a wait must be a whole number.
-    Together they are all input rows.
-    """
-    keep = [c for c in payloads.columns if c not in (body, error)]
+def _judged(payloads: DataFrame, body: str, error: str, schema: T.StructType) -> tuple[DataFrame, Column, Column]:
+    """Payloads with ``_parsed``, whether each is good, and why not. Every body is parsed once."""
     misfit = T.StructField("_misfit", T.StringType())
     parsed = payloads.withColumn(
         "_parsed", F.from_json(body, T.StructType([*schema, misfit]), {"columnNameOfCorruptRecord": "_misfit"})
@@ -105,6 +99,21 @@ def split_outcomes(
         .when(F.try_parse_json(body).isNull(), F.lit(UNREADABLE))
         .otherwise(F.lit("body does not fit the schema"))
     )
+    return parsed, ok, reason
+
+
+def split_outcomes(
+    payloads: DataFrame, body: str = "body", error: str = "error", schema: T.StructType = PAYLOAD_BODY
+) -> tuple[DataFrame, DataFrame]:
+    """Good payloads with their body parsed, and failed ones as they came, for quarantine.
+
+    A payload fails if an error was reported, if its body is no JSON, or if a value in it does
+    not fit the schema, which would otherwise be read as NULL; a wait must be a whole number.
+    Together they are all input rows. Each of the two reads and parses the payloads; where both
+    are wanted, ``route_outcomes`` does that once.
+    """
+    keep = [c for c in payloads.columns if c not in (body, error)]
+    parsed, ok, reason = _judged(payloads, body, error, schema)
     # Exploding a list of one or none keeps the rows wanted and parses each body once; a filter
     # would be moved below the parsing and repeat it.
     good = parsed.select(
@@ -114,6 +123,53 @@ def split_outcomes(
     return good, failed
 
 
+#: Folders of the two outcomes.
+OUTCOME, GOOD, FAILED = "outcome", "good", "failed"
+
+
+class Routed(NamedTuple):
+    """Both outcomes of payloads that were read and parsed once, and how many there were of each."""
+
+    good: DataFrame
+    failed: DataFrame
+    attempts: int
+    failures: int
+
+
+def route_outcomes(
+    payloads: DataFrame, path: str, body: str = "body", error: str = "error", schema: T.StructType = PAYLOAD_BODY
+) -> Routed:
+    """As ``split_outcomes``, by one write to ``path`` in a folder for each outcome, which both are read from.
+
+    Payloads may be what a slow or changing source gives: whatever they were when they were read is what both
+    outcomes and the counts tell.
+    """
+    rows, seen = _by_outcome(payloads, body, error, schema), Observation()
+    counted = rows.observe(
+        seen, F.count(F.lit(1)).alias("attempts"), F.count_if(F.col(OUTCOME) == FAILED).alias("failures")
+    )
+    counted.write.partitionBy(OUTCOME).parquet(path)
+    routed = payloads.sparkSession.read.schema(rows.schema).parquet(path)
+    keep = [F.col(f"row.`{c}`") for c in payloads.columns if c not in (body, error)]
+    good = routed.where(F.col(OUTCOME) == GOOD).select(*keep, F.col("row._parsed").alias(body))
+    failed = routed.where(F.col(OUTCOME) == FAILED).select(*keep, F.col(f"row.`{body}`"), F.col(f"row.`{error}`"))
+    return Routed(good, failed, seen.get["attempts"], seen.get["failures"])
+
+
+def _by_outcome(payloads: DataFrame, body: str, error: str, schema: T.StructType) -> DataFrame:
+    """(outcome, row): a good payload's row has what was parsed, a failed one's the body as it came and why it failed."""
+    parsed, ok, reason = _judged(payloads, body, error, schema)
+    return parsed.select(
+        F.when(ok, GOOD).otherwise(FAILED).alias(OUTCOME),
+        F.struct(
+            *[F.col(f"`{c}`") for c in payloads.columns if c not in (body, error)],
+            F.when(ok, F.col("_parsed").dropFields("_misfit")).alias("_parsed"),
+            F.when(~ok, F.col(body)).alias(body),
+            F.when(~ok, reason).alias(error),
+        ).alias("row"),
+    )
+
+
 def entity_rows(rides: DataFrame, ingest_timestamp: str, entity_type: str = "ATTRACTION") -> DataFrame:
     """Catalogue rows of rides, all stamped with the one time of their batch."""
     return rides.select(

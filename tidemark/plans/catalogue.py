@@ -7,6 +7,7 @@ inputs are built per row, so every query's work grows with its tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
@@ -21,12 +22,13 @@ from tidemark.functions.columns import (
     parse_iso,
     utc_clock,
 )
-from tidemark.functions.schemas import LIVE_FILE, LONG, TEXT, cast_timestamps, struct, void_to_string
+from tidemark.functions.schemas import ENTITY, LIVE_FILE, LONG, PAYLOAD, TEXT, cast_timestamps, struct, void_to_string
 from tidemark.operators import aggregates, boards, flatten, latest as newest_rows, retention, versions
 from tidemark.operators.unions import union_missing
+from tidemark.plans import medallion
 from tidemark.session import scratch_path
 from tidemark.sources import bronze, files, tables
-from tidemark.streaming import live
+from tidemark.streaming import live, progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -152,8 +154,19 @@ def top_n(spark: SparkSession, d: str) -> DataFrame:
     return boards.top_n(read(spark, d, "events").select("event_id", "value"), 10, desc=["value"], asc=["event_id"])
 
 
+def board_positions(spark: SparkSession, d: str) -> DataFrame:
+    """The place of every event in the order of a board: falling values, the unknown last."""
+    return boards.positioned(read(spark, d, "events").select("event_id", "value"), desc=["value"], asc=["event_id"])
+
+
 def where_text(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "events").where("event_type = 'view' and value > 10").select("event_id", "user_id", "value")
+    """A predicate given as text over a named view, with its values bound; a limit of 0 means all rows."""
+    name = f"events_{uuid.uuid4().hex}"
+    read(spark, d, "events").createOrReplaceTempView(name)
+    text, values = "event_type = :kind and value > :least", {"kind": "view", "least": 10}
+    found = tables.read_table(spark, name, text, 0, values).select("event_id", "user_id", "value")
+    spark.catalog.dropTempView(name)
+    return found
 
 
 # --- aggregates --------------------------------------------------------------------------
@@ -260,6 +273,22 @@ def quarantine(spark: SparkSession, d: str) -> DataFrame:
     return flatten.split_outcomes(payloads)[1]
 
 
+def landing_report(spark: SparkSession, d: str) -> DataFrame:
+    """One run of landing: attempts, failures and rides, from one pass over the payloads, and what was landed of each."""
+    root = scratch_path(spark, "landing")
+    kind = F.col("event_type")
+    body = F.when(kind != "error", F.format_string('{"rides": [{"id": %d, "wait_time": %s}]}', F.col("event_id"), F.col("value")))
+    body = F.when(kind == "click", F.lit("<html>busy</html>")).otherwise(body)
+    error = F.when(kind == "error", F.concat(F.lit("HTTP "), F.get_json_object("props", "$.k")))
+    payloads = read(spark, d, "events").select(F.col("user_id").alias("park_id"), body.alias("body"), error.alias("error"))
+    landed = medallion.land_entities(payloads, root, BATCH_TIME)
+    rides = bronze.read_bronze(spark, landed["path"], ENTITY).select("park_id", F.lit("ride").alias("what"))
+    failed = bronze.read_bronze(spark, landed["failed_path"], PAYLOAD).select("park_id", F.col("error").alias("what"))
+    counts = rides.union(failed).groupBy("park_id", "what").agg(F.count(F.lit(1)).alias("rows"))
+    told = {name: F.lit(landed[key]).cast("bigint") for name, key in (("attempts", "attempts"), ("failures", "failed"))}
+    return counts.withColumns(told)
+
+
 def good_rides(spark: SparkSession, d: str) -> DataFrame:
     """Rides of the payloads that did not fail."""
     kind = F.col("event_type")
@@ -502,7 +531,7 @@ def table_overwrite(spark: SparkSession, d: str) -> DataFrame:
 
 
 def table_history(spark: SparkSession, d: str) -> DataFrame:
-    """What the history says of two appends, an overwrite and an input without rows."""
+    """What its files say of two appends, an overwrite and an input without rows."""
     root = scratch_path(spark, "tables")
     name = f"silver_{root[-12:]}.history"
     events = read(spark, d, "events")
@@ -514,6 +543,59 @@ def table_history(spark: SparkSession, d: str) -> DataFrame:
     return tables.table_history(spark, name).select("operation", "rows")
 
 
+def table_as_of(spark: SparkSession, d: str) -> DataFrame:
+    """A table as it was between two appends and before it was replaced, told by its files alone."""
+    root = scratch_path(spark, "tables")
+    name = f"silver_{root[-12:]}.past"
+    events = read(spark, d, "events")
+    cut = moment(CUT, T.TimestampNTZType())
+    then = tables.write_table(events.where(F.col("ts") <= cut), name, root=root)["written_at"]
+    tables.write_table(events.where(F.col("ts") > cut), name, root=root)
+    tables.write_table(newest_rows.latest(events, ENTITY_KEY, TIME, TIE), name, "overwrite", root=root)
+    return tables.read_as_of(spark, name, datetime.fromisoformat(then))
+
+
+def stored_board(spark: SparkSession, d: str) -> DataFrame:
+    """Stored gold, in buckets by entity: written, merged with newer rows, read, joined and put in order.
+
+    Neither the merge nor the join moves gold: both deal their other side to its buckets.
+    """
+    root = scratch_path(spark, "gold")
+    name, buckets = f"gold_{root[-12:]}.current", (8, ENTITY_KEY)
+    events = read(spark, d, "events")
+    cut = moment(CUT, T.TimestampNTZType())
+    first = newest_rows.latest(events.where(F.col("ts") <= cut), ENTITY_KEY, TIME, TIE)
+    tables.write_table(first, name, "overwrite", root=root, buckets=buckets)
+    changes = newest_rows.latest(events.where(F.col("ts") > cut), ENTITY_KEY, TIME, TIE).repartition(buckets[0], *ENTITY_KEY)
+    tables.write_table(newest_rows.upsert(spark.table(name), changes, ENTITY_KEY, TIME, TIE), name, "overwrite", root=root)
+    board = boards.star_board(
+        tables.read_table(spark, name), read(spark, d, "customer"), F.col("user_id") == F.col("c_custkey"),
+        ["user_id", F.col("c_name").alias("entity_name"), F.col("event_type").alias("status"), F.col("value").alias("wait_time")],
+    )
+    return boards.positioned(board, desc=["wait_time"], asc=["user_id"])
+
+
+def stream_progress(spark: SparkSession, d: str) -> DataFrame:
+    """What a stream's own events tell of its batches: how many failed, and how many rows they brought."""
+    root = scratch_path(spark, "stream-progress")
+    bronze.write_bronze(_bronze_events(spark, d), root, "live", BATCH_TIME)
+    log = progress.BatchLog(spark, f"{root}/log")
+    spark.streams.addListener(log)
+    try:
+        query = live.bronze_to_silver(
+            live.bronze_stream(spark, f"{root}/bronze/live", BRONZE_EVENTS, max_files=2), f"{root}/silver",
+            f"{root}/checkpoint", time_column="ts",
+            normalize=lambda rows: rows.withColumn("ts", utc_clock(parse_iso(F.col("ts")))),
+        )
+        query.awaitTermination()
+        log.wait(query)
+    finally:
+        spark.streams.removeListener(log)
+    return progress.batch_report(spark, f"{root}/log").agg(
+        F.sum("failures").alias("failures"), F.sum("rows").alias("rows"), F.sum("without_time").alias("without_time")
+    )
+
+
 def silver_stream(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "silver-stream")
     bronze.write_bronze(_bronze_events(spark, d), root, "live", BATCH_TIME)
@@ -549,6 +631,7 @@ QUERIES: dict[str, Query] = {
     "catalogued_only": catalogued_only,
     "top_n": top_n,
     "where_text": where_text,
+    "board_positions": board_positions,
     "status_counts": status_counts,
     "operating_ratio": operating_ratio,
     "fetch_errors": fetch_errors,
@@ -562,6 +645,7 @@ QUERIES: dict[str, Query] = {
     "error_split": error_split,
     "quarantine": quarantine,
     "good_rides": good_rides,
+    "landing_report": landing_report,
     "normalize_live": normalize_live,
     "queue_flatten": queue_flatten,
     "json_flatten": json_flatten,
@@ -588,6 +672,9 @@ QUERIES: dict[str, Query] = {
     "table_append": table_append,
     "table_overwrite": table_overwrite,
     "table_history": table_history,
+    "table_as_of": table_as_of,
+    "stored_board": stored_board,
+    "stream_progress": stream_progress,
     "silver_stream": silver_stream,
     "gold_stream": gold_stream,
 }

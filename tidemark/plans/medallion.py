@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.functions.columns import moment, utc_date
 from tidemark.functions.schemas import DESTINATION_BRONZE, ENTITY, LIVE_BRONZE, LIVE_FILE, conform
@@ -17,12 +16,13 @@ from tidemark.operators.flatten import (
     extract_rides,
     live_rows,
     normalize_live,
-    split_outcomes,
+    route_outcomes,
 )
 from tidemark.operators.latest import having_partner, latest, upsert
 from tidemark.operators.retention import BRONZE_DAYS, TABLE_POLICY, Retention, batch_retention, expire_plan, expire_report
+from tidemark.session import scratch_path
 from tidemark.sources.bronze import committed, landed_batches, latest_bronze, read_bronze, write_bronze
-from tidemark.sources.tables import snapshot_log, write_table
+from tidemark.sources.tables import snapshot_log, table_buckets, write_table
 
 
 #: Which landed batches were taken.
@@ -50,16 +50,13 @@ def _land_rides(
 ) -> dict:
     """Rides of the good payloads to ``prefix``, failed payloads to ``prefix_failed``.
 
-    Attempts are counted while the failed payloads are written.
+    The payloads are read and parsed once, and counted with that.
     """
-    tried = Observation()
-    good, _ = split_outcomes(payloads)
-    _, failed = split_outcomes(payloads.observe(tried, F.count(F.lit(1)).alias("rows")))
-    landed = write_bronze(conform(rows_of(extract_rides(good), batch_stamp(at)), schema), root, prefix, at)
-    quarantined = write_bronze(failed, root, f"{prefix}_failed", at)
-    return landed | {
-        "attempts": tried.get["rows"], "failed": quarantined["rows_written"], "failed_path": quarantined["path"],
-    }
+    routed = route_outcomes(payloads, scratch_path(payloads.sparkSession, f"{prefix}-routed"))
+    rides = rows_of(extract_rides(routed.good), batch_stamp(at))
+    landed = write_bronze(conform(rides, schema), root, prefix, at)
+    quarantined = write_bronze(routed.failed, root, f"{prefix}_failed", at)
+    return landed | {"attempts": routed.attempts, "failed": routed.failures, "failed_path": quarantined["path"]}
 
 
 def land_entities(payloads: DataFrame, root: str, at: datetime) -> dict:
@@ -86,8 +83,8 @@ def refresh_entities(spark: SparkSession, path: str, root: str | None = None) ->
     return write_table(read_bronze(spark, path, ENTITY), "silver.entities", "overwrite", "recreate", root=root)
 
 
-def live_batch(spark: SparkSession, path: str) -> DataFrame:
-    """One landed live batch as rows of silver."""
+def live_batch(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One landed live batch, or several, as rows of silver."""
     rows = normalize_live(read_bronze(spark, path, LIVE_FILE))
     return rows.withColumn("ingest_date", utc_date(rows, "ingest_timestamp"))
 
@@ -117,17 +114,23 @@ def refresh_gold(
 ) -> dict:
     """``silver.live_data`` to one current row per entity, with the row count before and after.
 
-    With ``added`` only these rows, which silver already has, are merged into the gold there is: the newest of both is
-    the newest of all, whatever their times, and merging them again changes nothing. Without it, or without gold, the
-    whole history is read.
+    Gold lies in buckets by id. With ``added`` only these rows, which silver already has, are merged into the gold there
+    is: the newest of both is the newest of all, whatever their times, and merging them again changes nothing. They are
+    dealt to gold's buckets, and gold itself is not shuffled. Without it, or without gold, the whole history is read.
     """
     seen = Observation()
     merge = added is not None and spark.catalog.tableExists(gold)
     rows = (added if merge else spark.table(silver)).drop("ingest_date")
     rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     keys, order = ["id"], ["ingest_timestamp"]
-    current = upsert(spark.table(gold), rows, keys, order) if merge else latest(rows, keys, order)
-    summary = write_table(current, gold, "overwrite", "recreate", root=root)
+    current, buckets = latest(rows, keys, order), None
+    if merge:
+        buckets = table_buckets(spark, gold)
+        if buckets:
+            current = current.repartition(buckets[0], *keys)
+        current = upsert(spark.table(gold), current, keys, order)
+    buckets = buckets or (int(spark.conf.get("spark.sql.shuffle.partitions")), keys)
+    summary = write_table(current, gold, "overwrite", "recreate", root=root, buckets=buckets)
     return summary | {"rows_before": seen.get["rows"]}
 
 
@@ -147,54 +150,55 @@ def bronze_expiry(
     return batch_retention(landed, "prefix", "day", days, default_days, F.lit(now.astimezone(timezone.utc).date()))
 
 
-def taken_batches(spark: SparkSession) -> dict[str, str]:
-    """The batches that runs have begun, with ``begun`` or ``done``: one name for each since the tables were made."""
-    if not spark.catalog.tableExists(TAKEN):
-        return {}
-    last = spark.table(TAKEN).groupBy("batch").agg(F.max("state").alias("state"))  # "done" is the greater
-    return {r["batch"]: r["state"] for r in last.collect()}
+def _named(batch: Column) -> Column:
+    """A batch's path as it is noted: the same however a local path is written."""
+    return F.regexp_replace(batch, "^file:/*", "/")
 
 
-def _name(path: str) -> str:
-    """A batch's path as it is noted: the same however a local path is written."""
-    return re.sub(r"^file:/*", "/", path)
+def pending_batches(spark: SparkSession, landed: DataFrame) -> DataFrame:
+    """Landed batches that no run has taken whole, with ``again``: whether one has begun with it."""
+    named = landed.withColumn("name", _named(F.col("batch")))
+    if not spark.catalog.tableExists(TAKEN):
+        return named.withColumn("again", F.lit(False)).drop("name")
+    last = spark.table(TAKEN).groupBy(F.col("batch").alias("name")).agg(F.max("state").alias("state"))
+    known = named.join(last, "name", "left").where("state is null or state <> 'done'")  # "done" is the greater
+    return known.withColumn("again", F.col("state").isNotNull()).drop("name", "state")
 
 
-def _note(spark: SparkSession, batch: str, state: str, root: str | None) -> None:
-    line = spark.createDataFrame([(_name(batch), state)], "batch string, state string")
-    write_table(line, TAKEN, "append", "fail", root=root)
+def _note(spark: SparkSession, batches: Sequence[str], state: str, root: str | None) -> None:
+    lines = spark.createDataFrame([(b,) for b in batches], "batch string")
+    write_table(lines.select(_named(F.col("batch")).alias("batch"), F.lit(state).alias("state")), TAKEN, "append", "fail", root=root)
 
 
 def run_once(spark: SparkSession, root: str, run_at: datetime | None = None, tables: str | None = None) -> dict:
     """Take the landed batches at or before a run that no run has taken yet through silver to gold.
 
-    Reference data is replaced by its newest batch. Every live batch is added, in the order of landing, and exactly its
-    rows are merged into gold. A batch is noted before and after; one that was begun and not done is added again without
-    the rows that are there.
+    Reference data is replaced by its newest batch. Every live batch is added, in the order of landing, and then exactly
+    their rows are merged into gold, in one write. Batches are noted before and after; one that was begun and not done
+    is added again without the rows that are there. Only the names of batches still to take come to the driver.
     """
     done: dict = {}
-    taken = taken_batches(spark)
     for prefix, names, refresh in (
         ("destinations", ("destinations", "parks"), refresh_destinations),
         ("entities", ("entities",), refresh_entities),
     ):
         path = latest_bronze(spark, root, prefix, run_at)
-        if path and taken.get(_name(path)) != "done":
+        if path and not pending_batches(spark, spark.createDataFrame([(path,)], "batch string")).isEmpty():
             result = refresh(spark, path, tables)
             done |= dict(zip(names, result if isinstance(result, tuple) else (result,), strict=True))
-            _note(spark, path, "done", tables)
+            _note(spark, [path], "done", tables)
     landed = landed_batches(spark, root, "live")
     if run_at is not None:
         landed = landed.where(F.col("landed_at") <= moment(run_at, landed.schema["landed_at"].dataType))
-    for row in landed.orderBy("landed_at", "batch").collect():
-        path = row["batch"]
-        if taken.get(_name(path)) == "done" or not committed(spark, path):
-            continue
-        again = _name(path) in taken
-        if not again:
-            _note(spark, path, "begun", tables)
+    found = pending_batches(spark, landed).orderBy("landed_at", "batch").select("batch", "again").collect()
+    todo = [(r["batch"], r["again"]) for r in found if committed(spark, r["batch"])]
+    if not todo:
+        return done
+    paths = [path for path, _ in todo]
+    if new := [path for path, again in todo if not again]:
+        _note(spark, new, "begun", tables)
+    for path, again in todo:
         done["live"] = append_live(spark, path, tables, again=again)
-        done["gold"] = refresh_gold(spark, root=tables, added=live_batch(spark, path))
-        done.setdefault("batches", []).append(path)
-        _note(spark, path, "done", tables)
-    return done
+    done["gold"] = refresh_gold(spark, root=tables, added=live_batch(spark, paths))
+    _note(spark, paths, "done", tables)
+    return done | {"batches": paths}

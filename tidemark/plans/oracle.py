@@ -212,6 +212,22 @@ ORACLE: dict[str, str] = {
         select 'append' as operation, count(*) as rows from events where ts <= timestamp '2024-01-10 00:00:00'
         union all select 'append', count(*) from events where ts > timestamp '2024-01-10 00:00:00'
         union all select 'overwrite', count(distinct user_id) from events""",
+    "table_as_of": "select * from events where ts <= timestamp '2024-01-10 00:00:00'",
+    "stored_board": f"""
+        select user_id, c_name as entity_name, event_type as status, value as wait_time,
+               row_number() over (order by value desc nulls last, user_id) as position
+        from (select *, {NEWEST} as rn from events) x join customer on user_id = c_custkey where rn = 1""",
+    "stream_progress": """
+        select 0::bigint as failures, count(*) as rows, (count(*) - count(ts))::bigint as without_time from events""",
+    "board_positions": """
+        select event_id, value, row_number() over (order by value desc nulls last, event_id) as position from events""",
+    "landing_report": """
+        select user_id as park_id,
+               case event_type when 'error' then 'HTTP ' || cast(json_extract(props, '$.k') as bigint)
+                    when 'click' then 'body is missing or not JSON' else 'ride' end as what,
+               count(*) as rows, (select count(*) from events) as attempts,
+               (select count(*) from events where event_type in ('error', 'click')) as failures
+        from events group by all""",
     "partitioned_parquet": "select * from lineitem",
     "table_append": """
         select event_id, ts, user_id, event_type,

@@ -34,11 +34,12 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name under the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Every executor must see it, so a machine-local folder is made only in local mode.
+    Every executor must see it, so a machine-local folder is made only where they are threads of this process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

@@ -19,7 +19,7 @@ def batch_path(root: str, prefix: str, at: datetime) -> str:
     return f"{root.rstrip('/')}/bronze/{prefix}/{at.astimezone(timezone.utc).strftime(BATCH)}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, asked of the store it lies in."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
@@ -27,7 +27,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def committed(spark: SparkSession, batch: str) -> bool:
     """Whether a batch has landed whole: a folder by Spark's mark in it, a single file as it is."""
-    return batch.endswith((".jsonl", ".jsonl.gz")) or _exists(spark, f"{batch}/_SUCCESS")
+    return batch.endswith((".jsonl", ".jsonl.gz")) or path_exists(spark, f"{batch}/_SUCCESS")
 
 
 def write_bronze(
@@ -53,12 +53,12 @@ def write_bronze(
     return {"path": path, "rows_written": counted.get["rows"], "columns": df.columns}
 
 
-def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A landed batch, a single file, or a glob of either; gzip is recognised by suffix.
+def read_bronze(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """A landed batch, a single file, a glob of either, or a list of these; gzip is recognised by suffix.
 
     Blank lines are skipped. A line that does not fit the schema is an error.
     """
-    if not isinstance(path, str):
+    if not isinstance(path, str) and not (isinstance(path, list) and path and all(isinstance(p, str) for p in path)):
         raise TypeError(f"a path text is needed, not {type(path).__name__}: {path!r}")
     return spark.read.schema(schema).option("mode", "FAILFAST").option("recursiveFileLookup", "true").json(path)
 
@@ -75,7 +75,7 @@ def landed_batches(spark: SparkSession, root: str, prefix: str = "*") -> DataFra
     listed; a folder counts by any of its files. A prefix under which nothing ever landed has no batches.
     """
     base = f"{root.rstrip('/')}/bronze"
-    if not _exists(spark, base if "*" in prefix else f"{base}/{prefix}"):
+    if not path_exists(spark, base if "*" in prefix else f"{base}/{prefix}"):
         return spark.createDataFrame([], "prefix string, batch string, landed_at timestamp_ntz")
     paths = (
         spark.read.format("binaryFile")

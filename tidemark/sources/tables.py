@@ -3,12 +3,13 @@
 Every full write goes to a new folder ``<root>/<namespace>.db/<table>/version=<n>``; the
 table is pointed at it only when the write is complete. A lost executor or a failed job
 leaves readers on the old version, a table may be rewritten from itself, and the versions
-that remain on disk can be listed and read.
+that remain on disk can be listed and read: what their files tell is all that is known of them.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
 from functools import reduce
@@ -66,12 +67,16 @@ def ensure_namespace(spark: SparkSession, namespace: str, root: str | None = Non
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`{place}")
 
 
-def read_table(spark: SparkSession, name: str, where: str = "", limit: int | None = None) -> DataFrame:
-    """A table, optionally cut by a predicate text and a row limit; no limit means all rows."""
-    rows = spark.table(name)
-    if where:
-        rows = rows.where(where)
-    return rows.limit(limit) if limit else rows
+def read_table(
+    spark: SparkSession, name: str, where: str = "", limit: int | None = None, args: dict | None = None
+) -> DataFrame:
+    """A table or view, optionally cut by a predicate text and a row limit; a limit of None or 0 means all rows.
+
+    The text may have markers such as ``:least``, whose values come from ``args``: a value is never read as SQL.
+    """
+    text = "SELECT * FROM IDENTIFIER(:the_table)" + (f" WHERE {where}" if where else "") + (" LIMIT :the_limit" if limit else "")
+    bound = {"the_table": name} | ({"the_limit": limit} if limit else {})
+    return spark.sql(text, args=bound | (args or {}))
 
 
 def table_location(spark: SparkSession, name: str) -> str:
@@ -87,28 +92,33 @@ def _versioned(spark: SparkSession, name: str) -> tuple[str, int]:
     return base, int(version or 0)
 
 
-# One such row, in a file of its own, is kept next to a table for each write.
-HISTORY = struct(version=LONG, operation=TEXT, rows=LONG, committed_at=TIME, snapshot_id=LONG)
-
-
-def log_snapshot(spark: SparkSession, base: str, snapshot_id: int, version: int, operation: str, rows: int) -> None:
-    """Record a write to the versions under ``base`` once it is complete; a retry records it again."""
-    row = spark.range(0, 1, 1, 1).select(
-        F.lit(version).cast("bigint").alias("version"),
-        F.lit(operation).alias("operation"),
-        F.lit(rows).cast("bigint").alias("rows"),
-        moment(datetime.now(timezone.utc), TIME).alias("committed_at"),
-    )
-    row.write.mode("overwrite").parquet(f"{base.rstrip('/')}.history/snapshot_id={snapshot_id}")
-
-
-def read_history(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(HISTORY).parquet(f"{base.rstrip('/')}.history")
+# What Spark's file names and folders tell: the number of a full write, and the job that wrote a file.
+VERSION, JOB = r"/version=(\d+)/", r"^part-\d+-([0-9a-f-]{36})"
 
 
 def table_history(spark: SparkSession, name: str) -> DataFrame:
-    """All writes to a table: snapshot, version folder, operation, rows and time."""
-    return read_history(spark, _versioned(spark, name)[0])
+    """All writes to a table whose files remain: snapshot, version folder, operation, rows and time.
+
+    They are read from the files themselves: a full write has a folder of its own, and all files of one job have its
+    number in their names and the times at which they were written. A write that brought no rows is none.
+    """
+    # Only the files' hidden columns are read, and of the rows just how many there are.
+    files = spark.read.schema("version bigint").parquet(_versioned(spark, name)[0])
+    writes = files.groupBy(
+        F.coalesce(F.regexp_extract("_metadata.file_path", VERSION, 1).try_cast("bigint"), F.lit(0)).alias("version"),
+        F.regexp_extract("_metadata.file_name", JOB, 1).alias("job"),
+    ).agg(F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_modification_time").alias("committed_at"))
+    # One row for each write from here on.
+    first = writes.groupBy("version").agg(F.min(F.struct("committed_at", "job")).alias("first"))
+    oldest = writes.agg(F.min("version")).scalar()
+    is_first = F.col("first.job") == F.col("job")
+    return writes.join(first, "version").select(
+        "version",
+        F.when(is_first & (F.col("version") > oldest), "overwrite").otherwise("append").alias("operation"),
+        "rows",
+        "committed_at",
+        F.when(is_first, F.col("version")).otherwise(F.unix_micros("committed_at")).alias("snapshot_id"),
+    )
 
 
 def table_versions(spark: SparkSession, name: str) -> DataFrame:
@@ -119,10 +129,10 @@ def table_versions(spark: SparkSession, name: str) -> DataFrame:
 def snapshot_log(spark: SparkSession, names: Iterable[str]) -> DataFrame:
     """The writes to all of the tables that exist, as the input of a retention plan.
 
-    Only complete writes are recorded. The folder of a version may go when all of its
-    snapshots are due and no table reads it.
+    The folder of a version may go when all of its snapshots are due and no table reads it.
     """
-    empty = spark.createDataFrame([], HISTORY).withColumn("table", F.lit(None).cast("string"))
+    columns = struct(version=LONG, operation=TEXT, rows=LONG, committed_at=TIME, snapshot_id=LONG)
+    empty = spark.createDataFrame([], columns).withColumn("table", F.lit(None).cast("string"))
     logs = [table_history(spark, n).withColumn("table", F.lit(n)) for n in names if spark.catalog.tableExists(n)]
     return reduce(DataFrame.unionByName, logs, empty)
 
@@ -132,6 +142,20 @@ def read_version(spark: SparkSession, name: str, version: int) -> DataFrame:
     return spark.read.schema(spark.table(name).schema).parquet(f"{_versioned(spark, name)[0]}/version={version}")
 
 
+def read_as_of(spark: SparkSession, name: str, at: datetime) -> DataFrame:
+    """A table as it was at a moment: the newest full write that was there, and the appends up to then.
+
+    Files are chosen by the time at which they were written, before any is opened.
+    """
+    limit = moment(at, T.TimestampType())
+    full = table_history(spark, name).groupBy("version").agg(F.min("committed_at").alias("since"))
+    version = full.where(F.col("since") <= limit).agg(F.max("version")).first()[0]
+    if version is None:
+        return spark.table(name).limit(0)
+    rows = read_version(spark, name, version)
+    return rows.where(F.col("_metadata.file_modification_time") <= limit)
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -142,6 +166,7 @@ def write_table(
     partition_by: Sequence[str] = (),
     root: str | None = None,
     version: int | None = None,
+    buckets: tuple[int, Sequence[str]] | None = None,
 ) -> dict:
     """Write to ``namespace.table`` and return a summary; the first write creates both.
 
@@ -150,6 +175,8 @@ def write_table(
     the table (metadata only) and fills what is missing with NULL; ``recreate`` starts a new
     version with the incoming columns, giving up the current content. An input without rows
     changes nothing. ``version`` numbers a full write, so that a retry replaces its own files.
+    ``buckets`` (how many, by which columns) lays a full write out so that joins and groups by
+    these columns read it where it is; a table keeps its buckets.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}, use one of {MODES}")
@@ -172,7 +199,6 @@ def write_table(
 
     if exists and mode == "append" and not (drift and on_drift == "recreate"):
         location = table_location(spark, name)
-        base, folder = _versioned(spark, name)
         if drift.added and not rows.isEmpty():
             fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in drift.added)
             spark.sql(f"ALTER TABLE {_quoted(name)} ADD COLUMNS ({fields})")
@@ -185,15 +211,13 @@ def write_table(
         if exists:
             base, _ = _versioned(spark, name)
             partition_by = partition_by or _partition_columns(spark, name)
+            buckets = buckets or table_buckets(spark, name)
         else:
             base = f"{(root or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{namespace}.db/{table}"
-        folder = snapshot
-        location = f"{base}/version={folder}"
-        written = _write_folder(rows, location, partition_by)
+        location = f"{base}/version={snapshot}"
+        written = _write_folder(rows, location, partition_by, buckets)
         if written:
-            point_table(spark, name, location, rows.schema, partition_by)
-    if written:
-        log_snapshot(spark, base, snapshot, folder, mode, written)
+            point_table(spark, name, location, rows.schema, partition_by, buckets)
 
     return {
         "table": name,
@@ -225,8 +249,18 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def _write_folder(df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
+def _write_folder(
+    df: DataFrame, path: str, partition_by: Sequence[str], buckets: tuple[int, Sequence[str]] | None = None
+) -> int:
     counted, seen = _counted(rebalanced(df, partition_by))
+    if buckets:
+        number, keys = buckets
+        # Rows that already lie in these buckets, as those merged from the table do, are not moved again.
+        counted, seen = _counted(df.repartition(number, *map(F.col, keys)))
+        place = f"written_{uuid.uuid4().hex}"
+        counted.write.mode("overwrite").format("parquet").bucketBy(number, *keys).option("path", path).saveAsTable(place)
+        df.sparkSession.sql(f"DROP TABLE {place}")  # an external table: its files stay for the table that is pointed at them
+        return seen.get["rows"]
     writer = counted.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -234,6 +268,15 @@ def _write_folder(df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
     return seen.get["rows"]
 
 
+def table_buckets(spark: SparkSession, name: str) -> tuple[int, list[str]] | None:
+    """How many buckets a table has, and by which columns."""
+    keys = [c.name for c in spark.catalog.listColumns(name) if c.isBucket]
+    if not keys:
+        return None
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").collect()}
+    return int(about["Num Buckets"]), keys
+
+
 def _append(df: DataFrame, name: str) -> int:
     target = df.sparkSession.table(name).schema
     aligned = df.select(
@@ -249,7 +292,12 @@ def _partition_columns(spark: SparkSession, name: str) -> list[str]:
 
 
 def point_table(
-    spark: SparkSession, name: str, location: str, schema: T.StructType, partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    name: str,
+    location: str,
+    schema: T.StructType,
+    partition_by: Sequence[str] = (),
+    buckets: tuple[int, Sequence[str]] | None = None,
 ) -> None:
     """Make the table read ``location``, a complete ``version=`` folder; create it if absent.
 
@@ -257,7 +305,8 @@ def point_table(
     partitions the entry is made anew, and for that moment there is no table.
     """
     exists = spark.catalog.tableExists(name)
-    if exists and not partition_by and not column_drift(spark.table(name).schema, schema):
+    same_buckets = exists and table_buckets(spark, name) == (buckets and (buckets[0], list(buckets[1])))
+    if exists and not partition_by and same_buckets and not column_drift(spark.table(name).schema, schema):
         spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION '{location}'")
         spark.catalog.refreshTable(name)
         return
@@ -266,6 +315,8 @@ def point_table(
     data = [f for f in schema if f.name not in partition_by]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*data, *[schema[c] for c in partition_by]])
     parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    if buckets:
+        parts += f" CLUSTERED BY ({', '.join(f'`{c}`' for c in buckets[1])}) INTO {buckets[0]} BUCKETS"
     spark.sql(f"CREATE TABLE {_quoted(name)} ({fields}) USING parquet{parts} LOCATION '{location}'")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {_quoted(name)}")
