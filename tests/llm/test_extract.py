@@ -1,0 +1,166 @@
+"""Main text of hand-made pages, which no training template makes, compared letter by letter."""
+
+import random
+import time
+
+import pytest
+
+from tidemark.llm.extract import Templates, blocks, main_texts, parse, trained
+
+WORDS = "harbour lantern quiet river north meadow seldom copper winter garden above paper stone window morning letter under bright".split()
+
+
+@pytest.fixture(scope="module")
+def model():
+    return trained()
+
+
+class Author:
+    """Blocks of an article as (html, lines of its text)."""
+
+    def __init__(self, seed):
+        self.r = random.Random(seed)
+
+    def words(self, low, high):
+        return " ".join(self.r.choice(WORDS) for _ in range(self.r.randint(low, high)))
+
+    def sentences(self, low, high):
+        return " ".join(self.words(4, 12).capitalize() + "." for _ in range(self.r.randint(low, high)))
+
+    def p(self):
+        t = self.sentences(1, 5)
+        return f"<p>{t}</p>", [t]
+
+    def rich(self):
+        a, b, c = self.sentences(1, 2), self.words(1, 3), self.sentences(1, 2)
+        return f"<p>{a} <a href='/else'>{b}</a> and <em>{b}</em>:\n  {c}</p>", [f"{a} {b} and {b}: {c}"]
+
+    def heading(self):
+        t = self.words(1, 4).capitalize()
+        return f"<h2 id='s{self.r.randint(1, 99)}'>{t}</h2>", [t]
+
+    def quote(self):
+        t = self.r.choice(["We wait.", self.sentences(1, 3)])
+        return f"<blockquote>{t}</blockquote>", [t]
+
+    def code(self):
+        rows = [self.words(1, 4) + " = 1;" for _ in range(self.r.randint(1, 6))]
+        return "<pre>" + "\n".join(rows) + "</pre>", [" ".join(rows)]
+
+    def terms(self):
+        pairs = [(self.words(1, 2), self.sentences(1, 1)) for _ in range(self.r.randint(1, 8))]
+        return "<dl>" + "".join(f"<dt>{a}<dd>{b}" for a, b in pairs) + "</dl>", [t for pair in pairs for t in pair]
+
+    def items(self, n=None):
+        rows = [self.r.choice([self.words(1, 5), self.sentences(1, 1)]) for _ in range(n or self.r.randint(1, 30))]
+        tag = self.r.choice(["ul", "ol"])
+        return f"<{tag}>" + "".join(f"<li>{t}</li>" for t in rows) + f"</{tag}>", rows
+
+    def cells(self, n=None):
+        rows = [(self.words(1, 2), str(self.r.randint(1, 900))) for _ in range(n or self.r.randint(1, 30))]
+        return "<table>" + "".join(f"<tr><td>{a}</td><td>{b}</td></tr>" for a, b in rows) + "</table>", [t for row in rows for t in row]
+
+    def article(self, n):
+        kinds = [self.p, self.p, self.p, self.rich, self.heading, self.quote, self.code, self.terms, self.items, self.cells]
+        return [self.p(), *[self.r.choice(kinds)() for _ in range(n)], self.p()]
+
+
+def plain(inner, title):
+    return f"<!doctype html><html><body><article><h1>{title}</h1>{inner}</article></body></html>"
+
+
+def magazine(inner, title):
+    return f"""<html><head><title>Mag - {title}</title><script>var a = "<p>no</p>";</script></head><body>
+      <header class="masthead"><a href="/">The Lantern</a><nav><ul><li><a href="/w">World</a></li><li><a href="/c">Culture</a></li><li><a href="/s">Sport</a></li></ul></nav></header>
+      <main><article class="story"><h1>{title}</h1>{inner}</article></main>
+      <aside class="sidebar"><h3>Most read</h3><ul><li><a href="/1">Ten boats came home.</a></li><li><a href="/2">The mill burns</a></li></ul></aside>
+      <footer class="footer"><p>&copy; 2024 The Lantern. All rights reserved.</p><ul><li><a href="/t">Terms</a></li><li><a href="/p">Privacy</a></li></ul></footer></body></html>"""
+
+
+def blog(inner, title):
+    return f"""<body><div id="page"><div id="header"><a href="/">Notes</a><p>by the sea</p></div>
+      <div class="menu"><a href="/a">About</a> <a href="/b">Archive</a> <a href="/c">Contact</a></div>
+      <div class="post"><h1>{title}</h1><div class="entry-content">{inner}</div></div>
+      <div id="comments" class="comments"><h3>2 comments</h3><div class="comment"><b>Ann</b><p>I liked this very much. Thank you.</p></div><div class="comment"><b>Bo</b><p>Me too, all of it.</p></div></div>
+      <div class="widget"><h4>Tags</h4><ul><li><a href="/t/sea">sea</a></li><li><a href="/t/salt">salt</a></li></ul></div>
+      <div id="footer">Powered by ink. &copy; Ann</div></div></body>"""
+
+
+def docs(inner, title):
+    return f"""<html><body><div class="topbar"><a href="/">Manual</a><form class="search"><input name="q"><button>Find</button></form></div>
+      <nav class="toc"><ul><li><a href="#1">First steps</a></li><li><a href="#2">Second steps</a></li><li><a href="#3">More</a></li></ul></nav>
+      <main class="content"><h1>{title}</h1>{inner}</main><div class="pagination"><a href="/prev">Previous</a><a href="/next">Next</a></div></body></html>"""
+
+
+def shop(inner, title):
+    return f"""<html><body><div class="cookie-notice"><p>We use cookies to make this page better. You may accept them or not.</p><button>Accept</button></div>
+      <nav class="breadcrumbs"><a href="/">Home</a> / <a href="/n">News</a></nav><section class="main-content"><h1>{title}</h1>{inner}</section>
+      <div class="advert"><p>Buy two lamps and get one free. Only this week.</p></div>
+      <div class="newsletter"><form><label>Get our letter</label><input type="email"><button>Sign up</button></form></div></body></html>"""
+
+
+LAYOUTS = [plain, magazine, blog, docs, shop]
+
+
+def page(seed, layout, article):
+    title = Author(seed + 1000).words(2, 6).capitalize()
+    return layout("".join(h for h, _ in article), title), "\n".join([title, *[line for _, lines in article for line in lines]])
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_articles_of_all_kinds_of_blocks(model, layout):
+    made = [page(seed, layout, Author(seed).article(seed % 9 + 1)) for seed in range(20)]
+    got = main_texts([source for source, _ in made], model)
+    for text, (_, want) in zip(got, made, strict=True):
+        assert text == want
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+@pytest.mark.parametrize("rows", [10, 45, 60, 200])
+def test_text_after_long_lists_and_tables(model, layout, rows):
+    a = Author(rows)
+    made = [page(5, layout, [a.p(), a.items(rows), a.p(), a.heading(), a.p()]), page(6, layout, [a.p(), a.cells(rows), a.p(), a.quote(), a.p()])]
+    assert main_texts([source for source, _ in made], model) == [want for _, want in made]
+
+
+def test_long_articles(model):
+    a = Author(3)
+    for n in (60, 300):
+        source, want = page(7, magazine, [a.p() for _ in range(n)])
+        assert main_texts([source], model) == [want]
+
+
+def test_blocks_that_were_lost_once(model):
+    p = "<p>One thing is said here. Two things are said here. Three things are said.</p>"
+    inner = f"{p}<pre>x = 1</pre>{p}<h2>Second part</h2>{p}<blockquote>We wait.</blockquote><dl><dt>salt<dd>White.</dl>{p}"
+    line = "One thing is said here. Two things are said here. Three things are said."
+    want = ["Title", line, "x = 1", line, "Second part", line, "We wait.", "salt", "White.", line]
+    assert main_texts([plain(inner, "Title")], model) == ["\n".join(want)]
+
+
+def test_new_pages_of_the_templates(model):
+    templates, wrong = Templates(4711), 0
+    for _ in range(60):
+        source = templates.page()
+        nodes, flow = parse(source)
+        keep = [True] * len(nodes)
+        for i in range(1, len(nodes)):
+            keep[i] = keep[nodes[i].parent] and "data-x" not in nodes[i].attributes
+        wrong += main_texts([source.replace(" data-x", "")], model)[0] != blocks(flow, keep)
+    assert wrong <= 3
+
+
+@pytest.mark.parametrize("piece", ["<b></x>", "</div><p><i>", "<p><td><b><hr>", "<a href='x'>y</a>", "<li>z", "<div>", "<p>w.</p>", "&amp;&lt;x"])
+def test_a_megabyte_of_one_thing_is_read_in_linear_time(model, piece):
+    start = time.perf_counter()
+    parse(piece * (300_000 // len(piece)))
+    first = time.perf_counter() - start
+    start = time.perf_counter()
+    parse(piece * (1_200_000 // len(piece)))
+    assert time.perf_counter() - start < 12 * first + 2
+
+
+def test_odd_pages(model):
+    got = main_texts([None, "", "   ", "<", "<p", "no markup at all", "<script>x", "<!-- <p>a</p>", "</p></p>", "a" * 200_000], model)
+    assert got[:3] == ["", "", ""] and got[6:8] == ["", ""] and len(got[9]) in (0, 200_000)
+    assert main_texts([], model) == []

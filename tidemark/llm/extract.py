@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -33,6 +34,7 @@ BLOCK = set(
 )
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ENDS_P = BLOCK - {"td", "th", "tr", "tbody", "thead", "tfoot", "option", "body", "head", "html"}
+WALLS = BLOCK - {"p"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 TOKEN = re.compile(
@@ -86,23 +88,37 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
     ends by themselves (paragraphs, list items, cells) do so. What is inside scripts, styles and the like is left out.
     """
     nodes, flow, open_, at = [Node("#page", "", -1, 0)], [], [0], 0
+    where: dict[str, list[int]] = {}  # places among the open elements, by name; and those of blocks but paragraphs
+    walls: list[int] = []
 
     def put(text: str) -> None:
         if text:
             flow.append((open_[-1], html.unescape(text)))
 
+    def begin(node: Node) -> None:
+        where.setdefault(node.tag, []).append(len(open_))
+        if node.tag in WALLS:
+            walls.append(len(open_))
+        open_.append(len(nodes) - 1)
+
     def close(to: int) -> None:
-        if any(nodes[n].tag in BLOCK for n in open_[to:]):
+        ended = [nodes[n].tag for n in open_[to:]]
+        if not BLOCK.isdisjoint(ended):
             flow.append((open_[-1], None))
         del open_[to:]
-
-    def last_open(tags: set[str], stop: set[str]) -> int | None:
-        for i in range(len(open_) - 1, 0, -1):
-            if nodes[open_[i]].tag in tags:
-                return i
-            if nodes[open_[i]].tag in stop:
-                return None
-        return None
+        for tag in ended:
+            where[tag].pop()
+        while walls and walls[-1] >= to:
+            walls.pop()
+
+    def last_open(tags: set[str], stop: set[str] | None = None) -> int | None:
+        """Place of the innermost open element of these, if none of ``stop`` is open inside it."""
+        found = max((where[t][-1] for t in tags if where.get(t)), default=0)
+        if stop is WALLS:
+            wall = walls[-1] if walls else 0
+        else:
+            wall = max((where[t][-1] for t in stop or () if where.get(t)), default=0)
+        return found if found > wall else None
 
     while at < len(source):
         m = TOKEN.search(source, at)
@@ -112,7 +128,7 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
         put(source[at : m.start()])
         at = m.end()
         if m[1]:
-            found = last_open({m[1].lower()}, set())
+            found = last_open({m[1].lower()})
             if found is not None:
                 close(found)
         elif m[2]:
@@ -126,7 +142,7 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
                     at = end.end() if end else len(source)
                 continue
             if tag in ENDS_P:
-                found = last_open({"p"}, BLOCK - {"p"})
+                found = last_open({"p"}, WALLS)
                 if found is not None:
                     close(found)
             if tag in SIBLINGS:
@@ -140,7 +156,7 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
             nodes.append(Node(tag, m[3] or "", open_[-1], nodes[open_[-1]].depth + 1))
             nodes[open_[-1]].children.append(len(nodes) - 1)
             if not (m[3] or "").endswith("/") or tag in BLOCK:
-                open_.append(len(nodes) - 1)
+                begin(nodes[-1])
     return nodes, flow
 
 
@@ -182,6 +198,9 @@ def features(nodes: list[Node], flow: list[tuple[int, str | None]]) -> tuple[np.
     above, base = len(TAGS) + 2 + len(HINTS), len(TAGS) + 2 + 2 * len(HINTS)
     around_it: list[set[int]] = []  # hints of each node and of all above it
     page, seen = max(1.0, text[0]), 0.0
+    place, alike = np.zeros(n), [Counter(tag[j] for j in node.children) for node in nodes]
+    for node in nodes:
+        place[node.children] = np.arange(len(node.children))
     for i, node in enumerate(nodes):
         if node.tag in TAGS:
             x[i, TAGS.index(node.tag)] = 1
@@ -195,13 +214,12 @@ def features(nodes: list[Node], flow: list[tuple[int, str | None]]) -> tuple[np.
             x[i, above + h] = 1
         mine = mine | {MEANS[node.tag]} if node.tag in MEANS else mine
         around_it.append(outer | mine if mine else outer)
-        around = nodes[node.parent].children if i else [0]
-        place = around.index(i) if len(around) < 50 else 0
+        around = len(nodes[node.parent].children) if i else 1
         other = text[parent[i]] - text[i] if i else 0
         x[i, base:] = (
             node.depth, np.log1p(own[i]), np.log1p(text[i]), linked[i] / max(1, text[i]), count[i] / max(1, text[i]),
-            np.log1p(count[i]), punctuation[i] / max(1, text[i]), sentences[i] > 0, text[i] / page, len(around),
-            place / len(around), sum(tag[j] == node.tag for j in around[:50]) / min(50, len(around)), np.log1p(other),
+            np.log1p(count[i]), punctuation[i] / max(1, text[i]), sentences[i] > 0, text[i] / page, np.log1p(around),
+            place[i] / around, alike[node.parent][node.tag] / around if i else 1, np.log1p(other),
             inside["form"][i], inside["list"][i], np.log1p(paragraphs[i]), seen / page,
         )
         seen += own[i]
@@ -348,14 +366,53 @@ class Templates:
         begin, end = self.named(tag, kind, 1.0 if needs else 0.5)
         return re.sub(r"<(\w+)", r"<\1 data-x", begin + inner + end)
 
+    def many(self, most: int) -> int:
+        """A number from 1 on, as often of one size as of another."""
+        return int(np.exp(self.random.uniform(0, np.log(most))))
+
+    def said(self) -> str:
+        """What a cell, an item or a heading says: words, a number or sentences, with a mark at its end or none."""
+        return self.pick(self.some(1, 4), self.some(1, 9).capitalize(), self.some(2, 6) + ":", str(self.random.integers(1, 9999)), self.prose(1, 2), self.some(1, 3) + self.pick("", ".", "?"))
+
+    def inline(self) -> str:
+        link = f'<a href="/q">{self.some(1, 4)}</a>'
+        return self.pick(self.prose(1, 6), self.prose(1, 9), f"<b>{self.some(1, 3)}</b> {self.prose(1, 4)}", f"{self.some(2, 7)} {link} {self.prose(1, 3)}", f"<i>{self.prose(1, 2)}</i>", f"{self.prose(1, 3)}<br>{self.prose(1, 2)}", f"{self.some(1, 4)} <code>{self.some(1, 2)}</code> {self.some(0, 4)}", self.said())
+
+    def block(self, most: int) -> str:
+        """One block of an article; lists and tables have up to ``most`` rows."""
+        kind, n = self.random.random(), self.many(most)
+        if kind < 0.58:
+            return f"<p>{self.inline()}" + self.pick("</p>", "</p>", "</p>", "")
+        if kind < 0.68:
+            tag = self.pick("h2", "h2", "h3", "h4")
+            return f"<{tag}>{self.some(1, 7).capitalize()}{self.pick('', '', '?', '.')}</{tag}>"
+        if kind < 0.76:
+            tag, end = self.pick("ul", "ol"), self.pick("</li>", "")
+            linked = self.chance(0.15)
+            return f"<{tag}>" + "".join(f'<li>{f"<a href=/q>{self.some(1, 4)}</a> " if linked else ""}{self.said()}{end}' for _ in range(n)) + f"</{tag}>"
+        if kind < 0.82:
+            wide, cell = int(self.random.integers(1, 5)), self.pick("</td>", "")
+            head = "<tr>" + "".join(f"<th>{self.some(1, 3)}</th>" for _ in range(wide)) + "</tr>" if self.chance(0.5) else ""
+            rows = "".join("<tr>" + "".join(f"<td>{self.said()}{cell}" for _ in range(wide)) + self.pick("</tr>", "") for _ in range(n))
+            return f"<table>{head}{f'<tbody>{rows}</tbody>' if self.chance(0.3) else rows}</table>"
+        if kind < 0.87:
+            return "<blockquote>" + self.pick(self.inline(), f"<p>{self.inline()}</p>", f"<p>{self.inline()}</p><p>{self.inline()}</p>") + "</blockquote>"
+        if kind < 0.91:
+            return self.pick("<pre>{}</pre>", "<pre><code>{}</code></pre>").format("\n".join(self.some(1, 6) for _ in range(self.many(12))))
+        if kind < 0.95:
+            return "<dl>" + "".join(f"<dt>{self.some(1, 4)}</dt><dd>{self.pick(self.said(), self.inline())}</dd>" for _ in range(self.many(12))) + "</dl>"
+        return self.pick(f"<figure><img src=x><figcaption>{self.inline()}</figcaption></figure>", f"<div>{self.inline()}</div>", f"<section><h3>{self.some(1, 5)}</h3><p>{self.inline()}</p></section>", f"<div><p>{self.inline()}</p></div>", "<hr>")
+
     def page(self) -> str:
         body = []
-        paragraphs = [f"<p>{self.pick('', '<b>', '<i>')}{self.prose(1, 9)}{self.pick('', '<br>', '</b>')}" + self.pick("</p>", "</p>", "") for _ in range(self.random.integers(1, 14))]
-        for i in range(len(paragraphs)):
-            if self.chance(0.12):
-                paragraphs[i] = self.pick(f"<h2>{self.some(2, 8)}</h2>", f"<ul><li>{self.prose(1, 2)}<li>{self.prose(1, 2)}</ul>", f"<blockquote>{self.prose(1, 4)}</blockquote>", f'<p>{self.some(4, 9)} <a href="/q">{self.some(1, 3)}</a> {self.prose(1, 3)}</p>', f"<p>{self.some(1, 3)}.</p>", f"<pre>{self.some(3, 12)}</pre>", f"<table><tr><td>{self.some(1, 4)}<td>{self.some(1, 4)}</table>")
-            if self.chance(0.06):
-                paragraphs[i] += self.clutter(self.pick("ad", "share", "notice", "form"))
+        blocks = [self.block(200 if self.chance(0.15) else 12) for _ in range(self.many(150) if self.chance(0.1) else self.random.integers(1, 15))]
+        alone = self.chance(0.15)  # a page that is all article
+        if not any("<p>" in b for b in blocks) or self.chance(0.5):
+            blocks.insert(0, f"<p>{self.prose(1, 9)}</p>")
+        if not alone:
+            for i in range(len(blocks)):
+                if self.chance(0.06):
+                    blocks[i] += self.clutter(self.pick("ad", "share", "notice", "form"))
         title = f"<h1>{self.some(2, 10)}</h1>" if self.chance(0.85) else ""
         if self.chance(0.15):
             title = f"<header>{title}</header>"
@@ -363,16 +420,16 @@ class Templates:
         if begin == "<div>" or self.chance(0.4):
             begin, end = self.named(begin[1:-1], "content", 1.0)
         end = end or begin.replace("<", "</")
-        tail = "".join(self.clutter(k) for k in ("share", "comment", "form") if self.chance(0.25))
-        article = begin + title + "".join(paragraphs) + (tail if self.chance(0.5) else "") + end + ("" if self.chance(0.5) else tail)
+        tail = "" if alone else "".join(self.clutter(k) for k in ("share", "comment", "form") if self.chance(0.25))
+        article = begin + title + "".join(blocks) + (tail if self.chance(0.5) else "") + end + ("" if self.chance(0.5) else tail)
         if self.chance(0.2):
             article = f"<main>{article}</main>" if not article.startswith("<main") else article
         for kind in ("notice", "header", "nav", "ad", "side", "form"):
-            if self.chance({"nav": 0.9, "ad": 0.6}.get(kind, 0.4)):
+            if not alone and self.chance({"nav": 0.9, "ad": 0.6}.get(kind, 0.4)):
                 body.append(self.clutter(kind))
         body.append(article)
         for kind in ("side", "ad", "comment", "share", "notice", "footer"):
-            if self.chance({"footer": 0.9}.get(kind, 0.3)):
+            if not alone and self.chance({"footer": 0.9}.get(kind, 0.3)):
                 body.append(self.clutter(kind))
         inner = "".join(body)
         if self.chance(0.3):
@@ -380,8 +437,8 @@ class Templates:
         return f"<html><head><title>x</title></head><body>{inner}" + self.pick("</body></html>", "")
 
 
-def trained(pages: int = 500, seed: int = 1) -> Boosted:
-    """Trees fitted to ``pages`` template pages."""
+def trained(pages: int = 600, seed: int = 1, each: int = 60) -> Boosted:
+    """Trees fitted to ``pages`` template pages, and at most ``each`` nodes of a page, drawn at random."""
     templates = Templates(seed)
     xs, ys = [], []
     for _ in range(pages):
@@ -390,8 +447,9 @@ def trained(pages: int = 500, seed: int = 1) -> Boosted:
         mine = np.ones(len(nodes))
         for i in range(1, len(nodes)):
             mine[i] = mine[nodes[i].parent] and "data-x" not in nodes[i].attributes
-        xs.append(x[1:])
-        ys.append(mine[1:])
+        some = templates.random.permutation(len(nodes) - 1)[:each] + 1
+        xs.append(x[some])
+        ys.append(mine[some])
     return boost(np.concatenate(xs), np.concatenate(ys))
 
 
