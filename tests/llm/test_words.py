@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tidemark.llm.words import Known, Tokenizer, vocabulary_path
+from tidemark.llm.words import Tokenizer, vocabulary_path
 
 
 @pytest.fixture(scope="module")
@@ -30,22 +30,31 @@ def fuzzed(seed, n):
 def test_ids_are_those_of_the_library(tok):
     texts = list(fuzzed(1, 20_000))
     want = [np.array(e.ids, "<u4").tobytes() for e in tok.whole.encode_batch_fast(texts, add_special_tokens=False)]
-    for cut in (tok.split, tok.coarse):
-        words = [cut(t) for t in texts]
-        assert ["".join(w) for w in words] == texts if cut == tok.split else True
-        assert Known(tok, 1 << 30).ids(words) == want
-        assert Known(tok, 100_000).ids(words) == want
+    words = [tok.split(t) for t in texts]
+    assert ["".join(w) for w in words] == texts
+    assert [tok.ids(t) for t in texts] == want
+    assert [b"".join(tok.encode(w)) for w in words] == want
 
 
-def test_coarse_words_join_to_the_text(tok):
-    for text in fuzzed(2, 3000):
-        assert "".join(tok.coarse(text)) == text
+@pytest.mark.parametrize("text", ["a" * 50_000, " " * 50_000, "\n" * 9999, "^" * 50_000, "日本" * 9000, "x\u209d" * 500, "ab12 " * 9000])
+def test_long_runs(tok, text):
+    assert tok.ids(text) == np.array(tok.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-def test_a_full_table_of_words_changes_nothing(tok):
-    texts = [["a", " b", "\n", ""], [" b", " tree", "a" * 500]]
-    want = Known(tok, 1 << 20).ids(texts)
-    for most in (0, 250, 500):
-        some = Known(tok, most)
-        assert some.ids(texts) == want and some.ids(texts) == want
-        assert len(some) <= most // 200
+def test_every_word_of_the_tables(tok, sf_dir):
+    import pyarrow.parquet as pq
+
+    texts = [t or "" for t in pq.read_table(f"{sf_dir}/documents.parquet", columns=["text"])["text"].to_pylist()]
+    want = [np.array(e.ids, "<u4").tobytes() for e in tok.whole.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [tok.ids(t) for t in texts] == want
+
+
+def test_an_unusual_file_goes_to_the_library(tok, tmp_path):
+    import json
+
+    file = json.loads(tok.whole.to_str())
+    file["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "t.json").write_text(json.dumps(file))
+    other = Tokenizer(str(tmp_path / "t.json"))
+    assert other.fast is None and other.split("two words") == ["two words"]
+    assert other.ids("two") == np.array(other.whole.encode("two", add_special_tokens=False).ids, "<u4").tobytes() != tok.ids("two")

@@ -52,6 +52,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def release() -> None:
+    """Gives a worker's free memory back to the machine, where the C library can: workers outlive their tasks."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def two_keys(*cols: Column | str) -> list[Column]:
     """Two independent 64-bit hashes of the columns: together a 128-bit key for equal content."""
     cols = [F.col(c) if isinstance(c, str) else c for c in cols]

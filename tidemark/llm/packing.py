@@ -18,12 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, stored
-from tidemark.llm.words import known, tokenizer
+from tidemark.llm.common import documents, release, stored
+from tidemark.llm.words import tokenizer
 
 CAPACITY, END = 1024, 2
-#: Characters whose words are looked up at once.
-AT_ONCE = 500_000
 #: Pieces of one length in one numbered group.
 GROUP = 50_000
 
@@ -36,25 +34,19 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, words, last = tokenizer(path), known(path), np.uint32(end).tobytes()
+        tok, last = tokenizer(path), np.uint32(end).tobytes()
         for batch in batches:
-            keys = list(zip(*(batch[c].to_pylist() for c in ("doc_id", "k1", "k2")), strict=True))
-            held, size, at = [], 0, 0
-            texts = batch["text"].to_pylist()
-            for n, text in enumerate(texts):
-                held.append(tok.split(text or ""))
-                size += len(text or "")
-                if size > AT_ONCE or n + 1 == len(texts):
-                    out = []
-                    for key, ids in zip(keys[at : n + 1], words.ids(held), strict=True):
-                        ids += last
-                        count = len(ids) // 4
-                        first = count % capacity or capacity
-                        for piece, start in enumerate([0, *range(first, count, capacity)]):
-                            stop = first if not piece else start + capacity
-                            out.append((*key, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])))
-                    held, size, at = [], 0, n + 1
-                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+            out = []
+            for *key, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "k1", "k2")), batch["text"], strict=True):
+                ids = tok.ids(text.as_py() or "") + last
+                count = len(ids) // 4
+                first = count % capacity or capacity
+                for piece, start in enumerate([0, *range(first, count, capacity)]):
+                    stop = first if not piece else start + capacity
+                    out.append((*key, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])))
+            if out:
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+        release()
 
     names = ["doc_id", "k1", "k2", "piece", "start", "length", "ids_crc32"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]

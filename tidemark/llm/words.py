@@ -19,8 +19,6 @@ LATIN = (
     rf"|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+"
 )
 VOCABULARY = "byte_bpe_50k.json"
-#: Words encoded at once.
-ENCODE_AT_ONCE = 5000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -30,14 +28,13 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-#: A blank that is not one space or one line end between other characters, or the mark that ``coarse`` cuts at.
-UNEVEN = re.compile("\\s\\s|[^\\S \n]|\0")
-#: Words that cannot be told apart if they are encoded as lines of one text.
-NO_LINE = re.compile(r"[^\S ]|\s\s|\s$|^$")
-
-
 class Tokenizer:
-    """Splits texts into words and encodes words; what a word's ids are does not depend on its neighbours."""
+    """Splits texts into words and encodes texts and words; what a word's ids are does not depend on its neighbours.
+
+    The ids are those of the tokenizer library. Where its file is a plain byte-level BPE, whose merges make the pieces in
+    the order of their ids, merging by the ids of the pieces comes to the same, and a faster encoder does that; everything
+    else, and texts with characters that the two class differently, goes to the library itself.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -51,36 +48,53 @@ class Tokenizer:
         longest_first = sorted(self.added, key=len, reverse=True)
         self.around = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
         self.any, self.latin = regex.compile(PATTERN), re.compile(LATIN)
-        split = json.loads(self.whole.to_str())["pre_tokenizer"] or {}
-        # Only then are words cut by the published pattern, and blanks part them as ``coarse`` takes it.
-        self.plain = (
-            self.whole.normalizer is None
-            and split.get("type") == "ByteLevel"
-            and split.get("use_regex", True)
-            and not split.get("add_prefix_space", True)
-            and not any(t.lstrip or t.rstrip or t.single_word for t in added.values())
-        )
-        ends = self.whole.encode("\n", add_special_tokens=False).ids
-        self.line_end = ends[0] if self.plain and len(ends) == 1 else None
+        self.fast = self._faster()
         self.alike: dict[str, bool] = {}
 
+    def _faster(self):
+        """An encoder that gives the library's ids, or None where that is not sure."""
+        import tiktoken
+
+        file = json.loads(self.whole.to_str())
+        split, model = file["pre_tokenizer"] or {}, file["model"]
+        if (
+            file["normalizer"] is not None
+            or split.get("type") != "ByteLevel"
+            or not split.get("use_regex", True)
+            or split.get("add_prefix_space", True)
+            or model["type"] != "BPE"
+            or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+            or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in file["added_tokens"])
+        ):
+            return None
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [model["vocab"].get(left + right) for left, right in pairs]
+        if made != list(range(256, 256 + len(made))):
+            return None
+        ranks = {piece: i for i, piece in enumerate(self.pieces) if i < 256 + len(made)}
+        return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
     def _is_alike(self, char: str) -> bool:
-        """Whether the library cuts a character as the pattern does: Unicode versions differ."""
+        """Whether all take a character the same way: Unicode versions differ."""
         if char not in self.alike:
             around = f"a{char}a{char} {char}1{char}1 {char}-{char}'s {char}{char}"
-            self.alike[char] = self._by_library(around) == self.any.findall(around)
+            words = [around[i:j] for _, (i, j) in self.whole.pre_tokenizer.pre_tokenize_str(around)]
+            same = words == self.any.findall(around)
+            self.alike[char] = same and self.fast.encode_ordinary(around) == self.whole.encode(around, add_special_tokens=False).ids
         return self.alike[char]
 
-    def _by_library(self, text: str) -> list[str]:
-        return [text[i:j] for _, (i, j) in self.whole.pre_tokenizer.pre_tokenize_str(text)]
+    def _is_sure(self, text: str) -> bool:
+        return self.fast is not None and (text.isascii() or all(map(self._is_alike, set(text))))
 
     def _split(self, text: str) -> list[str]:
-        if not self.plain:
-            return [text]
+        if not self._is_sure(text):
+            if self.fast is None:
+                return [text]
+            return [text[i:j] for _, (i, j) in self.whole.pre_tokenizer.pre_tokenize_str(text)]
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
-            return self.any.findall(text) if all(map(self._is_alike, set(text))) else self._by_library(text)
+            return self.any.findall(text)
         return self.latin.findall(text)
 
     def split(self, text: str) -> list[str]:
@@ -92,41 +106,15 @@ class Tokenizer:
             words += [part] if part in self.added else self._split(part)
         return words
 
-    def coarse(self, text: str) -> list[str]:
-        """As ``split``, but marks stay with the words next to them, which is faster; not the same words.
-
-        The pattern takes one space before a word along, and leaves one line end alone. So where all blanks are of these,
-        each between other characters, a text may be cut before every space and around every line end.
-        """
-        if not self.plain or UNEVEN.search(text) or any(a in text for a in self.added):
-            return self.split(text)
-        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+    def ids(self, text: str) -> bytes:
+        """A text's ids as little-endian unsigned 32-bit numbers."""
+        if self._is_sure(text) and not any(a in text for a in self.added):
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, words: list[str]) -> list[bytes]:
-        """Ids of each word as little-endian unsigned 32-bit numbers.
-
-        Words are encoded as the lines of one text: a line end between two of them is a word, and an id, of its own.
-        """
-        out: list[bytes | None] = [None] * len(words)
-        odd = [n for n, w in enumerate(words) if self.line_end is None or NO_LINE.search(w) or w in self.added]
-        is_odd = set(odd)
-        even = [n for n in range(len(words)) if n not in is_odd]
-        for i in range(0, len(even), ENCODE_AT_ONCE):
-            part = even[i : i + ENCODE_AT_ONCE]
-            one = self.whole.encode_batch_fast(["\n".join([words[n] for n in part])], add_special_tokens=False)[0]
-            ids = np.array(one.ids, "<u4")
-            ends = (np.flatnonzero(ids == self.line_end) * 4).tolist()
-            if len(ends) != len(part) - 1:  # a word with an added token inside
-                odd += part
-                continue
-            ids, at = ids.tobytes(), 0
-            for n, end in zip(part, [*ends, len(ids)], strict=True):
-                out[n], at = ids[at:end], end + 4
-        for i in range(0, len(odd), ENCODE_AT_ONCE):
-            part = odd[i : i + ENCODE_AT_ONCE]
-            for n, e in zip(part, self.whole.encode_batch_fast([words[n] for n in part], add_special_tokens=False), strict=True):
-                out[n] = np.array(e.ids, "<u4").tobytes()
-        return out
+        """Ids of each word."""
+        return list(map(self.ids, words))
 
     @property
     def pieces(self) -> list[bytes]:
@@ -148,39 +136,3 @@ class Tokenizer:
 def tokenizer(path: str | None = None) -> Tokenizer:
     """One for each Python worker, kept between its tasks."""
     return Tokenizer(path or vocabulary_path())
-
-
-class Known(dict):
-    """Words and their ids, of at most ``most`` bytes; words beyond are encoded whenever they occur."""
-
-    def __init__(self, tok: Tokenizer, most: int):
-        super().__init__()
-        self.tok, self.room = tok, most
-
-    def ids(self, texts: list[list[str]]) -> list[bytes]:
-        """Ids of each text's words, joined."""
-        new = list(set().union(*texts).difference(self)) if texts else []
-        found = dict(zip(new, self.tok.encode(new), strict=True))
-        cost = sum(map(len, found)) + sum(map(len, found.values())) + ENTRY * len(found)
-        if cost <= self.room:
-            self.room -= cost
-            self.update(found)
-            return [b"".join(map(self.__getitem__, words)) for words in texts]
-        for word, ids in found.items():
-            self.room -= ENTRY + len(word) + len(ids)
-            if self.room < 0:
-                break
-            self[word] = ids
-        self.room = max(self.room, 0)
-        both = lambda w: self[w] if w in self else found[w]
-        return [b"".join(map(both, words)) for words in texts]
-
-
-#: What a word and its ids take beside their characters.
-ENTRY = 200
-
-
-@cache
-def known(path: str | None = None, most: int = 48 << 20) -> Known:
-    """A worker's own words, kept between its tasks."""
-    return Known(tokenizer(path), most)
