@@ -1,10 +1,15 @@
 """The physical plans that the design counts on."""
 
 import re
+from datetime import timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.functions.columns import moment
+from tidemark.plans import catalogue
 from tidemark.plans.catalogue import QUERIES
+from tidemark.sources import tables
 
 
 def plan(spark, sf_dir, name):
@@ -81,6 +86,7 @@ def test_payloads_are_parsed_once(spark, sf_dir):
 
 STORED = {"bronze_roundtrip", "live_files", "csv_roundtrip", "partitioned_parquet", "table_append", "table_overwrite", "table_history", "silver_stream", "gold_stream",
     "landing_report", "table_as_of", "stored_board", "stream_progress", "board_positions",
+    "table_widened", "clustered_as_of", "colocated_board",
 }
 
 
@@ -89,3 +95,28 @@ def test_no_python_and_no_cross_join(spark, sf_dir, name):
     text = plan(spark, sf_dir, name)
     for word in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in text
+
+
+def test_tables_in_equal_buckets_meet_without_a_shuffle(spark, sf_dir, helpers, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = helpers.plan(catalogue.colocated_board(spark, sf_dir))
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
+
+
+def rows_read(df):
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_a_read_of_a_clustered_table_skips_what_is_later(spark, sf_dir, tmp_path, settings):
+    settings(spark__sql__shuffle__partitions="8", spark__sql__adaptive__coalescePartitions__enabled="false")
+    # Of times only those with a zone, as silver has them, are compared with Parquet's statistics by Spark.
+    events = catalogue.read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).repartition(8)
+    space, first = f"c_{tmp_path.name.replace('-', '_')}", events.agg(F.min("ts")).first()[0]
+    tables.write_table(events, f"{space}.mixed", root=str(tmp_path))
+    tables.write_table(events, f"{space}.clustered", root=str(tmp_path), cluster_by=["ts"])
+    cut = F.col("ts") < moment(first.astimezone(timezone.utc) + timedelta(days=1), events.schema["ts"].dataType)
+    mixed, clustered = (spark.table(f"{space}.{t}").where(cut) for t in ("mixed", "clustered"))
+    assert sorted(map(str, mixed.collect())) == sorted(map(str, clustered.collect()))
+    assert rows_read(mixed) == events.count() and rows_read(clustered) <= events.count() / 4

@@ -210,3 +210,16 @@ def test_an_empty_overwrite_leaves_what_is_there(spark, tmp_path):
     X.write_parquet(spark.range(3), path)
     assert X.write_parquet(spark.range(0), path, mode="overwrite")["status"] == "skipped"
     assert spark.read.parquet(path).count() == 3
+
+
+def test_kinds_of_values_by_path(spark):
+    from tidemark.sources.bronze import merged_schema, value_types
+
+    bodies = spark.createDataFrame([(b,) for b in ('{"a": [1, "x", {"b": null}]}', '{"a": {"b": 2.5}}', "[true]", "7", "no json", None)], "body string")
+    assert sorted(map(tuple, value_types(bodies).collect())) == [
+        ("$", "ARRAY", 1), ("$", "BIGINT", 1), ("$", "OBJECT", 2), ("$.a", "ARRAY", 1), ("$.a", "OBJECT", 1), ("$.a.b", "DECIMAL", 1),
+        ("$.a[]", "BIGINT", 1), ("$.a[]", "OBJECT", 1), ("$.a[]", "STRING", 1), ("$.a[].b", "VOID", 1), ("$[]", "BOOLEAN", 1),
+    ]
+    assert {r.path for r in value_types(bodies, depth=1).collect()} == {"$", "$.a", "$[]"}
+    assert merged_schema(bodies) == "VARIANT" and merged_schema(bodies.where("body like '{%'")) == "OBJECT<a: VARIANT>"
+    assert value_types(bodies.limit(0)).count() == 0

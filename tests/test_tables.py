@@ -186,6 +186,43 @@ def test_merge_does_not_change_types(spark, name, root):
         T.write_table(frame(spark, [("x", "a")], "id string, name string"), name, on_drift="merge", root=root)
 
 
+WIDER = [
+    ("int", "long", "bigint", [1], [1 << 40]), ("long", "int", "bigint", [1 << 40], [2]), ("float", "double", "double", [0.5], [0.1]),
+    ("int", "double", "double", [7], [0.25]), ("decimal(5,2)", "decimal(6,4)", "decimal(7,4)", ["1.25"], ["3.1234"]), ("int", "decimal(4,2)", "decimal(12,2)", [9], ["1.5"]),
+]
+
+
+@pytest.mark.parametrize("old, new, want, a, b", WIDER)
+@pytest.mark.parametrize("by", [(), ("name",)])
+def test_merge_takes_the_smallest_type_that_holds_both(spark, name, root, old, new, want, a, b, by):
+    def one(kind, value):
+        return spark.createDataFrame([(value[0], "k")], f"v {'string' if kind.startswith('decimal') else kind}, name string").selectExpr(f"cast(v as {kind}) v", "name")
+
+    T.write_table(one(old, a), name, root=root, partition_by=by)
+    T.write_table(one(new, b), name, on_drift="merge", root=root)
+    assert dict(spark.table(name).dtypes)["v"] == want
+    assert sorted(float(r.v) for r in spark.table(name).collect()) == sorted(float(v) for v in (*a, *b))
+    assert len(T.table_versions(spark, name).collect()) == 1
+
+
+def test_merge_widens_inside_structs_and_lists(spark, name, root):
+    T.write_table(spark.sql("select 1 id, named_struct('a', 1, 'b', array(named_struct('x', 1))) s, map('k', 1) m"), name, root=root)
+    T.write_table(spark.sql("select 2 id, named_struct('c', 'new', 'b', array(named_struct('y', 2L, 'x', 5L)), 'a', 7L) s, map('k', 8L) m"), name, on_drift="merge", root=root)
+    T.write_table(spark.sql("select 3 id, named_struct('a', 3) s, cast(null as map<string,int>) m"), name, on_drift="merge", root=root)
+    assert dict(spark.table(name).dtypes)["s"] == "struct<a:bigint,b:array<struct<x:bigint,y:bigint>>,c:string>"
+    got = {r.id: r.asDict(recursive=True) for r in spark.table(name).collect()}
+    assert got[1]["s"] == {"a": 1, "b": [{"x": 1, "y": None}], "c": None} and got[1]["m"] == {"k": 1}
+    assert got[2]["s"] == {"a": 7, "b": [{"x": 5, "y": 2}], "c": "new"} and got[2]["m"] == {"k": 8}
+    assert got[3]["s"] == {"a": 3, "b": None, "c": None} and got[3]["m"] is None
+
+
+@pytest.mark.parametrize("old, new", [("long", "double"), ("string", "int"), ("date", "string"), ("struct<a:int>", "struct<a:string>"), ("decimal(38,0)", "decimal(10,5)")])
+def test_merge_refuses_types_that_do_not_meet_without_loss(spark, name, root, old, new):
+    T.write_table(spark.createDataFrame([], f"v {old}, id int").union(spark.sql(f"select cast(null as {old}), 1")), name, root=root)
+    with pytest.raises(ValueError, match="changed=\\['v'\\]"):
+        T.write_table(spark.sql(f"select cast(null as {new}) v, 1 id"), name, on_drift="merge", root=root)
+
+
 @pytest.mark.parametrize("mode", T.MODES)
 def test_recreate_starts_over_but_old_files_stay(spark, name, root, mode):
     first = T.write_table(frame(spark, [(1, "a")]), name, root=root)

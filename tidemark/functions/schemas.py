@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def struct(**fields: T.DataType) -> T.StructType:
@@ -76,6 +76,62 @@ def void_to_string(df: DataFrame) -> DataFrame:
     return df.withColumns(changed) if changed else df
 
 
+#: Whole numbers by width, with the digits that each can have; and what a whole number fits into without loss.
+WHOLE = {T.ByteType(): 3, T.ShortType(): 5, T.IntegerType(): 10, T.LongType(): 19}
+EXACT_IN = {T.FloatType(): 5, T.DoubleType(): 10}
+
+
+def common_type(one: T.DataType, two: T.DataType) -> T.DataType | None:
+    """The smallest type that holds every value of both without loss, at any depth; None if there is none.
+
+    Whole numbers widen, float widens to double, decimals to digits enough before and after the point. Structs
+    have the fields of both, the first one's first.
+    """
+    if one == two or isinstance(two, T.NullType):
+        return one
+    if isinstance(one, T.NullType):
+        return two
+    if isinstance(one, T.StructType) and isinstance(two, T.StructType):
+        kinds = {f.name: common_type(f.dataType, two[f.name].dataType) if f.name in two.names else f.dataType for f in one}
+        kinds |= {f.name: f.dataType for f in two if f.name not in kinds}
+        return None if None in kinds.values() else struct(**kinds)
+    if isinstance(one, T.ArrayType) and isinstance(two, T.ArrayType):
+        element = common_type(one.elementType, two.elementType)
+        return element and T.ArrayType(element)
+    if isinstance(one, T.MapType) and isinstance(two, T.MapType) and one.keyType == two.keyType:
+        value = common_type(one.valueType, two.valueType)
+        return value and T.MapType(one.keyType, value)
+    if one in WHOLE and two in WHOLE:
+        return max(one, two, key=WHOLE.__getitem__)
+    if {type(one), type(two)} == {T.FloatType, T.DoubleType}:
+        return T.DoubleType()
+    for whole, other in ((one, two), (two, one)):
+        if whole in WHOLE and other in EXACT_IN:
+            return other if WHOLE[whole] <= EXACT_IN[other] else T.DoubleType() if WHOLE[whole] <= 10 else None
+    if all(k in WHOLE or isinstance(k, T.DecimalType) for k in (one, two)):
+        digits = [(WHOLE[k], 0) if k in WHOLE else (k.precision - k.scale, k.scale) for k in (one, two)]
+        before, after = (max(d) for d in zip(*digits, strict=True))
+        return T.DecimalType(before + after, after) if before + after <= 38 else None
+    return None
+
+
+def fitted(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A value in a type that ``common_type`` gave: fields by name, those that it lacks NULL."""
+    if have == want:
+        return value
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        fields = [
+            (fitted(value[f.name], have[f.name].dataType, f.dataType) if f.name in have.names else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields)).cast(want)
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(value, lambda x: fitted(x, have.elementType, want.elementType))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        return F.transform_values(value, lambda _, x: fitted(x, have.valueType, want.valueType))
+    return value.cast(want)
+
+
 def cast_timestamps(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Turn the named columns into UTC timestamps. Names the data lacks are skipped."""
     from tidemark.functions.columns import parse_iso

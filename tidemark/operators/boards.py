@@ -30,6 +30,11 @@ def star_board(
     return ordered(facts.join(dimensions, on, "inner"), desc, asc).select(*columns)
 
 
+def leading(df: DataFrame, names: Sequence[str], suffix: str = "_first") -> DataFrame:
+    """Some columns first and then all of them: the first ones under a name of their own, so that the rows can be written."""
+    return df.select(*[F.col(f"`{c}`").alias(c + suffix) for c in names], "*")
+
+
 def ordered(df: DataFrame, desc: Sequence[str] = (), asc: Sequence[str] = ()) -> DataFrame:
     """Descending columns first, then ascending, NULL last in both.
 

@@ -144,6 +144,12 @@ def current_board(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def star_repeated(spark: SparkSession, d: str) -> DataFrame:
+    """One column in front of all the columns of a destination."""
+    rows = read(spark, d, "nation").alias("d").where(F.col("d.n_regionkey") == 1).select("d.*")
+    return boards.leading(rows, ["n_name"])
+
+
 def catalogued_only(spark: SparkSession, d: str) -> DataFrame:
     catalogue = read(spark, d, "customer").where(F.col("c_mktsegment") == "BUILDING")
     events = read(spark, d, "events").select("event_id", "user_id", "value")
@@ -347,6 +353,19 @@ def payload_rows(spark: SparkSession, d: str) -> DataFrame:
 # --- functions ---------------------------------------------------------------------------
 
 
+def mixed_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """The kinds of values at every path of bodies that do not agree, and the one schema they have together."""
+    kind, number = F.col("event_type"), F.col("event_id")
+    body = (
+        F.when(kind == "view", F.format_string('{"id": %d, "wait": 5, "tags": ["a", 1]}', number))
+        .when(kind == "click", F.format_string('{"id": "n%d", "wait": null, "at": {"x": 0.5}}', number))
+        .when(kind == "error", F.lit("<html>busy</html>"))
+        .otherwise(F.format_string('{"id": %d, "wait": "n/a", "at": {"x": true}}', number))
+    )
+    bodies = read(spark, d, "events").select(body.alias("body"))
+    return bronze.value_types(bodies, depth=2).withColumn("merged", F.lit(bronze.merged_schema(bodies)))
+
+
 def parse_ts(spark: SparkSession, d: str) -> DataFrame:
     events = read(spark, d, "events")
     text = clock_text(F.col("ts"))
@@ -555,6 +574,43 @@ def table_as_of(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_as_of(spark, name, datetime.fromisoformat(then))
 
 
+def table_widened(spark: SparkSession, d: str) -> DataFrame:
+    """Appends whose types do not agree: numbers widen and structs get the fields of both, without a rewrite."""
+    root = scratch_path(spark, "tables")
+    name = f"silver_{root[-12:]}.widened"
+    events = read(spark, d, "events")
+    cut = moment(CUT, T.TimestampNTZType())
+    first = events.where(F.col("ts") <= cut).select(
+        F.col("event_id").cast("int").alias("event_id"), F.struct(F.col("user_id").cast("int").alias("user"), F.col("event_type").alias("kind")).alias("about")
+    )
+    second = events.where(F.col("ts") > cut).select("event_id", F.struct(F.col("value").alias("value"), F.col("user_id").alias("user")).alias("about"))
+    tables.write_table(first, name, root=root)
+    tables.write_table(second, name, on_drift="merge", root=root)
+    return tables.read_table(spark, name).select("event_id", "about.user", "about.kind", "about.value")
+
+
+def clustered_as_of(spark: SparkSession, d: str) -> DataFrame:
+    """The state at a moment, from a table that lies in ranges of time: later files are opened for their statistics alone."""
+    root = scratch_path(spark, "tables")
+    name = f"silver_{root[-12:]}.clustered"
+    events = read(spark, d, "events").withColumn("ts", parse_iso(clock_text(F.col("ts"))))
+    tables.write_table(events, name, root=root, cluster_by=TIME)
+    past = newest_rows.latest_as_of(tables.read_table(spark, name), ENTITY_KEY, "ts", CUT, TIE)
+    return past.withColumn("ts", utc_clock(F.col("ts")))
+
+
+def colocated_board(spark: SparkSession, d: str) -> DataFrame:
+    """Events and entities stored in equal buckets by entity: the newest events of entities in a segment, without a shuffle."""
+    root = scratch_path(spark, "tables")
+    space = f"silver_{root[-12:]}"
+    tables.write_table(read(spark, d, "events"), f"{space}.events", "overwrite", root=root, buckets=(8, ENTITY_KEY))
+    entities = read(spark, d, "customer").withColumnRenamed("c_custkey", "user_id")
+    tables.write_table(entities, f"{space}.entities", "overwrite", root=root, buckets=(8, ENTITY_KEY))
+    current = newest_rows.latest(spark.table(f"{space}.events"), ENTITY_KEY, TIME, TIE)
+    chosen = spark.table(f"{space}.entities").where(F.col("c_mktsegment") == "BUILDING").select("user_id", "c_name")
+    return current.join(chosen, "user_id").select("user_id", "c_name", "event_id", "event_type", "value")
+
+
 def stored_board(spark: SparkSession, d: str) -> DataFrame:
     """Stored gold, in buckets by entity: written, merged with newer rows, read, joined and put in order.
 
@@ -628,6 +684,7 @@ QUERIES: dict[str, Query] = {
     "upsert_current": upsert_current,
     "star_board": star_board,
     "current_board": current_board,
+    "star_repeated": star_repeated,
     "catalogued_only": catalogued_only,
     "top_n": top_n,
     "where_text": where_text,
@@ -650,6 +707,7 @@ QUERIES: dict[str, Query] = {
     "queue_flatten": queue_flatten,
     "json_flatten": json_flatten,
     "payload_rows": payload_rows,
+    "mixed_bodies": mixed_bodies,
     "parse_ts": parse_ts,
     "cast_times": cast_times,
     "iso_times": iso_times,
@@ -674,6 +732,9 @@ QUERIES: dict[str, Query] = {
     "table_history": table_history,
     "table_as_of": table_as_of,
     "stored_board": stored_board,
+    "table_widened": table_widened,
+    "clustered_as_of": clustered_as_of,
+    "colocated_board": colocated_board,
     "stream_progress": stream_progress,
     "silver_stream": silver_stream,
     "gold_stream": gold_stream,

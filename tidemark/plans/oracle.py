@@ -213,6 +213,32 @@ ORACLE: dict[str, str] = {
         union all select 'append', count(*) from events where ts > timestamp '2024-01-10 00:00:00'
         union all select 'overwrite', count(distinct user_id) from events""",
     "table_as_of": "select * from events where ts <= timestamp '2024-01-10 00:00:00'",
+    "star_repeated": "select d.n_name as n_name_first, d.* from nation as d where n_regionkey = 1",
+    "clustered_as_of": f"""
+        select {EVENT} from (
+            select *, {NEWEST} as rn from events where ts <= timestamp '2024-01-10 00:00:00'
+        ) x where rn = 1""",
+    "colocated_board": f"""
+        select user_id, c_name, event_id, event_type, value from (select *, {NEWEST} as rn from events) x
+        join customer on user_id = c_custkey where rn = 1 and c_mktsegment = 'BUILDING'""",
+    "table_widened": """
+        select event_id, user_id as "user", case when ts <= timestamp '2024-01-10 00:00:00' then event_type end as kind,
+               case when ts > timestamp '2024-01-10 00:00:00' then value end as value
+        from events""",
+    "mixed_bodies": """
+        with n as (
+            select count(*) filter (where event_type = 'view') as v, count(*) filter (where event_type = 'click') as c,
+                   count(*) filter (where event_type not in ('view', 'click', 'error')) as o
+            from events)
+        select path, kind, rows, 'OBJECT<at: OBJECT<x: VARIANT>, id: VARIANT, tags: ARRAY<VARIANT>, wait: VARIANT>' as merged
+        from (
+            select '$' as path, 'OBJECT' as kind, v + c + o as rows from n
+            union all select '$.id', 'BIGINT', v + o from n union all select '$.id', 'STRING', c from n
+            union all select '$.wait', 'BIGINT', v from n union all select '$.wait', 'VOID', c from n
+            union all select '$.wait', 'STRING', o from n union all select '$.tags', 'ARRAY', v from n
+            union all select '$.tags[]', 'STRING', v from n union all select '$.tags[]', 'BIGINT', v from n
+            union all select '$.at', 'OBJECT', c + o from n union all select '$.at.x', 'DECIMAL', c from n
+            union all select '$.at.x', 'BOOLEAN', o from n) where rows > 0""",
     "stored_board": f"""
         select user_id, c_name as entity_name, event_type as status, value as wait_time,
                row_number() over (order by value desc nulls last, user_id) as position

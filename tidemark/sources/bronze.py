@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -68,6 +69,33 @@ def explore_json(spark: SparkSession, path: str, sampling: float = 1.0) -> DataF
     return spark.read.option("samplingRatio", sampling).option("recursiveFileLookup", "true").json(path)
 
 
+def merged_schema(bodies: DataFrame, body: str = "body") -> str:
+    """One schema for all JSON texts of a batch, as Spark writes it: a value of several types is a VARIANT there.
+
+    Merged where the texts are; texts that are no JSON have no say.
+    """
+    return bodies.agg(F.schema_of_variant_agg(F.try_parse_json(body)).alias("schema")).first()["schema"]
+
+
+def value_types(bodies: DataFrame, body: str = "body", depth: int = 8) -> DataFrame:
+    """(path, kind, rows): every path in the JSON texts of a batch, and how often it has a value of each kind.
+
+    ``$`` is the text itself, ``.name`` a field and ``[]`` any element. A path with several kinds but ``VOID`` is a
+    conflict that an explicit schema must decide. What is nested deeper than ``depth`` counts as its outermost part. Each
+    level is counted where it is before anything is shuffled.
+    """
+    level = bodies.select(F.lit("$").alias("path"), F.try_parse_json(body).alias("held")).where("held is not null")
+    levels = [level]
+    for _ in range(depth):
+        inner = level.lateralJoin(level.sparkSession.tvf.variant_explode(F.col("held").outer()))
+        element = F.when(F.col("key").isNull(), F.lit("[]")).otherwise(F.concat(F.lit("."), F.col("key")))
+        level = inner.select(F.concat("path", element).alias("path"), F.col("value").alias("held"))
+        levels.append(level)
+    kind = F.regexp_extract(F.schema_of_variant("held"), r"^\w+", 0)
+    counted = [one.groupBy("path", kind.alias("kind")).agg(F.count(F.lit(1)).alias("rows")) for one in levels]
+    return reduce(DataFrame.union, counted)
+
+
 def landed_batches(spark: SparkSession, root: str, prefix: str = "*") -> DataFrame:
     """All landed batches: ``prefix``, path ``batch``, and landing time ``landed_at`` (UTC clock).
 

@@ -18,7 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.functions.columns import moment
-from tidemark.functions.schemas import LONG, TEXT, TIME, cast_timestamps, struct, void_to_string
+from tidemark.functions.schemas import LONG, TEXT, TIME, cast_timestamps, common_type, fitted, struct, void_to_string
 
 MODES = ("append", "overwrite")
 DRIFT = ("fail", "merge", "recreate")
@@ -167,16 +167,22 @@ def write_table(
     root: str | None = None,
     version: int | None = None,
     buckets: tuple[int, Sequence[str]] | None = None,
+    cluster_by: Sequence[str] = (),
 ) -> dict:
     """Write to ``namespace.table`` and return a summary; the first write creates both.
 
     ``append`` adds rows and keeps history, ``overwrite`` replaces the content. Where the
     columns differ from the table's, ``on_drift`` decides: ``fail`` raises; ``merge`` widens
-    the table (metadata only) and fills what is missing with NULL; ``recreate`` starts a new
-    version with the incoming columns, giving up the current content. An input without rows
+    the table (metadata only) and fills what is missing with NULL, also inside structs, and
+    gives a column the smallest type that holds the old and the new values without loss, or
+    raises; ``recreate`` starts a new version with the incoming columns, giving up the current
+    content. An input without rows
     changes nothing. ``version`` numbers a full write, so that a retry replaces its own files.
     ``buckets`` (how many, by which columns) lays a full write out so that joins and groups by
-    these columns read it where it is; a table keeps its buckets.
+    these columns read it where it is; a table keeps its buckets. ``cluster_by`` deals the rows of
+    this write in ranges of these columns, sorted in each file: the statistics that Parquet keeps
+    of every group of rows are then narrow, and a read for a range of them skips the others
+    (numbers, texts, dates, and times with a zone stored as ``build_session`` sets it).
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}, use one of {MODES}")
@@ -191,14 +197,25 @@ def write_table(
     if not exists and not create:
         raise ValueError(f"table {name} does not exist; pass create=True to create it")
     drift = column_drift(spark.table(name).schema, rows.schema) if exists else Drift([], [], [])
-    if drift and (on_drift == "fail" or (on_drift == "merge" and drift.changed)):
+    common = {}
+    if drift.changed and on_drift == "merge":
+        old = spark.table(name).schema
+        common = {c: common_type(old[c].dataType, rows.schema[c].dataType) for c in drift.changed}
+    if drift and (on_drift == "fail" or (on_drift == "merge" and None in common.values())):
         raise ValueError(
             f"columns of {name} differ: added={drift.added}, removed={drift.removed}, changed={drift.changed}"
         )
+    rows = rows.withColumns({c: fitted(F.col(f"`{c}`"), rows.schema[c].dataType, kind) for c, kind in common.items()})
+    if cluster_by:
+        rows = clustered(rows, cluster_by)
     ensure_namespace(spark, namespace, root)
 
     if exists and mode == "append" and not (drift and on_drift == "recreate"):
         location = table_location(spark, name)
+        wider = {c: kind for c, kind in common.items() if kind.simpleString() != old[c].dataType.simpleString()}
+        if wider and not rows.isEmpty():
+            columns = T.StructType([T.StructField(f.name, wider.get(f.name, f.dataType)) for f in old])
+            point_table(spark, name, location, columns, _partition_columns(spark, name), table_buckets(spark, name))
         if drift.added and not rows.isEmpty():
             fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in drift.added)
             spark.sql(f"ALTER TABLE {_quoted(name)} ADD COLUMNS ({fields})")
@@ -235,6 +252,12 @@ def write_table(
     }
 
 
+def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows in ranges of the columns, one for each task, and sorted in it."""
+    keys = [F.col(c).asc_nulls_first() for c in columns]
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
 def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring rows of one folder together before a partitioned write, in files of even size.
 
