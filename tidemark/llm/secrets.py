@@ -1,7 +1,7 @@
 """Secret scans over a trigram inverted index.
 
 From each rule's pattern a Boolean query over trigrams is derived: what every match must contain. Every batch of
-documents gets an inverted index of the trigrams that the queries name; postings are intersected and united as the query
+documents gets an inverted index of the trigrams that the queries name, by one pass over its texts; postings are intersected and united as the query
 says, and only the documents that come out are searched with the pattern. A rule without a mandatory trigram has all
 documents searched. The index is divided by documents, so it is built and asked where the documents are, without a shuffle.
 """
@@ -157,10 +157,45 @@ def asked(query: tuple | None, index: dict[str, np.ndarray], count: int) -> np.n
     return out
 
 
+#: Bytes of texts whose trigrams are looked at together.
+AT_ONCE = 4 << 20
+
+
 def inverted(texts: list[str], trigrams: Iterable[str]) -> dict[str, np.ndarray]:
-    """Postings: for each trigram the places of the texts, lower-cased in A-Z, that contain it."""
-    low = [t.encode().lower() for t in texts]
-    return {t: np.array([i for i, x in enumerate(low) if t.encode() in x], np.int64) for t in trigrams}
+    """Postings: for each trigram the places of the texts, lower-cased in A-Z, that contain it.
+
+    The trigrams of the texts are read once, for all that are named together: those whose first two bytes begin a named
+    one are compared with the sorted names. A trigram of characters of several bytes holds where all its own do.
+    """
+    parts = {t: {t.encode()[i : i + 3] for i in range(len(t.encode()) - 2)} for t in trigrams}
+    names = sorted(set().union(*parts.values()))
+    codes = np.array([int.from_bytes(name, "big") for name in names], np.int64)
+    begins = np.zeros(1 << 16, bool)
+    begins[codes >> 8] = True
+    of: list[list[np.ndarray]] = [[] for _ in names]
+    at = 0
+    while at < len(texts) and names:
+        low, size, first = [], 0, at
+        while at < len(texts) and (not low or size < AT_ONCE):
+            low.append(texts[at].encode().lower())
+            size += len(low[-1])
+            at += 1
+        ends = np.cumsum([len(x) + 2 for x in low])
+        flow = np.frombuffer(b"\0\0".join([*low, b""]), np.uint8)  # no named trigram lies over two texts
+        pairs = flow[:-1].astype(np.uint16) << 8 | flow[1:]
+        here = np.flatnonzero(begins[pairs[:-1]])
+        code = pairs[here].astype(np.int64) << 8 | flow[here + 2]
+        name = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+        met = codes[name] == code
+        text = np.searchsorted(ends, here[met], side="right")
+        inside = here[met] + 2 < ends[text] - 2  # a name with a zero byte could reach the border
+        found = np.unique(name[met][inside] * (len(low) + 1) + text[inside])
+        which, text = found // (len(low) + 1), found % (len(low) + 1)
+        starts = np.searchsorted(which, np.arange(len(names) + 1))
+        for n in range(len(names)):
+            of[n].append(text[starts[n] : starts[n + 1]] + first)
+    lists = {name: np.concatenate(o) if o else np.empty(0, np.int64) for name, o in zip(names, of, strict=True)}
+    return {t: asked(_all([("has", b) for b in sorted(own)]), lists, len(texts)) for t, own in parts.items()}
 
 
 def search(rule: Rule) -> re.Pattern:
