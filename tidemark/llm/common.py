@@ -52,6 +52,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def even_labels(spark: SparkSession, parts: int) -> list[int]:
+    """A whole number for each of ``parts`` partitions that lands there when rows are dealt by it.
+
+    Dealing rows by the numbers 0, 1, ... themselves puts several in one partition and leaves others empty.
+    """
+    found: dict[int, int] = {}
+    at = 0
+    while len(found) < parts:
+        one = F.col("id").cast("int")
+        some = spark.range(at, at + 8 * parts).groupBy(F.pmod(F.hash(one), F.lit(parts)).alias("part")).agg(F.min("id").alias("id"))
+        found = {r["part"]: r["id"] for r in some.collect()} | found
+        at += 8 * parts
+    return [found[k] for k in range(parts)]
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or a longer one that no column of ``df`` has in any case."""
     taken = {c.lower() for c in df.columns}

@@ -1,9 +1,9 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads the bytes of one word after the other, from both ends, with its state reset at blanks; every byte gets
-a probability for each language, and a document's are the mean over its bytes. A word's probabilities depend on its bytes
-alone, so a task computes each distinct word once. The network is trained on the driver in numpy, by backpropagation
-through time, on a bounded sample of labelled documents.
+The network reads the bytes of one word after the other, from both ends. Its state is reset at blanks and carried through
+a word of any length; every byte gets a probability for each language, and a document's are the mean over its bytes. A
+word's probabilities depend on its bytes alone, so a task computes each distinct word once. The network is trained on
+the driver in numpy, by backpropagation through time, on a bounded sample of labelled documents.
 """
 
 from __future__ import annotations
@@ -16,17 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, ship
+from tidemark.llm.common import documents, free_name, release, ship
 
 UNDETERMINED = "und"
-#: Units of each direction, and bytes of a word read at once; longer words are read in pieces.
-UNITS, PIECE = 16, 32
+#: Units of each direction, bytes of a word that is learned from, and positions of words that are held at once.
+UNITS, PIECE, STEPS_HELD = 16, 32, 64
 #: Bounds of the training sample: documents, and words drawn from them; steps and words a step.
 SAMPLE, WORDS, STEPS, BATCH = 3000, 60_000, 900, 256
-#: Words computed at once, and words whose results a task holds.
-AT_ONCE, HELD = 2048, 400_000
-#: Texts whose words are held at once.
-SPLIT = 200
+#: Words computed at once, words whose results a task holds, and bytes of these words.
+AT_ONCE, HELD, HELD_BYTES = 2048, 150_000, 8 << 20
+#: Bytes of texts whose words are held at once.
+SPLIT = 1 << 20
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -55,9 +55,10 @@ class Direction:
     w: np.ndarray  # 256 x 3 units: what a byte adds
     u: np.ndarray  # units x 3 units: what the state adds
 
-    def forward(self, x: np.ndarray, keep: list | None = None) -> np.ndarray:
+    def forward(self, x: np.ndarray, keep: list | None = None, h: np.ndarray | None = None, live: np.ndarray | None = None) -> np.ndarray:
+        """States after each byte, from ``h`` on; where a column is not ``live`` its state is zero."""
         n = self.u.shape[0]
-        h = np.zeros((x.shape[1], n), self.u.dtype)
+        h = np.zeros((x.shape[1], n), self.u.dtype) if h is None else h
         out = np.empty((*x.shape, n), self.u.dtype)
         for t in range(len(x)):
             a, s = self.w[x[t]], h @ self.u
@@ -67,6 +68,8 @@ class Direction:
             if keep is not None:
                 keep.append((h, z, r, c, s[:, 2 * n :]))
             h = c + z * (h - c)
+            if live is not None:
+                h = h * live[t][:, None]
             out[t] = h
         return out
 
@@ -108,21 +111,38 @@ class Network:
 
     def of_words(self, words: list[bytes]) -> np.ndarray:
         """Sum of every language's probability over the bytes of each word, none of them empty."""
-        out = np.empty((len(words), len(self.languages)))
+        out = np.empty((len(words), len(self.languages)), np.float32)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for i in range(0, len(order), AT_ONCE):
-            part = order[i : i + AT_ONCE]
-            pieces = [(n, words[k][j : j + PIECE]) for n, k in enumerate(part) for j in range(0, len(words[k]), PIECE)]
-            total = np.zeros((len(part), len(self.languages)))
-            for j in range(0, len(pieces), AT_ONCE):
-                some = pieces[j : j + AT_ONCE]
-                x, lengths = padded([p for _, p in some])
-                p = self.chances(self.states(x, lengths))
-                p *= (np.arange(len(x))[:, None] < lengths)[:, :, None]
-                np.add.at(total, [n for n, _ in some], p.sum(axis=0))
-            out[part] = total
+        at = 0
+        while at < len(order):
+            part = order[at : at + AT_ONCE]
+            # As many as fit, the shortest first; one word of any length does.
+            few = max(1, next((i for i, k in enumerate(part) if (i + 1) * len(words[k]) > AT_ONCE * PIECE * 8), len(part)))
+            out[part[:few]] = self._sums([words[k] for k in part[:few]])
+            at += few
         return out
 
+    def _sums(self, words: list[bytes]) -> np.ndarray:
+        """The words' bytes lie below each other. The way back is gone once from the end, which leaves the states at the
+        borders of stretches of ``STEPS_HELD`` bytes; then each stretch is gone both ways from its borders.
+        """
+        x, lengths = padded(words)
+        live = np.arange(len(x))[:, None] < lengths
+        starts = list(range(0, len(x), STEPS_HELD))
+        after: list[np.ndarray | None] = [None]
+        for i in starts[:0:-1]:
+            one = slice(i, i + STEPS_HELD)
+            after.append(self.back.forward(x[one][::-1], h=after[-1], live=live[one][::-1])[-1])
+        total, h = np.zeros((len(words), len(self.languages)), np.float32), None
+        for i, back_from in zip(starts, reversed(after), strict=True):
+            one = slice(i, i + STEPS_HELD)
+            a = self.ahead.forward(x[one], h=h)
+            b = self.back.forward(x[one][::-1], h=back_from, live=live[one][::-1])[::-1]
+            h = a[-1]
+            p = self.chances(np.concatenate([a, b], axis=2))
+            total += (p * live[one][:, :, None]).sum(axis=0)
+        return total
+
 
 def trained(words: list[bytes], labels: np.ndarray, languages: list[str], seed: int = 5) -> Network:
     """Cross entropy over all bytes, each language as often as the others, with Adam's step sizes."""
@@ -171,6 +191,16 @@ def held_out(id_col: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def piece_of(word: bytes, random: np.random.Generator) -> bytes:
+    """At most ``PIECE`` bytes from anywhere in a word, in whole characters."""
+    if len(word) <= PIECE:
+        return word
+    first = int(random.integers(len(word) - PIECE + 1))
+    while first < len(word) and word[first] & 0xC0 == 0x80:
+        first += 1
+    return word[first : first + PIECE].decode("utf-8", "ignore").encode() or word[:PIECE]
+
+
 def learn(docs: DataFrame, sample: int = SAMPLE, seed: int = 5) -> Network | None:
     """A network from labelled documents that are not held out; None where there is none with a word.
 
@@ -192,7 +222,8 @@ def learn(docs: DataFrame, sample: int = SAMPLE, seed: int = 5) -> Network | Non
             for at, text, lang in zip(batch["at"].to_pylist(), batch["text"], batch["lang"].to_pylist(), strict=True):
                 own = text.as_py().split()
                 random = np.random.default_rng([seed, at % (1 << 64)])
-                drawn = [own[i][:PIECE] for i in random.choice(len(own), min(each, len(own)), replace=False)]
+                chosen = random.choice(len(own), min(each, len(own)), replace=False)
+                drawn = [piece_of(own[i], random) for i in chosen]
                 yield pa.record_batch(
                     {"word": pa.array(drawn, pa.binary()), "lang": pa.array([lang] * len(drawn), pa.string())}
                 )
@@ -200,8 +231,9 @@ def learn(docs: DataFrame, sample: int = SAMPLE, seed: int = 5) -> Network | Non
     texts = usable.where(order <= F.lit(top)).select(
         order.alias("at"), F.col("text").cast("string").cast("binary").alias("text"), F.col("lang").cast("string").alias("lang")
     )
-    # Only where rows repeat the last id are there more than WORDS.
-    rows = texts.mapInArrow(draw, "word binary, lang string").limit(max(WORDS, sample)).collect()
+    # Only where rows repeat the last id are there more than WORDS; which of these are left out does not change.
+    drawn = texts.mapInArrow(draw, "word binary, lang string")
+    rows = drawn.orderBy(F.xxhash64("word", "lang"), "word", "lang").limit(max(WORDS, sample)).collect()
     rows = sorted((bytes(r["word"]), r["lang"]) for r in rows)
     languages = sorted({lang for _, lang in rows})
     labels = np.array([languages.index(lang) for _, lang in rows])
@@ -209,31 +241,47 @@ def learn(docs: DataFrame, sample: int = SAMPLE, seed: int = 5) -> Network | Non
 
 
 def predictor(net: Network | None):
-    """A function from the texts of a batch, and whether each has a letter, to languages and scores; it keeps words."""
+    """A function from texts, and whether each has a letter, to languages and scores; it keeps some words."""
     place: dict[bytes, int] = {}
-    sums = np.empty((0, len(net.languages) if net else 0))
-
-    def predict_some(texts: list[bytes | None], letters: list[bool]) -> tuple[list[str], list[float]]:
-        nonlocal place, sums
+    sums = np.empty((HELD if net else 0, len(net.languages) if net else 0), np.float32)
+    size = 0
+
+    def some_texts(split: list[list[bytes]]) -> tuple[list[str], list[float]]:
+        nonlocal sums, size
+        new = list(set().union(*split).difference(place))
+        if len(place) + len(new) > len(sums) or size > HELD_BYTES:
+            place.clear()
+            size = 0
+            new = list(set().union(*split))
+            sums = np.empty((max(HELD, len(new)), sums.shape[1]), np.float32)
+        if new:
+            first = len(place)
+            place.update(zip(new, range(first, first + len(new)), strict=True))
+            sums[first : first + len(new)] = net.of_words(new)
+            size += sum(map(len, new))
         langs, scores = [], []
-        for lo in range(0, len(texts), SPLIT):  # words take several times the memory of their text
-            some = zip(texts[lo : lo + SPLIT], letters[lo : lo + SPLIT], strict=True)
-            split = [t.split() if ok and net else [] for t, ok in some]
-            if len(place) > HELD:
-                place, sums = {}, sums[:0]
-            new = list(set().union(*split).difference(place))
-            if new:
-                place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
-                sums = np.concatenate([sums, net.of_words(new)])
-            for words in split:
-                if words:
-                    p = sums[list(map(place.__getitem__, words))].sum(axis=0) / sum(map(len, words))
-                    best = int(p.argmax())
-                    langs.append(net.languages[best])
-                    scores.append(min(1.0, max(0.0, float(p[best]))))
-                else:
-                    langs.append(UNDETERMINED)
-                    scores.append(0.0)
+        for words in split:
+            if not words:
+                langs.append(UNDETERMINED)
+                scores.append(0.0)
+                continue
+            p = sums[list(map(place.__getitem__, words))].sum(axis=0, dtype=np.float64) / sum(map(len, words))
+            best = int(p.argmax())
+            langs.append(net.languages[best])
+            scores.append(min(1.0, max(0.0, float(p[best]))))
+        return langs, scores
+
+    def predict_some(texts: pa.Array, letters: list[bool]) -> tuple[list[str], list[float]]:
+        langs, scores, split, held = [], [], [], 0
+        for n, ok in enumerate(letters):
+            text = texts[n].as_py() if ok and net else b""
+            split.append(text.split())
+            held += len(text)
+            if held > SPLIT or n + 1 == len(letters):  # words take several times the memory of their text
+                found = some_texts(split)
+                langs += found[0]
+                scores += found[1]
+                split, held = [], 0
         return langs, scores
 
     return predict_some
@@ -252,9 +300,10 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = predictor(net)
         for batch in batches:
-            langs, scores = of(batch["text"].to_pylist(), batch["letters"].to_pylist())
+            langs, scores = of(batch["text"], batch["letters"].to_pylist())
             made = {"lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64())}
             yield pa.record_batch({"doc_id": batch["doc_id"]} | made)
+        release()
 
     rows = documents(docs).select("doc_id", F.col("text").cast("binary").alias("text"), has_letter().alias("letters"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
@@ -279,10 +328,11 @@ def with_language(docs: DataFrame, least: float = 0.25) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = predictor(net)
         for batch in batches:
-            texts = batch["text"].cast(pa.binary()).to_pylist()
-            langs, scores = of(texts, batch["_letters"].to_pylist())
+            langs, scores = of(batch["text"].cast(pa.binary()), batch[letters].to_pylist())
             good = [k != UNDETERMINED and s >= least for k, s in zip(langs, scores, strict=True)]
             yield batch.filter(pa.array(good, pa.bool_())).select(names)
+        release()
 
     names = docs.columns
-    return docs.withColumn("_letters", has_letter()).mapInArrow(run, docs.schema)
+    letters = free_name(docs, "letters")
+    return docs.withColumn(letters, has_letter()).mapInArrow(run, docs.schema)
