@@ -397,3 +397,37 @@ def test_queries_that_found_too_few_are_ranked_part_by_part(spark, monkeypatch,
     assert exact >= 8
     plan = helpers.plan(again)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+CLASH = "doc_id long, text string, lang string, n_chars long, _k1 int, k1 int, nth int, row int, null int, letters boolean, low string"
+
+
+def test_columns_of_any_name_come_through_the_stages(spark):
+    text = words(77, 500)
+    rows = [(i, t, "en", 5, i, i, i, i, i, True, "l") for i, t in enumerate([text, text, "one two three", None, ""])]
+    df = spark.createDataFrame(rows, CLASH)
+    kept = keep_first(df)
+    assert kept.columns == df.columns and sorted(kept.collect()) == sorted(r for r in df.collect() if r.doc_id in (0, 2, 3))
+    left = without_repeats(df)
+    assert left.columns == df.columns and {r.doc_id: r._k1 for r in left.collect()} == {2: 2, 3: 3, 4: 4}
+    known = with_language(df)
+    assert known.columns == df.columns and {r.doc_id for r in known.collect()} <= {0, 1, 2}
+    assert mask_secrets(df).columns == df.columns
+    assert {c for c in scan(df).columns} >= {"doc_id", "spans"} and scan(df).count() == 5
+
+
+def test_archives_of_pages_with_clashing_columns_and_without_ids(spark):
+    big = "x" * 3000
+    rows = [(None, f"u{i}", big if i % 2 else f"{i}", 1, "s", b"m") for i in range(40)] + [(7, None, big, 1, "s", b"m")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, shard int, sha string, member binary")
+    got = through_archives(df).collect()
+    assert len(got) == 41 and Counter(r.record_type for r in got) == {"response": 21, "revisit": 20}
+    assert {r.refers_to for r in got} == {None, 7}
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 64])
+def test_labels_deal_rows_evenly(spark, parts):
+    from tidemark.llm.common import even_labels
+
+    labels = spark.createDataFrame([(k,) for k in even_labels(spark, parts)], "label int").repartition(parts, "label")
+    assert labels.rdd.glom().map(len).collect() == [1] * parts

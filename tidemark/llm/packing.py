@@ -110,12 +110,13 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
     ``start`` counts the document's ids before the piece, ``ids_crc32`` is over its ids as little-endian unsigned 32-bit
     numbers, ``sequence_id`` and ``offset`` say where it lies. Sequences hold at most ``capacity`` tokens without gaps. A null text
     is an empty one, whose one piece is the end token. Every row counts, repeated ones and ones with a null id too.
-    Pieces of one length are interchangeable and are numbered by id, key and piece. An empty table gives an empty one;
+    Pieces of one length are interchangeable; they are numbered in groups. An empty table gives an empty one;
     other columns are not read.
     """
-    cut = stored(pieces(docs, path, capacity, end), "pieces")
+    # A number for each row, stored with it: rows that repeat id and text are dealt to different groups, too.
+    cut = stored(pieces(docs, path, capacity, end).withColumn("row", F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-cut.count() // GROUP))
-    cut = cut.withColumn("group", F.pmod("k1", F.lit(groups)).cast("int"))
+    cut = cut.withColumn("group", F.pmod(F.xxhash64("k1", "row"), F.lit(groups)).cast("int"))
     sizes = cut.groupBy("length", "group").count()
     histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     rows = []  # of one length: numbers from, to, each bin takes so many, first bin, offset of the first
@@ -128,7 +129,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
     lines = spark.createDataFrame(rows, "length long, low long, high long, each long, first_bin long, at long")
     before = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "group", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
-    own = Window.partitionBy("length", "group").orderBy("doc_id", "k1", "k2", "piece")
+    own = Window.partitionBy("length", "group").orderBy("doc_id", "k1", "k2", "piece", "row")
     numbered = cut.withColumn("nth", F.row_number().over(own) - 1).join(sizes, ["length", "group"])
     numbered = numbered.withColumn("nth", F.col("nth") + F.col("base"))
     # At most one line for each length and step of the plan: a table of bounded size, broadcast.

@@ -274,8 +274,8 @@ def keep_first(docs: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> Dat
     A row with a null id stays only where no row of its group has an id. Of rows that repeat an id and text one stays.
     """
     _, of_fp = _named(docs, radius, shard)
-    kept = of_fp.select(F.col("low.k1").alias("_k1"), F.col("low.k2").alias("_k2")).distinct()
-    k1, k2 = two_keys(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = docs.withColumns({"_k1": k1, "_k2": k2}).join(kept, ["_k1", "_k2"], "semi")
-    nth = F.row_number().over(Window.partitionBy("_k1", "_k2").orderBy("_k1"))
-    return rows.withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
+    kept = of_fp.select("low.k1", "low.k2").distinct()
+    keys = two_keys(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = docs.select(*keys, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).join(kept, ["k1", "k2"], "semi")
+    nth = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k1"))
+    return rows.withColumn("nth", nth).where("nth = 1").select("row.*")

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, stored
+from tidemark.llm.common import documents, free_name, stored
 
 LENGTH, GRAM = 400, 128
 BUCKET = 4096
@@ -379,9 +379,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     Characters that a cut goes through are dropped with it. Texts that lose nothing stay, empty and null ones too.
     """
-    rows = cut_repeats(docs.withColumn("_null", F.col("text").isNull()), carry=True)
+    null = free_name(docs, "null")
+    rows = cut_repeats(docs.withColumn(null, F.col("text").isNull()), carry=True)
     rows = rows.where((F.col("n_removed") == 0) | (F.trim("kept_text") != ""))
-    made = {"text": F.when(~F.col("row._null"), F.col("kept_text")).alias("text")}
+    made = {"text": F.when(~F.col("row")[null], F.col("kept_text")).alias("text")}
     if "n_chars" in docs.columns:
         n = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("row.n_chars"))
         made["n_chars"] = n.cast(docs.schema["n_chars"].dataType).alias("n_chars")

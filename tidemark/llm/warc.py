@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shared_path, ship, stored
+from tidemark.llm.common import even_labels, shared_path, ship, stored
 
 #: Payloads from this size on are stored once.
 LEAST = 1000
@@ -128,22 +128,25 @@ def write_archives(pages: DataFrame, path: str, shard: int = SHARD, roll: int =
     revisits = rows.where(large).select("page_id", "sha").join(copies, "sha")
     revisits = revisits.where(~F.col("target").eqNullSafe(F.col("page_id"))).distinct()
 
-    def shard_of(page_id: int | None) -> int:
-        return 0 if page_id is None else bisect_left(limits, page_id + 1)
+    labels = even_labels(pages.sparkSession, shards)
+
+    def dealt(ids: list[int | None], shas: list[str]) -> dict[str, pa.Array]:
+        """A row's shard, by its id or, without one, by its payload, and the label of the shard's partition."""
+        at = [int(sha[:8], 16) % shards if i is None else bisect_left(limits, i + 1) for i, sha in zip(ids, shas, strict=True)]
+        return {"label": pa.array([labels[k] for k in at], pa.int32()), "shard": pa.array(at, pa.int32())}
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols = [batch[c].to_pylist() for c in ("page_id", "url", "sha", "payload")]
             made = [member(i, url, sha, len(p), p) for i, url, sha, p in zip(*cols, strict=True)]
-            at = pa.array([shard_of(i) for i in cols[0]], pa.int32())
             size = pa.array([len(p) for p in cols[3]], pa.int64())
             more = {"size": size, "member": pa.array(made, pa.binary())}
-            yield pa.record_batch({"shard": at} | {c: batch[c] for c in ("page_id", "url", "sha")} | more)
+            yield pa.record_batch(dealt(cols[0], cols[2]) | {c: batch[c] for c in ("page_id", "url", "sha")} | more)
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = pa.array([shard_of(i) for i in batch["page_id"].to_pylist()], pa.int32())
-            yield pa.record_batch({"shard": at} | {c: batch[c] for c in ("page_id", "sha", "target")})
+            at = dealt(batch["page_id"].to_pylist(), batch["sha"].to_pylist())
+            yield pa.record_batch(at | {c: batch[c] for c in ("page_id", "sha", "target")})
 
     def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -186,10 +189,10 @@ def write_archives(pages: DataFrame, path: str, shard: int = SHARD, roll: int =
         cols = zip(*done, strict=True) if done else [[]] * 4
         yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["file", "n_records", "n_bytes", "sha256"])
 
-    schema = "shard int, page_id long, url string, sha string, size long, member binary"
+    schema = "label int, shard int, page_id long, url string, sha string, size long, member binary"
     made = rows.mapInArrow(make, schema).withColumn("target", F.lit(None).cast("long"))
-    told = revisits.mapInArrow(place, "shard int, page_id long, sha string, target long")
-    made = made.unionByName(told, allowMissingColumns=True).repartition(shards, "shard")
+    told = revisits.mapInArrow(place, "label int, shard int, page_id long, sha string, target long")
+    made = made.unionByName(told, allowMissingColumns=True).repartition(shards, "label")
     made = made.sortWithinPartitions("shard", "page_id", F.col("member").isNotNull(), "sha", "url")
     listed = made.mapInArrow(put, "file string, n_records long, n_bytes long, sha256 string")
     return stored(listed, "manifest")
