@@ -16,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ TOKEN = re.compile(
     r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.DOTALL,
 )
+#: A slash that closes a tag at once; one at the end of an unquoted value, as in ``<a href=/>``, does not.
+CLOSED = re.compile(r"(?:^|[\s\"'])/\Z")
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
 #: Words of class, id, role and label, by what they hint at.
 HINTS = {
@@ -155,7 +158,7 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
                 continue
             nodes.append(Node(tag, m[3] or "", open_[-1], nodes[open_[-1]].depth + 1))
             nodes[open_[-1]].children.append(len(nodes) - 1)
-            if not (m[3] or "").endswith("/") or tag in BLOCK:
+            if tag in BLOCK or not CLOSED.search(m[3] or ""):
                 begin(nodes[-1])
     return nodes, flow
 
@@ -246,8 +249,9 @@ class Boosted:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 4, rate: float = 0.3, least: int = 20) -> Boosted:
-    """Logistic loss; splits at quantiles by the gain of gradient and curvature."""
+def boost(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.3, least: int = 10, share: float = 0.5, seed: int = 3) -> Boosted:
+    """Logistic loss; splits at quantiles by the gain of gradient and curvature, each tree on a random share of the rows."""
+    random = np.random.default_rng(seed)
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0.03, 0.97, 24))) for j in range(x.shape[1])]
     binned = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], axis=1)
     bins = 26
@@ -257,10 +261,12 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 4, rate: f
     for _ in range(trees):
         p = 1 / (1 + np.exp(-score))
         g, h = y - p, p * (1 - p)
+        mine = random.random(len(y)) < share
         feature, limit = np.zeros(2**depth - 1, np.int64), np.full(2**depth - 1, np.inf)
         at = np.zeros(len(y), np.int64)
         for node in range(2**depth - 1):
-            rows = np.flatnonzero(at == node)
+            all_rows = np.flatnonzero(at == node)
+            rows = all_rows[mine[all_rows]]
             best = 1e-6
             if len(rows) >= 2 * least:
                 gr, hr = g[rows], h[rows]
@@ -275,7 +281,7 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 4, rate: f
                     k = int(gain.argmax())
                     if gain[k] > best:
                         best, feature[node], limit[node] = gain[k], j, c[k]
-            at[rows] = 2 * node + 1 + (x[rows, feature[node]] > limit[node])
+            at[all_rows] = 2 * node + 1 + (x[all_rows, feature[node]] > limit[node])
         leaf = at - (2**depth - 1)
         value = rate * np.bincount(leaf, g, 2**depth) / (np.bincount(leaf, h, 2**depth) + 1)
         score += value[leaf]
@@ -343,14 +349,15 @@ class Templates:
         """An element with one of the words of a hint, in one of the usual forms, or none."""
         word = self.pick(*HINTS[hint].split())
         form = self.pick(f' class="{word}"', f' id="{word}"', f' class="c-{word} x{self.random.integers(9)}"', f' class="{self.some(1, 2)} {word}-box"')
-        return f"<{tag}{form if self.chance(p) else ''}>", f"</{tag}>"
+        other = self.pick("", "", f' class="{self.some(1, 3)}"', f' id="{self.some(1, 2)}"')
+        return f"<{tag}{form if self.chance(p) else other}>", f"</{tag}>"
 
     def clutter(self, kind: str) -> str:
         """One piece of what is not the article; every element in it carries the mark ``data-x``."""
         prose = self.prose(1, 4)
         plain = {
-            "nav": lambda: ("nav", f"<ul>{self.links(3, 9)}</ul>"),
-            "header": lambda: ("header", f'<a href="/">{self.some(1, 3)}</a><p>{self.some(2, 8)}</p>' + self.pick("", f"<ul>{self.links(2, 6)}</ul>")),
+            "nav": lambda: ("nav", f"<ul>{self.links(3, 9)}</ul>" if self.chance(0.6) else self.pick(" ", " / ", " | ", " &gt; ").join(f'<a href="/{self.some(1, 2)}">{self.label()}</a>' for _ in range(self.random.integers(1, 7)))),
+            "header": lambda: ("header", f'<a href="/">{self.some(1, 3)}</a><p>{self.some(2, 8)}</p>' + self.pick("", f"<ul>{self.links(2, 6)}</ul>")) if self.chance(0.6) else ("header", f'<a href="/">{self.label()}</a>'),
             "footer": lambda: ("footer", self.pick(f"&copy; {self.some(2, 20)}", f"<p>&copy; {prose}</p><ul>{self.links(2, 6)}</ul>", prose)),
             "side": lambda: ("aside", f"<h3>{self.some(1, 4)}</h3>" + self.pick(f"<ul>{self.links(3, 8)}</ul>", f"<p>{prose}</p>")),
             "ad": lambda: ("div", self.pick(prose, f'<a href="/x">{self.some(3, 9)}</a>', f"<p>{prose}</p>")),
@@ -376,7 +383,7 @@ class Templates:
 
     def inline(self) -> str:
         link = f'<a href="/q">{self.some(1, 4)}</a>'
-        return self.pick(self.prose(1, 6), self.prose(1, 9), f"<b>{self.some(1, 3)}</b> {self.prose(1, 4)}", f"{self.some(2, 7)} {link} {self.prose(1, 3)}", f"<i>{self.prose(1, 2)}</i>", f"{self.prose(1, 3)}<br>{self.prose(1, 2)}", f"{self.some(1, 4)} <code>{self.some(1, 2)}</code> {self.some(0, 4)}", self.said())
+        return self.pick(self.prose(1, 6), self.prose(1, 9), f"<b>{self.some(1, 3)}</b> {self.prose(1, 4)}", f"{self.some(2, 7)} {link} {self.prose(1, 3)}", f"{self.prose(1, 3)} {link} {self.some(1, 3)} <em>{self.some(1, 3)}</em>: {self.prose(1, 2)}", f"{link} {self.prose(1, 4)} {self.pick('', link + '.')}", f"<i>{self.prose(1, 2)}</i>", f"{self.prose(1, 3)}<br>{self.prose(1, 2)}", f"{self.some(1, 4)} <code>{self.some(1, 2)}</code> {self.some(0, 4)}", self.said())
 
     def block(self, most: int) -> str:
         """One block of an article; lists and tables have up to ``most`` rows."""
@@ -413,7 +420,7 @@ class Templates:
             for i in range(len(blocks)):
                 if self.chance(0.06):
                     blocks[i] += self.clutter(self.pick("ad", "share", "notice", "form"))
-        title = f"<h1>{self.some(2, 10)}</h1>" if self.chance(0.85) else ""
+        title = f"<h1>{self.pick(self.some(1, 10), self.some(1, 6).capitalize(), self.some(1, 4).capitalize() + self.pick('.', '?', '!'))}</h1>" if self.chance(0.85) else ""
         if self.chance(0.15):
             title = f"<header>{title}</header>"
         begin, end = self.pick("<article>", "<main>", "<div>"), ""
@@ -425,7 +432,7 @@ class Templates:
         if self.chance(0.2):
             article = f"<main>{article}</main>" if not article.startswith("<main") else article
         for kind in ("notice", "header", "nav", "ad", "side", "form"):
-            if not alone and self.chance({"nav": 0.9, "ad": 0.6}.get(kind, 0.4)):
+            if not alone and self.chance({"nav": 0.9, "ad": 0.6, "header": 0.6}.get(kind, 0.4)):
                 body.append(self.clutter(kind))
         body.append(article)
         for kind in ("side", "ad", "comment", "share", "notice", "footer"):
@@ -437,8 +444,9 @@ class Templates:
         return f"<html><head><title>x</title></head><body>{inner}" + self.pick("</body></html>", "")
 
 
-def trained(pages: int = 600, seed: int = 1, each: int = 60) -> Boosted:
-    """Trees fitted to ``pages`` template pages, and at most ``each`` nodes of a page, drawn at random."""
+@cache
+def trained(pages: int = 1000, seed: int = 1, each: int = 50) -> Boosted:
+    """Trees fitted to ``pages`` template pages, and at most ``each`` nodes of a page, drawn at random; always the same."""
     templates = Templates(seed)
     xs, ys = [], []
     for _ in range(pages):
