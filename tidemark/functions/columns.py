@@ -47,7 +47,8 @@ def whole_number(value: Column, kind: T.DataType) -> Column:
 
 
 def _spelled_out(text: Column) -> Column:
-    """Times in basic form, without seconds or minutes, or with an offset in hours, in the full form."""
+    """Times in basic form, without a time of day, seconds or minutes, with an offset in hours or without a zone, in the
+    full form. The text is in this expression once, so that the code made of it stays small."""
     for pattern, full in (
         (r"^(\d{4})(\d\d)(\d\d)(?!\d)", "$1-$2-$3"),
         (r"^(.{10}[T ]\d\d)(\d\d)", "$1:$2"),
@@ -55,6 +56,8 @@ def _spelled_out(text: Column) -> Column:
         (r"^(.{10}[T ]\d\d)(?=$|[Z+-])", "$1:00"),
         (r"^(.{10}[T ]\d\d:\d\d)(?=$|[Z+-])", "$1:00"),
         (r"^(.{10}[T ].*[+-]\d\d)$", "$1:00"),
+        (r"^(.{10})\z", "$1T00:00:00Z"),
+        (r"(?<!Z)(?<![+-]\d\d:?\d\d)\z", "Z"),
     ):
         text = F.regexp_replace(text, pattern, full)
     return text
@@ -63,17 +66,14 @@ def _spelled_out(text: Column) -> Column:
 def try_parse_iso(text: Column) -> Column:
     """ISO 8601 text to an instant, or NULL. Text without a zone is read as UTC."""
 
-    def instant(text: Column) -> Column:
-        zoned = (
-            F.when(text.endswith("Z"), text)
-            .when(F.length(text) == len("2026-03-03"), F.concat(text, F.lit("T00:00:00Z")))
-            .when(text.rlike(OFFSET), text)
-            .otherwise(F.concat(text, F.lit("Z")))
-        )
-        return zoned.try_cast("timestamp")
-
+    zoned = (
+        F.when(text.endswith("Z"), text)
+        .when(F.length(text) == len("2026-03-03"), F.concat(text, F.lit("T00:00:00Z")))
+        .when(text.rlike(OFFSET), text)
+        .otherwise(F.concat(text, F.lit("Z")))
+    )
     # The rarer forms are looked at only where the usual one does not fit.
-    return F.coalesce(instant(text), instant(_spelled_out(text)))
+    return F.coalesce(zoned.try_cast("timestamp"), _spelled_out(text).try_cast("timestamp"))
 
 
 def parse_iso(text: Column) -> Column:
