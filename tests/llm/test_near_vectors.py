@@ -7,10 +7,16 @@ import threading
 import numpy as np
 import pytest
 
+from tidemark.llm import neardup
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.vectors import in_order
 
 
+@pytest.fixture(autouse=True)
+def small_cells(monkeypatch):
+    monkeypatch.setattr(neardup, "CELL", 20)
+
+
 def brute(ids, x):
     """Links and lowest ids by all pairs, in double precision."""
     x = np.asarray(x, float)

@@ -3,8 +3,8 @@
 Unit vectors are rotated to principal axes, which puts most of a product into the leading dimensions. Some of them are
 pivots, every row belongs to the cell of the pivot nearest to it, and cells that lie together form tiles of bounded
 size. Two unit vectors with cosine ``c`` are ``sqrt(2 - 2c)`` apart, so a tile meets only tiles whose box, over all
-axes, is that near; and their angle is ``acos(c)``, so rows of a cell meet only rows whose angle to its pivot is at most
-that much larger or smaller than theirs. For what is left, products accumulate over blocks of leading dimensions; what
+axes, is that near; and their angle is ``acos(c)``, so two rows meet only if their angles to the pivot of either one differ
+by at most that. For what is left, products accumulate over blocks of leading dimensions; what
 the rest can add is at most the product of the two suffix norms, and a pair is given up as soon as it cannot reach the
 threshold. All of this is done in single precision with a bound on its error; pairs within that bound of the threshold
 are decided on the original vectors in double precision.
@@ -36,10 +36,10 @@ TILE, LEAST_TILE, TILES = 1 << 17, 2048, 48
 TOGETHER = 8
 #: Numbers in a tile, in the pivots, and in the part of another tile that is held at a time, at most.
 TILE_SIZE, PIVOTS_SIZE, SLICE_SIZE = 1 << 23, 1 << 22, 1 << 21
-#: Pivots by the square root of the number of vectors.
-PIVOTS = 4
-#: Rows of a cell, and rows that are compared with them, at a time.
-STRIP, ACROSS = 64, 8192
+#: Vectors in a cell on the mean.
+CELL = 2048
+#: Rows of a cell, and rows of another tile's cell, that are compared at a time.
+STRIP, ACROSS = 512, 1024
 #: Dimensions added at a time.
 LEADING = 24
 
@@ -84,9 +84,9 @@ def pivots_of(rows: DataFrame, axes: np.ndarray, n: int) -> np.ndarray:
     """Unit vectors of some of the ``n`` distinct vectors, by their hash; near ones follow each other, in the order of the
     first axis.
 
-    About four times the square root of ``n`` come to the driver. Any choice gives the same pairs.
+    One for each cell comes to the driver. Any choice gives the same pairs.
     """
-    most = max(1, min(n, math.ceil(PIVOTS * math.sqrt(n)), PIVOTS_SIZE // len(axes)))
+    most = max(1, min(n // CELL, PIVOTS_SIZE // len(axes)))
     some = rows.where(F.col("k1") < F.lit(2**64 * most // n - 2**63)) if most < n else rows
     some = some.groupBy("k1", "k2").agg(F.first("v").alias("v")).select("v")
     x = matrix(some.toArrow()["v"].combine_chunks())
@@ -108,8 +108,8 @@ def whole_numbers(x: np.ndarray) -> np.ndarray:
 def tile_table(rows: DataFrame, axes: np.ndarray, pivots: np.ndarray, path: str, tile: int, n: int) -> DataFrame:
     """(tile, lo, hi, low, high, rows, file): one row a tile, ``low`` and ``high`` its box over all axes.
 
-    The file has ids, counts and cells of distinct vectors and then the vectors, by cell. Its name is new in each
-    attempt, and only names that Spark commits are read. Equal vectors get one cell and so one tile, where they become
+    The file has ids, counts and cells of distinct vectors and then the vectors, by cell and from its pivot outwards. Its
+    name is new in each attempt, and only names that Spark commits are read. Equal vectors get one cell and so one tile, where they become
     one; a task sends one of those that it reads together. Vectors without a length are in no tile.
     """
     dims, whole_pivots = len(axes), whole_numbers(pivots).T
@@ -143,14 +143,17 @@ def tile_table(rows: DataFrame, axes: np.ndarray, pivots: np.ndarray, path: str,
         ids, ns, cells, vs, held, now, last = [], [], [], [], 0, None, None
 
         def row() -> pa.RecordBatch:
-            name = uuid.uuid4().hex
-            with files.open_output_stream(f"{root}/{name}") as out:
-                for x in (*ids, *ns, *cells, *vs):
-                    out.write(np.ascontiguousarray(x).data)
+            name, products = uuid.uuid4().hex, []
             low, high = np.full(dims, np.inf), np.full(dims, -np.inf)
-            for x in vs:
-                z = unit(x) @ axes
+            for x, cell in zip(vs, cells, strict=True):
+                u = unit(x)
+                products.append(np.einsum("ij,ij->i", u, pivots[cell]))
+                z = u @ axes
                 low, high = np.minimum(low, z.min(axis=0)), np.maximum(high, z.max(axis=0))
+            order = np.lexsort((-np.concatenate(products), np.concatenate(cells)))
+            with files.open_output_stream(f"{root}/{name}") as out:
+                for x in (ids, ns, cells, vs):
+                    out.write(np.concatenate(x)[order].data)
             return pa.record_batch(
                 {
                     "tile": pa.array([int(ids[0][0])], pa.int64()),
@@ -235,28 +238,17 @@ def slices(files, name: str, rows: int, turn: np.ndarray, kind: str, most: int)
             yield Rows(at, ids, n, cells, v, z, rest, np.concatenate([z[:, : cuts[1]], rest[0][:, None]], axis=1))
 
 
-def whole(files, name: str, rows: int, turn: np.ndarray, kind: str, pivots: np.ndarray) -> Rows:
-    """A tile's rows by cell, and from its pivot outwards."""
+def whole(files, name: str, rows: int, turn: np.ndarray, kind: str) -> Rows:
     parts = list(slices(files, name, rows, turn, kind, max(1, SLICE_SIZE // len(turn))))
-    cells, z = (np.concatenate([getattr(p, x) for p in parts]) for x in ("cells", "z"))
-    order = np.lexsort((-np.einsum("ij,ij->i", z, pivots[cells]), cells))
-    join = lambda x: np.concatenate(x)[order]
-    rest = [join(x) for x in zip(*(p.rest for p in parts), strict=True)]
-    ids, n, v, lead = (join([getattr(p, x) for p in parts]) for x in ("ids", "n", "v", "lead"))
-    return Rows(0, ids, n, cells[order], v, z[order], rest, lead)
-
-
-def sliced(own: Rows, most: int) -> Iterator[Rows]:
-    for at in range(0, len(own.ids), most):
-        part = slice(at, at + most)
-        ids, n, cells, v, z, lead = (x[part] for x in (own.ids, own.n, own.cells, own.v, own.z, own.lead))
-        yield Rows(at, ids, n, cells, v, z, [x[part] for x in own.rest], lead)
+    rest = [np.concatenate(x) for x in zip(*(p.rest for p in parts), strict=True)]
+    ids, n, cells, v, z, lead = (np.concatenate([getattr(p, x) for p in parts]) for x in ("ids", "n", "cells", "v", "z", "lead"))
+    return Rows(0, ids, n, cells, v, z, rest, lead)
 
 
 @dataclass
 class Strips:
-    """Rows of one cell each, from ``start`` to ``end``; ``pivot`` counts the tile's ``pivots``. Rows of another tile can
-    be near them only with a product with the pivot between ``least`` and ``most``."""
+    """Rows of one cell each, from ``start`` to ``end``; ``pivot`` counts the ``pivots`` of all. Other rows can be near
+    them only with a product with the pivot between ``least`` and ``most``."""
 
     pivots: np.ndarray
     start: np.ndarray
@@ -266,11 +258,11 @@ class Strips:
     most: np.ndarray
 
 
-def strips_of(own: Rows, pivots: np.ndarray, threshold: float) -> Strips:
+def strips_of(own: Rows, pivots: np.ndarray, threshold: float, size: int) -> Strips:
     error, n = margin(pivots.shape[1]), len(own.ids)
     cells, first = np.unique(own.cells, return_index=True)
     ends = [*first[1:], n]
-    start = np.concatenate([np.arange(a, b, STRIP) for a, b in zip(first, ends, strict=True)])
+    start = np.concatenate([np.arange(a, b, size) for a, b in zip(first, ends, strict=True)])
     pivot = np.searchsorted(first, start, "right") - 1
     product = np.einsum("ij,ij->i", own.z, pivots[own.cells]).astype(np.float64)
     angle = lambda x: np.arccos(np.clip(x, -1, 1))
@@ -279,7 +271,7 @@ def strips_of(own: Rows, pivots: np.ndarray, threshold: float) -> Strips:
     nearest = angle(np.maximum.reduceat(product, start) + error)
     least = np.cos(np.minimum(furthest + reach, np.pi)) - error
     most = np.cos(np.maximum(nearest - reach, 0)) + error
-    end = np.minimum(start + STRIP, np.array(ends)[pivot])
+    end = np.minimum(start + size, np.array(ends)[pivot])
     return Strips(pivots[cells], start, end, pivot, least.astype(np.float32), most.astype(np.float32))
 
 
@@ -294,29 +286,36 @@ def decided(own: Rows, other: Rows, i: np.ndarray, j: np.ndarray, about: np.ndar
 
 
 def close_pairs(
-    own: Rows, strips: Strips, other: Rows, threshold: float, same: bool
+    own: Rows, strips: Strips, other: Rows, across: Strips, threshold: float, same: bool
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (i, j) in both with cosine at or over the threshold; of a tile with itself only i < j."""
+    """Places (i, j) in both with cosine at or over the threshold; of a tile with itself only i < j.
+
+    Of two strips, those rows meet that each of the two pivots allows.
+    """
     cuts, limit = cuts_of(own.z.shape[1]), np.float32(threshold - margin(own.z.shape[1]))
-    products = strips.pivots @ other.z.T
+    there, here = strips.pivots @ other.z.T, across.pivots @ own.z.T
     for s in range(len(strips.start)):
         a, b = strips.start[s], strips.end[s]
         behind = max(0, a + 1 - other.at) if same else 0
-        product = products[strips.pivot[s], behind:]
+        product = there[strips.pivot[s], behind:]
         met = np.flatnonzero((product >= strips.least[s]) & (product <= strips.most[s])) + behind
-        for at in range(0, len(met), ACROSS):
-            some = met[at : at + ACROSS]
-            so_far = own.lead[a:b] @ other.lead.take(some, axis=0).T
+        if not len(met):
+            continue
+        theirs, product = other.lead.take(met, axis=0), here[across.pivot, a:b]
+        mine = (product >= across.least[:, None]) & (product <= across.most[:, None])
+        ends = np.append(np.searchsorted(met, across.start), len(met))
+        for t in np.flatnonzero((ends[1:] > ends[:-1]) & mine.any(axis=1)):
+            rows, some = np.flatnonzero(mine[t]) + a, met[ends[t] : ends[t + 1]]
+            so_far = own.lead.take(rows, axis=0) @ theirs[ends[t] : ends[t + 1]].T
             hit = np.flatnonzero(so_far >= limit)
             if not len(hit):
                 continue
             if 16 * len(hit) > so_far.size:
-                so_far = own.z[a:b] @ other.z.take(some, axis=0).T
+                so_far = own.z.take(rows, axis=0) @ other.z.take(some, axis=0).T
                 hit = np.flatnonzero(so_far >= limit)
-                so_far = so_far.ravel()[hit]
-                i, j = hit // len(some) + a, some[hit % len(some)]
+                i, j, so_far = rows[hit // len(some)], some[hit % len(some)], so_far.ravel()[hit]
             else:
-                i, j = hit // len(some) + a, some[hit % len(some)]
+                i, j = rows[hit // len(some)], some[hit % len(some)]
                 so_far = so_far.ravel()[hit] - own.rest[0][i] * other.rest[0][j]
                 for k in range(1, len(cuts) - 1):
                     part = slice(cuts[k], cuts[k + 1])
@@ -402,16 +401,16 @@ def tile_links(
             for row in batch.to_pylist():
                 if held != row["file_i"]:
                     held = row["file_i"]
-                    own = whole(files, f"{root}/{held}", row["rows_i"], turn, kind, pivots)
-                    strips = strips_of(own, pivots, threshold)
+                    own = whole(files, f"{root}/{held}", row["rows_i"], turn, kind)
+                    strips = strips_of(own, pivots, threshold, STRIP)
                 same = row["i"] == row["j"]
                 shift = 0 if same else row["rows_i"]
                 groups = Groups(shift + row["rows_j"])
                 links, ids = np.zeros(shift + row["rows_j"], np.int64), [] if same else [own.ids]
-                met = slices(files, f"{root}/{row['file_j']}", row["rows_j"], turn, kind, most)
-                for other in sliced(own, most) if same else met:
+                for other in slices(files, f"{root}/{row['file_j']}", row["rows_j"], turn, kind, most):
                     ids.append(other.ids)
-                    for i, j in close_pairs(own, strips, other, threshold, same):
+                    across = strips_of(other, pivots, threshold, ACROSS)
+                    for i, j in close_pairs(own, strips, other, across, threshold, same):
                         place = j + (shift + other.at)
                         np.add.at(links, i, other.n[j])
                         np.add.at(links, place, own.n[i])
