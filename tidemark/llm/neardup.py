@@ -3,11 +3,11 @@
 Unit vectors are rotated to principal axes, which puts most of a product into the leading dimensions. Some of them are
 pivots, every row belongs to the cell of the pivot nearest to it, and cells that lie together form tiles of bounded
 size. Two unit vectors with cosine ``c`` are ``sqrt(2 - 2c)`` apart, so a tile meets only tiles whose box, over all
-axes, is that near; and their angle is ``acos(c)``, so two rows meet only if their angles to the pivot of either one differ
-by at most that. For what is left, products accumulate over blocks of leading dimensions; what
-the rest can add is at most the product of the two suffix norms, and a pair is given up as soon as it cannot reach the
-threshold. All of this is done in single precision with a bound on its error; pairs within that bound of the threshold
-are decided on the original vectors in double precision.
+axes, is that near; and their angle is ``acos(c)``, so two rows meet only if their angles to the pivot of either one
+differ by at most that. For what is left, products accumulate over blocks of leading dimensions; what the rest can add
+is at most the product of the two suffix norms, and a pair is given up as soon as it cannot reach the threshold. All of
+this is done in single precision with a bound on its error; pairs within that bound of the threshold are decided on the
+original vectors in double precision.
 
 Vectors are shuffled to their tiles once. A tile is a file in the shared folder, and the tasks that compare tiles read
 them there: pairs of tiles, whose number grows with the square of the table, move as pairs of names.
@@ -109,8 +109,8 @@ def tile_table(rows: DataFrame, axes: np.ndarray, pivots: np.ndarray, path: str,
     """(tile, lo, hi, low, high, rows, file): one row a tile, ``low`` and ``high`` its box over all axes.
 
     The file has ids, counts and cells of distinct vectors and then the vectors, by cell and from its pivot outwards. Its
-    name is new in each attempt, and only names that Spark commits are read. Equal vectors get one cell and so one tile, where they become
-    one; a task sends one of those that it reads together. Vectors without a length are in no tile.
+    name is new in each attempt, and only names that Spark commits are read. Equal vectors get one cell and so one tile,
+    where they become one; a task sends one of those that it reads together. Vectors without a length are in no tile.
     """
     dims, whole_pivots = len(axes), whole_numbers(pivots).T
     size = max(1, min(tile, max(LEAST_TILE, n // TILES), TILE_SIZE // dims))
